@@ -36,14 +36,15 @@ def index_widths(snap: Snapshot, fanout: str = "reference") -> DataFrame:
     shuffle, so a database holding a third of all indexes does not load one task); the
     index's other attributes are joined back afterwards.
     """
-    st = index_stats(snap, fanout)
+    elig = eligible_indexes(snap)
+    st = index_stats(snap, fanout, elig)
     nf = F.coalesce(F.col("null_frac"), F.lit(0.0))
     w = (st.groupBy("db_id", "indexrelid").agg(
         F.max(nf).alias("max_null_frac"),
         F.sum(F.col("key_weight") * (F.lit(1.0) - nf)
               * F.coalesce(F.col("avg_width"), F.lit(DEFAULT_AVG_WIDTH))).alias("nulldatawidth"),
         F.bool_or("is_name").alias("is_na")))
-    e = eligible_indexes(snap).select(
+    e = elig.select(
         "db_id", "indexrelid", "tblid", F.col("nspname").alias("schema_name"),
         F.col("tblname").alias("table_name"), F.col("idxname").alias("index_name"),
         "reltuples", "relpages", "fillfactor", "table_size_bytes")

@@ -70,7 +70,7 @@ def index_columns(snap: Snapshot) -> DataFrame:
     return x.withColumn("attnum", F.col("attnum").cast("short"))
 
 
-def index_stats(snap: Snapshot, fanout: str = "reference") -> DataFrame:
+def index_stats(snap: Snapshot, fanout: str = "reference", eligible: DataFrame | None = None) -> DataFrame:
     """W9 (step1 input): each index attribute paired with the statistics rows it matches.
 
     A stats row matches when it is in the index's schema and either describes the table
@@ -88,7 +88,7 @@ def index_stats(snap: Snapshot, fanout: str = "reference") -> DataFrame:
         raise ValueError(f"fanout must be one of {FANOUT_MODES}")
     att, typ, st = snap.need("pg_attribute", "pg_type", "pg_stats")
     weight = F.size(F.split("indkey", " ")) if fanout == "reference" else F.lit(1)
-    ix = eligible_indexes(snap).select("db_id", "indexrelid", "nspname", "tblname", "idxname",
+    ix = (eligible if eligible is not None else eligible_indexes(snap)).select("db_id", "indexrelid", "nspname", "tblname", "idxname",
                                        weight.alias("key_weight"))
     a = (att.filter(F.col("attnum") > 0)
          .join(typ.select("db_id", F.col("oid").alias("atttypid")), ["db_id", "atttypid"], "left_semi")

@@ -51,14 +51,25 @@ def _position(prefix: str = "") -> Column:
 
 
 def _abort_points(outcomes: DataFrame, on_error: str):
-    """The first failure: one value for the whole run (``stop_run``, a scalar subquery over
-    a global min) or one per database (``skip_database``, a grouped min)."""
+    """The first failure.
+
+    ``stop_run``: one position for the whole run, from a global min aggregate. The result
+    is a single bounded row, fetched once and applied as a literal (a scalar subquery would
+    re-embed the whole outcome plan at every reference). ``skip_database``: one position per
+    database, a grouped min joined back by ``db_id``.
+    """
     failed = outcomes.filter(~F.col("ok"))
     if on_error == "stop_run":
-        return failed.select(F.min(_position()).alias("abort")).scalar()
+        row = failed.agg(F.min(_position()).alias("abort")).first()
+        return None if row is None or row["abort"] is None else row["abort"]
     return failed.groupBy("db_id").agg(F.min(_position()).alias("abort"))
 
 
+def _literal_position(p, dtype) -> Column:
+    return F.lit(None).cast(dtype) if p is None else F.struct(
+        *[F.lit(p[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
+
+
 def reached(outcomes: DataFrame, runs: DataFrame, on_error: str = "stop_run"):
     """Split a run at its abort point: (runs that were opened, outcomes applied, failures written)."""
     if on_error not in ON_ERROR_MODES:
@@ -66,11 +77,17 @@ def reached(outcomes: DataFrame, runs: DataFrame, on_error: str = "stop_run"):
     pos = _position()
     abort = _abort_points(outcomes, on_error)
     if on_error == "stop_run":
-        run_pos = F.struct(F.col("server_id").alias("s"), F.col("fk_pk_id_db_j").alias("d"))
-        abort_db = F.struct(abort["s"].alias("s"), abort["d"].alias("d"))
-        opened = runs.filter(abort.isNull() | (run_pos <= abort_db))
-        applied = outcomes.filter(F.col("ok") & (abort.isNull() | (pos < abort)))
-        failures = outcomes.filter(~F.col("ok") & (pos == abort))
+        if abort is None:
+            return runs, outcomes.filter(F.col("ok")), outcomes.filter(F.lit(False))
+        dtype = outcomes.select(pos.alias("p")).schema["p"].dataType
+        a = _literal_position(abort, dtype)
+        run_pos = F.struct(F.col("server_id").cast(dtype["s"].dataType).alias("s"),
+                           F.col("fk_pk_id_db_j").cast(dtype["d"].dataType).alias("d"))
+        abort_db = F.struct(F.lit(abort["s"]).cast(dtype["s"].dataType).alias("s"),
+                            F.lit(abort["d"]).cast(dtype["d"].dataType).alias("d"))
+        opened = runs.filter(run_pos <= abort_db)
+        applied = outcomes.filter(F.col("ok") & (pos < a))
+        failures = outcomes.filter(~F.col("ok") & (pos == a))
         return opened, applied, failures
     o = outcomes.join(abort, "db_id", "left")
     applied = o.filter(F.col("ok") & (F.col("abort").isNull() | (pos < F.col("abort")))).drop("abort")

@@ -149,7 +149,7 @@ def _reindex(spark, d, on_error):
         F.lit("08001").alias("err_code"))
     return R.reindex_run(S.servers(spark, d), db, S.catalog_snapshot(spark, d), S.catalog_snapshot(spark, d, "after"),
                          S.RUN_TS, S.THRESHOLD, on_error, failed=failed, seconds=seconds,
-                         connect_failed=unreachable, checkpoint=False)
+                         connect_failed=unreachable, checkpoint=True)
 
 
 @query

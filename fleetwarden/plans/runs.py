@@ -43,7 +43,8 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
                 checkpoint: bool = True) -> dict[str, DataFrame]:
     """Targets -> ledger rows -> bloat search on the before snapshot -> re-lookup on the
     after snapshot -> folded ledger and error rows. The searched worklist is read twice, so
-    it is checkpointed into the shared folder when ``checkpoint``."""
+    it is checkpointed into the shared folder when ``checkpoint``, and so are the outcomes,
+    which the abort search, the fold and the error rows all read."""
     targets = fleet.fleet_targets(servers, databases, BIT_REINDEX)
     runs = ledger.open_runs(targets, run_ts)
     search = bloat.bloat_search(bloat.bloat_report(before, ordered=False), threshold, ordered=False)
@@ -52,6 +53,8 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
         search = cut_lineage(search)
     compared = bloat.compare_bloat(search, bloat.bloat_report(after, ordered=False))
     outcomes = index_outcomes(compared, targets, connect_failed, failed, seconds)
+    if checkpoint:
+        outcomes = cut_lineage(outcomes)
     return {"targets": targets, "worklist": search, "outcomes": outcomes,
             "ledger": ledger.fold_runs(runs, outcomes, on_error),
             "errors": ledger.run_errors(runs, outcomes, on_error)}

@@ -7,9 +7,12 @@ The DuckDB oracle builds the same stand-ins from the same rules (``plans/oracle.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwarden.session import scratch_path
 from fleetwarden.sources.catalog import Snapshot
 from fleetwarden.sources.tables import read_table
 
@@ -127,8 +130,26 @@ def _index_column_rows(ix: DataFrame) -> DataFrame:
         F.when((F.col("indexrelid") + n) % 13 == 0, F.lit(19)).otherwise(F.lit(20)).cast("long").alias("atttypid"))
 
 
-def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before") -> Snapshot:
-    """Catalogs of the fleet: parts are indexes, four parts share a table, 50 databases."""
+_WRITTEN: dict[tuple, Snapshot] = {}
+
+
+def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", materialize: bool = True) -> Snapshot:
+    """Catalogs of the fleet: parts are indexes, four parts share a table, 50 databases.
+
+    With ``materialize`` the snapshot is written once per session into the shared folder
+    (parquet, partitioned by ``db_id``) and read back, like an exported catalog snapshot;
+    the operators then plan against plain parquet scans."""
+    if not materialize:
+        return _catalog_snapshot(spark, d, variant)
+    key = (spark.sparkContext.applicationId, os.path.abspath(d), variant)
+    if key not in _WRITTEN:
+        root = scratch_path(spark, f"catalog-{variant}")
+        _catalog_snapshot(spark, d, variant).write(root)
+        _WRITTEN[key] = Snapshot.read(spark, root)
+    return _WRITTEN[key]
+
+
+def _catalog_snapshot(spark: SparkSession, d: str, variant: str = "before") -> Snapshot:
     ix = _index_rows(spark, d, variant)
     cols = _index_column_rows(ix)
     idx_rows = ix.select("db_id", F.col("indexrelid").alias("oid"), F.col("idxname").alias("relname"),
