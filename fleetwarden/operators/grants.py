@@ -124,10 +124,14 @@ def default_grants(snap: Snapshot, grantor: str, grantee: str, mode: str = "refe
 
 def grant_report(snap: Snapshot, grantor: str, grantee: str, mode: str = "reference",
                  distinct: bool = False) -> DataFrame:
-    """The four sources in one list (UNION ALL; duplicates kept unless ``distinct``)."""
+    """The four sources in one list (UNION ALL; duplicates kept). With ``distinct``,
+    identical statements collapse to one row carrying the smallest entry grantee."""
     parts = [relation_grants(snap, grantor, grantee, mode), function_grants(snap, grantor, grantee, mode),
              schema_grants(snap, grantor, grantee, mode), default_grants(snap, grantor, grantee, mode)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.distinct() if distinct else out
+    if not distinct:
+        return out
+    keys = [c for c in OUT_COLS if c != "acl_grantee"]
+    return out.groupBy(*keys).agg(F.min("acl_grantee").alias("acl_grantee")).select(*OUT_COLS)
