@@ -191,6 +191,15 @@ def route(results: DataFrame) -> dict[str, DataFrame]:
     return {"errors": errors, "updates": updates, "unrouted": unrouted}
 
 
+def route_label(results: DataFrame) -> DataFrame:
+    """W27 in one pass: each reply labelled ``error`` / ``update`` / ``none`` (the three
+    classes of ``route`` without reading the replies three times)."""
+    is_err = F.coalesce(F.col("status") == STATUS_ERROR, F.lit(False))
+    is_ready = F.coalesce(F.col("status_text") == STATUS_READY, F.lit(False))
+    return results.select(*TASK_KEY, F.when(is_err, F.lit("error")).when(is_ready, F.lit("update"))
+                          .otherwise(F.lit("none")).alias("route"), "status", "status_text")
+
+
 def open_slices(tasks: DataFrame) -> DataFrame:
     """W28 (open): the ledger row written for each task before the remote call."""
     return tasks.select(

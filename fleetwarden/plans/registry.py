@@ -12,7 +12,7 @@ from fleetwarden.functions.flags import BIT_LOG_REPORTS, BIT_MAINTENANCE, BIT_RE
 from fleetwarden.operators import bloat, catalog, fleet, grants, ledger, slicing
 from fleetwarden.plans import runs as R
 from fleetwarden.plans import standins as S
-from fleetwarden.session import ensure_utc, scratch_path
+from fleetwarden.session import cut_lineage, ensure_utc, scratch_path
 from fleetwarden.streaming import slices as stream_slices
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,9 +193,10 @@ def _runs_as_events(spark, d):
     return read_table(spark, d, "events", ["event_id", "ts"]).withColumnRenamed("ts", "run_ts")
 
 
-def _tasks(spark, d):
-    return slicing.slice_tasks(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), BIT_LOG_REPORTS,
-                               S.HOST_DOMAIN)
+def _tasks(spark, d, checkpoint=False):
+    t = slicing.slice_tasks(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), BIT_LOG_REPORTS,
+                            S.HOST_DOMAIN)
+    return cut_lineage(t) if checkpoint else t
 
 
 def _slice(spark, d):
@@ -222,17 +223,17 @@ def slice_tasks(spark, d):
 
 @query
 def log_listing(spark, d):
-    return slicing.log_listing(S.log_files(spark, d), tasks=_tasks(spark, d))
+    return slicing.log_listing(S.log_files(spark, d), tasks=_tasks(spark, d, True))
 
 
 @query
 def slice_rows(spark, d):
-    return slicing.slice_rows(S.logs(spark, d), _tasks(spark, d))
+    return slicing.slice_rows(S.logs(spark, d), _tasks(spark, d, True))
 
 
 @query
 def slice_report(spark, d):
-    return slicing.slice_report(S.logs(spark, d), _tasks(spark, d))
+    return slicing.slice_report(S.logs(spark, d), _tasks(spark, d, True))
 
 
 @query
@@ -242,13 +243,10 @@ def slice_results(spark, d):
 
 @query
 def slice_route(spark, d):
-    routed = slicing.route(_slice(spark, d)["results"])
-    e = routed["errors"].select(F.col("fk_pk_id_conn").alias("server_id"), F.col("slice_now_ins").alias("run_ts"),
-                                F.lit("error").alias("route"), F.col("work_scheme").alias("status_text"))
-    u = routed["updates"].select("server_id", "run_ts", F.lit("update").alias("route"),
-                                 F.lit(slicing.STATUS_READY).alias("status_text"))
-    n = routed["unrouted"].select("server_id", "run_ts", F.lit("none").alias("route"), "status_text")
-    return e.unionByName(u).unionByName(n)
+    return slicing.route_label(_slice(spark, d)["results"]).select(
+        "server_id", "run_ts", "route", F.when(F.col("route") == "error", F.col("status_text"))
+        .when(F.col("route") == "update", F.lit(slicing.STATUS_READY)).otherwise(F.col("status_text"))
+        .alias("status_text"))
 
 
 @query

@@ -61,9 +61,13 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
 
 
 def slice_run(servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files: DataFrame,
-              strip_domain: str | None = None, timer_seconds=None) -> dict[str, DataFrame]:
-    """Tasks -> slices -> listing -> replies -> routing -> folded slice ledger."""
+              strip_domain: str | None = None, timer_seconds=None, checkpoint: bool = True) -> dict[str, DataFrame]:
+    """Tasks -> slices -> listing -> replies -> routing -> folded slice ledger.
+    The task list (servers x config rows x runs: small) feeds the slice, the listing and
+    the ledger, so it is checkpointed once into the shared folder when ``checkpoint``."""
     tasks = slicing.slice_tasks(servers, ini, runs, BIT_LOG_REPORTS, strip_domain)
+    if checkpoint:
+        tasks = cut_lineage(tasks)
     report = slicing.slice_report(logs, tasks)
     listing = slicing.log_listing(files, tasks=tasks)
     results = slicing.slice_results(report, listing, timer_seconds)
