@@ -144,7 +144,7 @@ def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", mater
     key = (spark.sparkContext.applicationId, os.path.abspath(d), variant)
     if key not in _WRITTEN:
         root = scratch_path(spark, f"catalog-{variant}")
-        _catalog_snapshot(spark, d, variant).write(root)
+        _catalog_snapshot(spark, d, variant).write(root, files=8)
         _WRITTEN[key] = Snapshot.read(spark, root)
     return _WRITTEN[key]
 

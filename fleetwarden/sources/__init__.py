@@ -2,6 +2,7 @@
 
 from fleetwarden.sources.catalog import Snapshot
 from fleetwarden.sources.logdir import list_log_dir
+from fleetwarden.sources.sinks import append_ledger, current_state
 from fleetwarden.sources.tables import read_jdbc, read_table
 
-__all__ = ["Snapshot", "read_table", "read_jdbc", "list_log_dir"]
+__all__ = ["Snapshot", "read_table", "read_jdbc", "list_log_dir", "append_ledger", "current_state"]

@@ -77,3 +77,10 @@ def test_error_rows_defaults_and_events(spark):
     got = {r.id: r for r in ledger.append_events(ev, dt.datetime(2024, 2, 1), "hub").collect()}
     assert got[1].event_date == dt.datetime(2024, 2, 1) and got[1].user_id == "hub" and got[2].user_id == "bob"
     assert F is not None
+
+
+def test_fold_has_one_row_per_run(spark):
+    runs = ledger.open_runs(targets(spark, [(1, d) for d in range(10, 20)]), RUN)
+    o = outcomes(spark, [ok(1, d, f"i{d}_{k}", float(k * 7 % 50)) for d in range(10, 20) for k in range(5)])
+    f = ledger.fold_runs(runs, o)
+    assert f.count() == 10 and f.select("run_key").distinct().count() == 10

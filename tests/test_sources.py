@@ -23,3 +23,16 @@ def test_snapshot_roundtrip(spark):
     s.write(root)
     back = Snapshot.read(spark, root)
     assert back.pg_am.count() == 2 and back.pg_class is None
+
+
+def test_ledger_append_and_current_state(spark):
+    import datetime as dt
+
+    from fleetwarden.sources import append_ledger, current_state
+    root = tempfile.mkdtemp(prefix="fw-ledger-")
+    schema = "fk_pk_id_db_j int, det_date long, det_index_name string"
+    append_ledger(spark.createDataFrame([(1, 100, "NIHIL"), (2, 100, "NIHIL")], schema), root, "run_ledger",
+                  dt.datetime(2024, 1, 1, 1))
+    append_ledger(spark.createDataFrame([(1, 100, "idx_a")], schema), root, "run_ledger", dt.datetime(2024, 1, 1, 2))
+    got = {r.fk_pk_id_db_j: r.det_index_name for r in current_state(spark, root).collect()}
+    assert got == {1: "idx_a", 2: "NIHIL"}
