@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwarden.functions.pgtext import pg_size_pretty
-from fleetwarden.operators.catalog import eligible_indexes, index_stats, overridden_tables
+from fleetwarden.operators.catalog import attribute_pairs, overridden_tables
 from fleetwarden.sources.catalog import Snapshot
 
 # Fixed values (PostgreSQL page layout and the procedure's defaults).
@@ -29,34 +29,32 @@ NAME_DISPLAY_CHARS = 50
 ELLIPSIS = "…"
 
 
+INDEX_KEYS = ["db_id", "indexrelid", "tblid", "nspname", "tblname", "idxname", "reltuples", "relpages",
+              "fillfactor", "table_size_bytes"]
+
+
 def index_widths(snap: Snapshot, fanout: str = "reference") -> DataFrame:
     """W10 (step1): per index, header size, summed data width and the ``name``-type flag.
 
-    The aggregate runs on ``(db_id, indexrelid)`` only (partial aggregation before the
-    shuffle, so a database holding a third of all indexes does not load one task); the
-    index's other attributes are joined back afterwards.
+    Grouped by the index identity plus its functionally dependent columns (as the catalog
+    query groups), so the eligible-index set is computed once and nothing is joined back;
+    the aggregate is partial before the shuffle, so a database holding a third of all
+    indexes does not load one task.
     """
-    elig = eligible_indexes(snap)
-    st = index_stats(snap, fanout, elig)
+    pairs = attribute_pairs(snap, fanout)
     nf = F.coalesce(F.col("null_frac"), F.lit(0.0))
-    w = (st.groupBy("db_id", "indexrelid").agg(
+    w = pairs.groupBy(*INDEX_KEYS).agg(
         F.max(nf).alias("max_null_frac"),
         F.sum(F.col("key_weight") * (F.lit(1.0) - nf)
               * F.coalesce(F.col("avg_width"), F.lit(DEFAULT_AVG_WIDTH))).alias("nulldatawidth"),
-        F.bool_or("is_name").alias("is_na")))
-    e = elig.select(
-        "db_id", "indexrelid", "tblid", F.col("nspname").alias("schema_name"),
-        F.col("tblname").alias("table_name"), F.col("idxname").alias("index_name"),
-        "reltuples", "relpages", "fillfactor", "table_size_bytes")
-    settings = (snap.settings if snap.settings is not None else None)
-    out = e.join(w, ["db_id", "indexrelid"])
-    if settings is not None:
-        out = out.join(settings.select("db_id", "block_size", "maxalign"), "db_id", "left")
+        F.bool_or("is_name").alias("is_na"))
+    if snap.settings is not None:
+        w = w.join(snap.settings.select("db_id", "block_size", "maxalign"), "db_id", "left")
     else:
-        out = out.withColumn("block_size", F.lit(None)).withColumn("maxalign", F.lit(None))
-    return out.select(
-        "db_id", "indexrelid", "tblid", "schema_name", "table_name", "index_name", "reltuples", "relpages",
-        "fillfactor", "table_size_bytes",
+        w = w.withColumn("block_size", F.lit(None)).withColumn("maxalign", F.lit(None))
+    return w.select(
+        "db_id", "indexrelid", "tblid", F.col("nspname").alias("schema_name"), F.col("tblname").alias("table_name"),
+        F.col("idxname").alias("index_name"), "reltuples", "relpages", "fillfactor", "table_size_bytes",
         F.coalesce(F.col("block_size"), F.lit(DEFAULT_BLOCK_SIZE)).cast("int").alias("bs"),
         F.coalesce(F.col("maxalign"), F.lit(DEFAULT_MAXALIGN)).cast("int").alias("maxalign"),
         F.when(F.col("max_null_frac") == 0, F.lit(HDR_NO_NULLS)).otherwise(F.lit(HDR_WITH_NULLS))

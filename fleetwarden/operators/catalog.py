@@ -70,15 +70,17 @@ def index_columns(snap: Snapshot) -> DataFrame:
     return x.withColumn("attnum", F.col("attnum").cast("short"))
 
 
-def index_stats(snap: Snapshot, fanout: str = "reference", eligible: DataFrame | None = None) -> DataFrame:
-    """W9 (step1 input): each index attribute paired with the statistics rows it matches.
+def attribute_pairs(snap: Snapshot, fanout: str = "reference", eligible: DataFrame | None = None) -> DataFrame:
+    """Each eligible index attribute paired with the statistics rows it matches, carrying
+    every column of the eligible index (used by W9 and W10).
 
     A stats row matches when it is in the index's schema and either describes the table
-    column the index column is built from (table name + column definition) or describes
-    the index itself (index name + attribute name). The disjunction is written as two
-    equi-joins on ``(db_id, schema, table, column)`` plus a union; the second branch drops
-    pairs the first branch already matched, so each pair counts once. Attributes without
-    statistics drop out (inner joins).
+    column the index column is built from (table name + column definition, branch 1) or
+    describes the index itself (index name + attribute name, branch 2). The disjunction
+    becomes one equi-join: each attribute is exploded into its two ``(table, column)`` key
+    forms and joined once on ``(db_id, schema, table, column)``. A branch-2 pair whose
+    branch-1 condition also holds is dropped (null-safe), so each pair counts once.
+    Attributes without statistics drop out (inner join).
 
     ``key_weight``: the catalog query pairs attributes with one row per *key column* of
     the index, so a k-column index counts every width k times. ``fanout='reference'``
@@ -88,24 +90,26 @@ def index_stats(snap: Snapshot, fanout: str = "reference", eligible: DataFrame |
         raise ValueError(f"fanout must be one of {FANOUT_MODES}")
     att, typ, st = snap.need("pg_attribute", "pg_type", "pg_stats")
     weight = F.size(F.split("indkey", " ")) if fanout == "reference" else F.lit(1)
-    ix = (eligible if eligible is not None else eligible_indexes(snap)).select("db_id", "indexrelid", "nspname", "tblname", "idxname",
-                                       weight.alias("key_weight"))
+    ix = (eligible if eligible is not None else eligible_indexes(snap)).withColumn("key_weight", weight)
     a = (att.filter(F.col("attnum") > 0)
          .join(typ.select("db_id", F.col("oid").alias("atttypid")), ["db_id", "atttypid"], "left_semi")
          .select("db_id", F.col("attrelid").alias("indexrelid"), "attnum", "attname", "atttypid", "index_def")
          .join(ix, ["db_id", "indexrelid"]))
+    forms = F.explode(F.array(
+        F.struct(F.lit(1).alias("branch"), F.col("tblname").alias("stats_table"), F.col("index_def").alias("stats_attname")),
+        F.struct(F.lit(2).alias("branch"), F.col("idxname").alias("stats_table"), F.col("attname").alias("stats_attname"))))
+    keyed = a.select("*", forms.alias("_k")).select("*", "_k.*").drop("_k")
     s = st.select("db_id", F.col("schemaname").alias("nspname"), F.col("tablename").alias("stats_table"),
                   F.col("attname").alias("stats_attname"), F.col("null_frac").cast("double").alias("null_frac"),
                   F.col("avg_width").cast("int").alias("avg_width"))
-    b1 = a.join(s.withColumnsRenamed({"stats_table": "tblname", "stats_attname": "index_def"})
-                .withColumn("stats_table", F.col("tblname")).withColumn("stats_attname", F.col("index_def")),
-                ["db_id", "nspname", "tblname", "index_def"]).withColumn("branch", F.lit(1))
-    b2 = (a.join(s.withColumnsRenamed({"stats_table": "idxname", "stats_attname": "attname"})
-                 .withColumn("stats_table", F.col("idxname")).withColumn("stats_attname", F.col("attname")),
-                 ["db_id", "nspname", "idxname", "attname"])
-          .filter(~F.coalesce((F.col("idxname") == F.col("tblname")) & (F.col("attname") == F.col("index_def")),
-                              F.lit(False)))
-          .withColumn("branch", F.lit(2)))
-    cols = ["db_id", "indexrelid", "attnum", "attname", "stats_table", "stats_attname", "null_frac",
-            "avg_width", (F.col("atttypid") == NAME_TYPE_OID).alias("is_name"), "key_weight", "branch"]
-    return b1.select(*cols).unionByName(b2.select(*cols))
+    both = F.coalesce((F.col("idxname") == F.col("tblname")) & (F.col("attname") == F.col("index_def")), F.lit(False))
+    return (keyed.join(s, ["db_id", "nspname", "stats_table", "stats_attname"])
+            .filter((F.col("branch") == 1) | ~both)
+            .withColumn("is_name", F.col("atttypid") == NAME_TYPE_OID))
+
+
+def index_stats(snap: Snapshot, fanout: str = "reference", eligible: DataFrame | None = None) -> DataFrame:
+    """W9 (step1 input): attribute x statistics pairs (see ``attribute_pairs``)."""
+    return attribute_pairs(snap, fanout, eligible).select(
+        "db_id", "indexrelid", "attnum", "attname", "stats_table", "stats_attname", "null_frac", "avg_width",
+        "is_name", "key_weight", "branch")
