@@ -90,43 +90,56 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     return child.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
 
 
+def _flag_deleted(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``df`` with a ``deleted`` flag: a left join on the distinct doomed keys (no row
+    duplication; the key side is small and broadcast by size when it can be)."""
+    g = gone.select(key).distinct().withColumn("_gone", F.lit(True))
+    return df.join(g, key, "left").withColumn("deleted", F.coalesce(F.col("_gone"), F.lit(False))).drop("_gone")
+
+
+def kept(flagged: DataFrame) -> DataFrame:
+    return flagged.filter(~F.col("deleted")).drop("deleted")
+
+
+def deleted(flagged: DataFrame) -> DataFrame:
+    return flagged.filter(F.col("deleted")).drop("deleted")
+
+
 def cascade_delete(servers: DataFrame, databases: DataFrame, doomed_servers: DataFrame,
                    ini: DataFrame | None = None, runs: DataFrame | None = None,
                    run_errors: DataFrame | None = None, slices: DataFrame | None = None,
-                   slice_errors: DataFrame | None = None) -> dict[str, tuple[DataFrame, DataFrame]]:
+                   slice_errors: DataFrame | None = None) -> dict[str, DataFrame]:
     """``ON DELETE CASCADE`` from servers down the hierarchy.
 
-    ``doomed_servers`` holds ``pk_id_conn`` of the servers to delete. Returns, per table,
-    ``(kept, deleted)``; every level is a left-anti / left-semi join on its key.
+    ``doomed_servers`` holds ``pk_id_conn`` of the servers to delete. Returns, per table, the
+    table with a boolean ``deleted`` column (``kept()`` / ``deleted()`` split it).
     Servers -> DataBases -> run ledger -> run errors; Servers -> pg_ini / slice ledger / slice errors.
     """
-    ids = doomed_servers.select("pk_id_conn").distinct()
-    out = {"servers": (servers.join(ids, "pk_id_conn", "left_anti"), servers.join(ids, "pk_id_conn", "left_semi"))}
+    ids = doomed_servers.select("pk_id_conn")
+    out = {"servers": _flag_deleted(servers, ids, "pk_id_conn")}
     sid = ids.select(F.col("pk_id_conn").alias("fk_pk_id_conn"))
-    out["databases"] = (databases.join(sid, "fk_pk_id_conn", "left_anti"),
-                        databases.join(sid, "fk_pk_id_conn", "left_semi"))
+    out["databases"] = _flag_deleted(databases, sid, "fk_pk_id_conn")
     for name, df in (("pg_ini", ini), ("slice_ledger", slices), ("slice_errors", slice_errors)):
         if df is not None:
-            out[name] = (df.join(sid, "fk_pk_id_conn", "left_anti"), df.join(sid, "fk_pk_id_conn", "left_semi"))
+            out[name] = _flag_deleted(df, sid, "fk_pk_id_conn")
     if runs is not None:
-        gone_db = out["databases"][1].select(F.col("pk_id_db").alias("fk_pk_id_db_j"))
-        out["run_ledger"] = (runs.join(gone_db, "fk_pk_id_db_j", "left_anti"),
-                             runs.join(gone_db, "fk_pk_id_db_j", "left_semi"))
+        gone_db = deleted(out["databases"]).select(F.col("pk_id_db").alias("fk_pk_id_db_j"))
+        out["run_ledger"] = _flag_deleted(runs, gone_db, "fk_pk_id_db_j")
         if run_errors is not None:
-            gone_run = out["run_ledger"][1].select(F.col("run_key"))
-            out["run_errors"] = (run_errors.join(gone_run, "run_key", "left_anti"),
-                                 run_errors.join(gone_run, "run_key", "left_semi"))
+            gone_run = deleted(out["run_ledger"]).select(F.col("run_key").alias("fk_pk_id_db_k"))
+            out["run_errors"] = _flag_deleted(run_errors, gone_run, "fk_pk_id_db_k")
     return out
 
 
-def cascade_summary(result: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Kept and deleted row counts per table of a cascade (one small aggregate each)."""
+def cascade_summary(result: dict[str, DataFrame]) -> DataFrame:
+    """Kept and deleted row counts per table: one conditional-count aggregate per table."""
     parts = []
-    for name, (kept, deleted) in result.items():
-        parts.append(kept.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("table_name"), F.lit("kept").alias("fate"), "n"))
-        parts.append(deleted.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("table_name"), F.lit("deleted").alias("fate"), "n"))
+    for name, flagged in result.items():
+        agg = flagged.agg(F.count_if(~F.col("deleted")).alias("kept"), F.count_if(F.col("deleted")).alias("gone"))
+        parts.append(agg.select(F.lit(name).alias("table_name"), F.explode(F.array(
+            F.struct(F.lit("kept").alias("fate"), F.col("kept").alias("n")),
+            F.struct(F.lit("deleted").alias("fate"), F.col("gone").alias("n")))).alias("_r"))
+            .select("table_name", "_r.fate", "_r.n"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

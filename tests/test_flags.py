@@ -70,8 +70,10 @@ def test_targets_and_cascade(spark):
     assert [r.pk_id_db for r in fleet.orphans(dbs, servers, "fk_pk_id_conn", "pk_id_conn").collect()] == [13]
     doomed = servers.filter(F.col("pk_id_conn") == 1)
     res = fleet.cascade_delete(servers, dbs, doomed)
-    assert sorted(r.pk_id_db for r in res["databases"][1].collect()) == [10, 11]
-    assert sorted(r.pk_id_db for r in res["databases"][0].collect()) == [12, 13]
+    assert sorted(r.pk_id_db for r in fleet.deleted(res["databases"]).collect()) == [10, 11]
+    assert sorted(r.pk_id_db for r in fleet.kept(res["databases"]).collect()) == [12, 13]
+    summary = {(r.table_name, r.fate): r.n for r in fleet.cascade_summary(res).collect()}
+    assert summary[("servers", "deleted")] == 1 and summary[("databases", "kept")] == 2
 
 
 def test_enrolment_rows(spark):

@@ -36,3 +36,30 @@ def test_ledger_append_and_current_state(spark):
     append_ledger(spark.createDataFrame([(1, 100, "idx_a")], schema), root, "run_ledger", dt.datetime(2024, 1, 1, 2))
     got = {r.fk_pk_id_db_j: r.det_index_name for r in current_state(spark, root).collect()}
     assert got == {1: "idx_a", 2: "NIHIL"}
+
+
+def test_read_jsonlog_and_slice(spark):
+    import datetime as dt
+    import json
+
+    from fleetwarden.operators import slicing
+    from fleetwarden.sources import read_jsonlog
+    root = tempfile.mkdtemp(prefix="fw-jsonlog-")
+    recs = {1: ["2024-03-01 11:59:59.900 UTC", "2024-03-01 12:00:00.000 UTC", "2024-03-01 13:30:00.250 UTC"],
+            2: ["2024-03-01 12:10:00.000 UTC"]}
+    for sid, times in recs.items():
+        os.makedirs(os.path.join(root, f"server_id={sid}"))
+        with open(os.path.join(root, f"server_id={sid}", "postgresql-Fri.json"), "w") as f:
+            for t in times:
+                f.write(json.dumps({"timestamp": t, "error_severity": "LOG", "message": "x"}) + "\n")
+    logs = read_jsonlog(spark, root)
+    rows = sorted((r.server_id, r.log_ts) for r in logs.collect())
+    assert rows[0] == (1, dt.datetime(2024, 3, 1, 11, 59, 59, 900000)) and len(rows) == 4
+    tasks = spark.createDataFrame([(1, 1, dt.datetime(2024, 3, 1, 14, 2), dt.datetime(2024, 3, 1, 12),
+                                    dt.datetime(2024, 3, 1, 14), False, "r.html", "postgresql-Fri.log")],
+                                  "server_id int, pk_id_pgini int, run_ts timestamp_ntz, window_start timestamp_ntz, "
+                                  "window_end timestamp_ntz, end_inclusive boolean, compl_name string, log_name string")
+    rep = slicing.slice_report(logs, tasks).first()
+    assert rep.line_count == 2
+    assert rep.slice_bytes == sum(len(json.dumps({"timestamp": t, "error_severity": "LOG", "message": "x"})) + 1
+                                  for t in recs[1][1:])
