@@ -42,15 +42,13 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
                 failed=None, seconds=None, connect_failed: DataFrame | None = None,
                 checkpoint: bool = True) -> dict[str, DataFrame]:
     """Targets -> ledger rows -> bloat search on the before snapshot -> re-lookup on the
-    after snapshot -> folded ledger and error rows. The searched worklist is read twice, so
-    it is checkpointed into the shared folder when ``checkpoint``, and so are the outcomes,
-    which the abort search, the fold and the error rows all read."""
+    after snapshot -> folded ledger and error rows. The outcomes are read by the abort
+    search, the fold and the error rows, so they are checkpointed into the shared folder
+    when ``checkpoint`` (the worklist is read once, inside the outcomes)."""
     targets = fleet.fleet_targets(servers, databases, BIT_REINDEX)
     runs = ledger.open_runs(targets, run_ts)
     search = bloat.bloat_search(bloat.bloat_report(before, ordered=False), threshold, ordered=False)
     search = search.join(targets.select("db_id"), "db_id", "left_semi")
-    if checkpoint:
-        search = cut_lineage(search)
     compared = bloat.compare_bloat(search, bloat.bloat_report(after, ordered=False))
     outcomes = index_outcomes(compared, targets, connect_failed, failed, seconds)
     if checkpoint:

@@ -27,3 +27,38 @@ def test_quote_literal(spark):
     assert _one(spark, quote_literal(F.lit("O'Brien"))) == "'O''Brien'"
     assert _one(spark, quote_literal(F.lit("a\\b"))) == "E'a\\\\b'"
     assert _one(spark, quote_literal(F.lit(None).cast("string"))) == "NULL"
+
+
+def _tdiv(a: int, b: int) -> int:
+    """Integer division truncating toward zero (C semantics)."""
+    q = abs(a) // b
+    return q if a >= 0 else -q
+
+
+def _pg_size_pretty_reference(size: int) -> str:
+    """The PostgreSQL unit loop written out in Python, for the property test."""
+    units = [("bytes", 10 * 1024, False, 0), ("kB", 20 * 1024 - 1, True, 10), ("MB", 20 * 1024 - 1, True, 20),
+             ("GB", 20 * 1024 - 1, True, 30), ("TB", 20 * 1024 - 1, True, 40), ("PB", 20 * 1024 - 1, True, 50)]
+    for i, (name, limit, rnd, bits) in enumerate(units):
+        if i == len(units) - 1 or abs(size) < limit:
+            if rnd:
+                size = _tdiv(size + (1 if size >= 0 else -1), 2)
+            return f"{size} {name}"
+        nxt = units[i + 1]
+        shift = nxt[3] - bits - (1 if nxt[2] else 0) + (1 if rnd else 0)
+        size = _tdiv(size, 1 << shift)
+
+
+def test_size_pretty_matches_unit_loop(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    vals = [0, 1, 10239, 10240, 20479 * 512 - 1, 20479 * 512, 2 ** 40, 2 ** 50 * 7, -5, -10240, -(2 ** 45)]
+
+    @settings(max_examples=40, deadline=None)
+    @given(st.integers(min_value=-(2 ** 60), max_value=2 ** 60))
+    def collect(v):
+        vals.append(v)
+    collect()
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    for r in df.select("v", pg_size_pretty("v").alias("p")).collect():
+        assert r.p == _pg_size_pretty_reference(r.v), r.v
