@@ -30,7 +30,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from fleetwarden.plans.registry import QUERIES
     from fleetwarden.session import build_session
-    spark = build_session("fleetwarden-bench", cpus=cpus, shuffle_partitions=int(cpus) * 2)
+    spark = build_session("fleetwarden-bench", cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
     times, cold = {}, {}
     for name in HEADLINE:
         runs = []
