@@ -63,3 +63,18 @@ def test_read_jsonlog_and_slice(spark):
     assert rep.line_count == 2
     assert rep.slice_bytes == sum(len(json.dumps({"timestamp": t, "error_severity": "LOG", "message": "x"})) + 1
                                   for t in recs[1][1:])
+
+
+def test_write_slices_keeps_every_line(spark):
+    from fleetwarden.operators import slicing
+    from fleetwarden.plans import standins as S
+    from fleetwarden.sources import write_slices
+
+    from .conftest import SF_SMALL
+    tasks = slicing.slice_tasks(S.servers(spark, SF_SMALL), S.pg_ini(spark, SF_SMALL), S.slice_runs(spark, SF_SMALL))
+    rows = slicing.slice_rows(S.logs(spark, SF_SMALL), tasks)
+    out = os.path.join(tempfile.mkdtemp(prefix="fw-slices-"), "s")
+    write_slices(rows, out, partitions=4)
+    back = spark.read.parquet(out)
+    assert back.count() == rows.count() > 0
+    assert sorted(r.window_day.isoformat() for r in back.select("window_day").distinct().collect())[0].startswith("202")
