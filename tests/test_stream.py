@@ -41,3 +41,24 @@ def test_event_log_stream(spark):
     q.awaitTermination()
     rows = {r.id: r for r in spark.read.parquet(os.path.join(src, "out")).collect()}
     assert rows[1].user_id == "hub" and rows[2].user_id == "bob" and rows[1].event_date is not None
+
+
+def test_jsonlog_files_through_the_slice_stream(spark):
+    import datetime as dt
+    import json
+
+    from fleetwarden.sources import read_jsonlog_stream
+    root = tempfile.mkdtemp(prefix="fw-jsonstream-")
+    src = os.path.join(root, "logs")
+    times = [dt.datetime(2024, 3, 1, 0, 30), dt.datetime(2024, 3, 1, 1, 59, 59), dt.datetime(2024, 3, 1, 2, 0),
+             dt.datetime(2024, 3, 1, 5, 0)]
+    for sid in (1, 2):
+        os.makedirs(os.path.join(src, f"server_id={sid}"))
+        with open(os.path.join(src, f"server_id={sid}", "postgresql-Fri.json"), "w") as f:
+            for t in times:
+                f.write(json.dumps({"timestamp": t.strftime("%Y-%m-%d %H:%M:%S.000 UTC"), "message": "m"}) + "\n")
+    q = run_slice_stream(spark, read_jsonlog_stream(spark, src), os.path.join(root, "out"), os.path.join(root, "ck"))
+    q.awaitTermination()
+    got = sorted((r.server_id, r.window_start.hour, r.line_count) for r in spark.read.parquet(os.path.join(root, "out")).collect())
+    # windows [00,02) and [02,04) are closed by the 05:00 line; [04,06) is still open
+    assert got == [(1, 0, 2), (1, 2, 1), (2, 0, 2), (2, 2, 1)]
