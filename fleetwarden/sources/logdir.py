@@ -49,3 +49,59 @@ def read_jsonlog_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     schema = StructType([StructField("value", StringType()), StructField("server_id", IntegerType())])
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).text(path)
     return _jsonlog_records(s)
+
+
+# A stderr log record starts with its time ("2024-03-01 12:00:00.123 UTC [42] LOG: ...");
+# lines without it continue the previous record.
+STDERR_TIME_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?)"
+
+
+def _fill_split_times(batches):
+    """Per task, in file order: give each continuation line the time of the record it
+    continues. State (the last time seen in the current file split) carries across Arrow
+    batches; lines before a split's first record are marked ``_lead`` for the fix-up."""
+    import pandas as pd
+    key, last = None, None
+    for pdf in batches:
+        split = pdf["_file"].astype(str) + "#" + pdf["_start"].astype(str)
+        new_split = split.ne(split.shift())
+        if len(pdf):
+            new_split.iloc[0] = split.iloc[0] != key
+        group = new_split.cumsum()
+        filled = pdf["_ts"].groupby(group).ffill()
+        if len(pdf) and not new_split.iloc[0]:      # first group continues the previous batch's split
+            first = group == group.iloc[0]
+            filled = filled.where(~first | filled.notna(), last)
+        pdf = pdf.assign(log_ts=filled, _lead=filled.isna())
+        if len(pdf):
+            key = split.iloc[-1]
+            tail = filled[group == group.iloc[-1]].dropna()
+            continues = (group.iloc[-1] == group.iloc[0]) and not new_split.iloc[0]
+            if len(tail):
+                last = tail.iloc[-1]
+            elif not continues:       # the batch ends inside a new split that has no record yet
+                last = None
+        yield pdf.drop(columns=["_ts"]).assign(log_ts=pd.to_datetime(pdf["log_ts"]))
+
+
+def read_stderr_log(spark: SparkSession, path: str) -> DataFrame:
+    """Server logs in PostgreSQL's plain ``stderr`` format under ``<path>/server_id=<n>/``.
+    Returns ``server_id, log_ts, line``; a continuation line keeps its own text and carries
+    the time of the record it belongs to, so it is sliced with that record."""
+    raw = (spark.read.text(path)
+           .select("value", F.col("server_id").cast("int").alias("server_id"),
+                   F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                   F.to_timestamp_ntz(F.nullif(F.regexp_extract("value", STDERR_TIME_PATTERN, 1), F.lit("")))
+                   .alias("_ts")))
+    schema = "value string, server_id int, _file string, _start long, log_ts timestamp_ntz, _lead boolean"
+    filled = raw.mapInPandas(_fill_split_times, schema)
+    # lines ahead of a split's first record continue the last record of the earlier splits
+    # of the same file (times in a log file do not decrease): one small row per split
+    per_split = filled.groupBy("_file", "_start").agg(F.max("log_ts").alias("_split_last"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_split.select("_file", "_start", F.max("_split_last").over(w).alias("_carry"))
+    lead = filled.filter("_lead").join(carry, ["_file", "_start"], "left").select(
+        "server_id", F.col("_carry").alias("log_ts"), F.col("value").alias("line"))
+    body = filled.filter(~F.col("_lead")).select("server_id", "log_ts", F.col("value").alias("line"))
+    return body.unionByName(lead)

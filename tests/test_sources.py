@@ -78,3 +78,53 @@ def test_write_slices_keeps_every_line(spark):
     back = spark.read.parquet(out)
     assert back.count() == rows.count() > 0
     assert sorted(r.window_day.isoformat() for r in back.select("window_day").distinct().collect())[0].startswith("202")
+
+
+def test_read_stderr_log_continuations(spark):
+    import datetime as dt
+
+    from fleetwarden.sources import read_stderr_log
+    root = tempfile.mkdtemp(prefix="fw-stderr-")
+    lines = ["2024-03-01 11:59:59.100 UTC [7] LOG:  statement: SELECT 1",
+             "\tFROM t",
+             "2024-03-01 12:00:00 UTC [7] LOG:  statement: SELECT",
+             "\t2",
+             "\t3",
+             "2024-03-01 12:30:00.5 UTC [8] ERROR:  boom"]
+    os.makedirs(os.path.join(root, "server_id=4"))
+    with open(os.path.join(root, "server_id=4", "postgresql-Fri.log"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    got = sorted((r.log_ts, r.line) for r in read_stderr_log(spark, root).collect())
+    t1, t2, t3 = dt.datetime(2024, 3, 1, 11, 59, 59, 100000), dt.datetime(2024, 3, 1, 12), dt.datetime(2024, 3, 1, 12, 30, 0, 500000)
+    assert got == sorted([(t1, lines[0]), (t1, lines[1]), (t2, lines[2]), (t2, lines[3]), (t2, lines[4]), (t3, lines[5])])
+
+
+def test_read_stderr_log_across_splits(spark):
+    """Force many small splits so continuation lines start splits and batches."""
+    import datetime as dt
+
+    from fleetwarden.sources import read_stderr_log
+    root = tempfile.mkdtemp(prefix="fw-stderr2-")
+    os.makedirs(os.path.join(root, "server_id=1"))
+    expect = []
+    with open(os.path.join(root, "server_id=1", "postgresql-Sat.log"), "w") as f:
+        for i in range(3000):
+            t = dt.datetime(2024, 3, 2) + dt.timedelta(seconds=i)
+            head = f"{t:%Y-%m-%d %H:%M:%S} UTC [1] LOG:  record {i}"
+            f.write(head + "\n")
+            expect.append((t, head))
+            for k in range(i % 4):
+                cont = f"\tcontinued {i}.{k} " + "x" * 40
+                f.write(cont + "\n")
+                expect.append((t, cont))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    old_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for split_bytes, batch_rows in (("4096", "10000"), ("4096", "3"), ("65536", "2")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+            got = sorted((r.log_ts, r.line) for r in read_stderr_log(spark, root).collect())
+            assert got == sorted(expect), (split_bytes, batch_rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old_batch)
