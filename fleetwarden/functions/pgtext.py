@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,9 +54,30 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quote_ident_text(name: str) -> str:
+    """``format('%I', name)`` for a constant, computed once in Python."""
+    if re.fullmatch(SAFE_IDENT_PATTERN[1:-1], name) and name not in PG_QUOTED_KEYWORDS:
+        return name
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+_KEYWORD_SQL = ", ".join(f"'{k}'" for k in PG_QUOTED_KEYWORDS)
+
+
 def quote_ident(c) -> Column:
-    """``format('%I', x)``: double-quote unless the name is a plain lower-case identifier."""
-    col = _col(c)
+    """``format('%I', x)``: double-quote unless the name is a plain lower-case identifier.
+
+    A column given by name is built as one SQL expression (one parse; the keyword list
+    becomes a hash-set lookup); a Column expression is built with the Column API."""
+    if isinstance(c, str):
+        x = _sql_name(c)
+        return F.expr(f"CASE WHEN {x} RLIKE '{SAFE_IDENT_PATTERN}' AND NOT ({x} IN ({_KEYWORD_SQL})) THEN {x} "
+                      f"ELSE concat('\"', replace({x}, '\"', '\"\"'), '\"') END")
+    col = c
     safe = col.rlike(SAFE_IDENT_PATTERN) & ~col.isin(*PG_QUOTED_KEYWORDS)
     quoted = F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))
     return F.when(safe, col).otherwise(quoted)
@@ -80,9 +103,27 @@ def _half_rounded(x: Column) -> Column:
     return F.when(x < 0, -F.shiftright(-x + 1, 1)).otherwise(F.shiftright(x + 1, 1))
 
 
+def _size_pretty_sql(x: str) -> str:
+    def tr(bits):
+        return f"(CASE WHEN {x} < 0 THEN -shiftright(-{x}, {bits}) ELSE shiftright({x}, {bits}) END)"
+
+    def half(h):
+        return f"(CASE WHEN {h} < 0 THEN -shiftright(-{h} + 1, 1) ELSE shiftright({h} + 1, 1) END)"
+    parts = [f"WHEN {x} IS NULL THEN CAST(NULL AS STRING)",
+             f"WHEN abs({x}) < {SIZE_BYTES_LIMIT} THEN concat(CAST({x} AS STRING), ' bytes')"]
+    for i, unit in enumerate(SIZE_UNITS[:-1]):
+        h = tr(9 + 10 * i)
+        parts.append(f"WHEN abs({h}) < {SIZE_HALF_UNIT_LIMIT} THEN concat(CAST({half(h)} AS STRING), ' {unit}')")
+    parts.append(f"ELSE concat(CAST({half(tr(9 + 10 * (len(SIZE_UNITS) - 1)))} AS STRING), ' {SIZE_UNITS[-1]}')")
+    return "CASE " + " ".join(parts) + " END"
+
+
 def pg_size_pretty(c) -> Column:
-    """Human-readable byte count, as PostgreSQL prints it (``4915200`` -> ``4800 kB``)."""
-    v = _col(c).cast("long")
+    """Human-readable byte count, as PostgreSQL prints it (``4915200`` -> ``4800 kB``).
+    A column given by name is built as one SQL expression; a Column with the Column API."""
+    if isinstance(c, str):
+        return F.expr(_size_pretty_sql(f"CAST({_sql_name(c)} AS BIGINT)"))
+    v = c.cast("long")
     # value in half-units of kB, MB, GB, TB, PB: divide by 2**9, then by 2**10 per unit
     halves = [_trunc_shift(v, 9 + 10 * i) for i in range(len(SIZE_UNITS))]
     out = F.when(F.abs(v) < SIZE_BYTES_LIMIT, F.concat(v.cast("string"), F.lit(" bytes")))

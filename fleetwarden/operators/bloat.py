@@ -139,7 +139,7 @@ def bloat_report(snap: Snapshot, fanout: str = "reference", ordered: bool = True
                  F.when(F.length(name) > NAME_DISPLAY_CHARS, F.lit(ELLIPSIS)).otherwise(F.lit("")),
                  F.lit("("), tname, F.lit(")")).alias("index_table_name"),
         real.alias("real_size_bytes"),
-        pg_size_pretty(real).alias("size"),
+        pg_size_pretty("real_size").alias("size"),
         F.col("extra_ratio").alias("extra_ratio_percent"),
         F.when(F.col("extra_size") >= 0, F.col("extra_size")).alias("extra_size_bytes"),
         F.when(bloat >= 0, bloat).alias("bloat_size_bytes"),

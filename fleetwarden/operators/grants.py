@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fleetwarden.functions.acl import (DEFAULT_OBJTYPES, DEFAULT_PRIVILEGES, FUNCTION_PRIVILEGES,
                                        RELATION_KINDS, RELATION_PRIVILEGES, SCHEMA_PRIVILEGES, kind_word,
                                        parse_entry, privilege_list)
-from fleetwarden.functions.pgtext import quote_ident
+from fleetwarden.functions.pgtext import quote_ident, quote_ident_text
 from fleetwarden.sources.catalog import Snapshot
 
 MODES = ("reference", "corrected")
@@ -60,7 +60,7 @@ def relation_grants(snap: Snapshot, grantor: str, grantee: str, mode: str = "ref
         "db_id", F.lit("relation").alias("source"), obj.alias("object_name"), "acl_grantee",
         privs.alias("privileges"),
         F.concat(F.lit("GRANT "), privs, F.lit(" ON "), F.col("_kind"), F.lit(" "), obj, F.lit(" TO "),
-                 quote_ident(F.lit(grantee)), F.lit(";")).alias("grant_sql"),
+                 F.lit(quote_ident_text(grantee)), F.lit(";")).alias("grant_sql"),
         (privs != "").alias("valid")), mode)
 
 
@@ -77,7 +77,7 @@ def function_grants(snap: Snapshot, grantor: str, grantee: str, mode: str = "ref
     return _finish(e.select(
         "db_id", F.lit("function").alias("source"), obj.alias("object_name"), "acl_grantee",
         privs.alias("privileges"),
-        F.concat(F.lit("GRANT EXECUTE ON FUNCTION "), obj, F.lit(" TO "), quote_ident(F.lit(grantee)),
+        F.concat(F.lit("GRANT EXECUTE ON FUNCTION "), obj, F.lit(" TO "), F.lit(quote_ident_text(grantee)),
                  F.lit(";")).alias("grant_sql"),
         F.lit(True).alias("valid")), mode)
 
@@ -93,7 +93,7 @@ def schema_grants(snap: Snapshot, grantor: str, grantee: str, mode: str = "refer
     return _finish(e.select(
         "db_id", F.lit("schema").alias("source"), obj.alias("object_name"), "acl_grantee",
         privs.alias("privileges"),
-        F.concat(F.lit("GRANT "), privs, F.lit(" ON SCHEMA "), obj, F.lit(" TO "), quote_ident(F.lit(grantee)),
+        F.concat(F.lit("GRANT "), privs, F.lit(" ON SCHEMA "), obj, F.lit(" TO "), F.lit(quote_ident_text(grantee)),
                  F.lit(";")).alias("grant_sql"),
         (privs != "").alias("valid")), mode)
 
@@ -116,9 +116,9 @@ def default_grants(snap: Snapshot, grantor: str, grantee: str, mode: str = "refe
     return _finish(e.select(
         "db_id", F.lit("default").alias("source"), quote_ident("nspname").alias("object_name"), "acl_grantee",
         privs.alias("privileges"),
-        F.concat(F.lit("ALTER DEFAULT PRIVILEGES FOR ROLE "), quote_ident(F.lit(grantor)), F.lit(" IN SCHEMA "),
+        F.concat(F.lit("ALTER DEFAULT PRIVILEGES FOR ROLE "), F.lit(quote_ident_text(grantor)), F.lit(" IN SCHEMA "),
                  quote_ident("nspname"), F.lit(" GRANT "), privs, F.lit(" ON "), objword, F.lit(" TO "),
-                 quote_ident(F.lit(grantee)), F.lit(";")).alias("grant_sql"),
+                 F.lit(quote_ident_text(grantee)), F.lit(";")).alias("grant_sql"),
         valid.alias("valid")), mode)
 
 

@@ -62,3 +62,14 @@ def test_size_pretty_matches_unit_loop(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v long")
     for r in df.select("v", pg_size_pretty("v").alias("p")).collect():
         assert r.p == _pg_size_pretty_reference(r.v), r.v
+
+
+def test_named_and_expression_paths_agree(spark):
+    from fleetwarden.functions.pgtext import quote_ident_text
+    names = ["abc", "My Table", "select", 'a"b', "", "1-urgent", "user", "x_1", "Café", "a`b"]
+    df = spark.createDataFrame([(n, v) for n, v in zip(names, [0, 10239, 10240, 4915200, -10240, 2 ** 45, None,
+                                                               10485248, 7, 1])], "n string, v long")
+    rows = df.select(quote_ident("n").alias("a"), quote_ident(F.col("n")).alias("b"), "n",
+                     pg_size_pretty("v").alias("c"), pg_size_pretty(F.col("v")).alias("d")).collect()
+    for r in rows:
+        assert r.a == r.b == quote_ident_text(r.n) and r.c == r.d
