@@ -155,3 +155,12 @@ def test_threshold_strict(spark):
                                 "db_id long, bloat_ratio_percent double, schema_name string, table_name string, "
                                 "index_name string")
     assert [r.index_name for r in bloat.bloat_search(rep).collect()] == ["b"]
+
+
+def test_sql_views(spark):
+    from fleetwarden.plans.views import register_views
+    snap = snapshot(spark, [dict(BASE), dict(BASE, idx=11, tbl=111, table="u", name="small", pages=300)])
+    assert register_views(spark, snap) == ["get_bloated_indexes", "bloated_index_worklist"]
+    r = spark.sql("SELECT index_name, size FROM get_bloated_indexes WHERE bloat_ratio_percent > 24.99").collect()
+    assert [(x.index_name, x.size) for x in r] == [("t_c_idx", "4800 kB")]
+    assert spark.sql("SELECT count(*) AS n FROM bloated_index_worklist").first().n == 1
