@@ -13,19 +13,38 @@ from fleetwarden.session import cut_lineage
 from fleetwarden.sources.catalog import Snapshot
 
 
+ACTION_KEYS = ["db_id", "schema_name", "table_name", "index_name"]
+
+
 def index_outcomes(compared: DataFrame, targets: DataFrame, connect_failed: DataFrame | None = None,
-                   failed: "F.Column | None" = None, seconds: "F.Column | None" = None) -> DataFrame:
+                   failed: "F.Column | None" = None, seconds: "F.Column | None" = None,
+                   actions: DataFrame | None = None) -> DataFrame:
     """Outcome rows for the run ledger from the before/after comparison of the target
-    databases. ``failed`` marks indexes whose maintenance action failed; ``connect_failed``
-    (``db_id, err_message, err_code``) lists databases that could not be reached."""
+    databases. The maintenance actions' results come either as ``actions`` (``db_id,
+    schema_name, table_name, index_name, ok, seconds, err_message, err_detail, err_code``,
+    as reported by whatever ran them; a missing row means success in 0 s) or as the column
+    rules ``failed`` / ``seconds``. ``connect_failed`` (``db_id, err_message, err_code``)
+    lists databases that could not be reached."""
     t = targets.select("server_id", "db_id")
-    bad = failed if failed is not None else F.lit(False)
-    secs = seconds if seconds is not None else F.lit(0)
-    idx = compared.join(t, "db_id").select(
+    c = compared.join(t, "db_id")
+    if actions is not None:
+        a = actions.select(*ACTION_KEYS, F.col("ok").alias("_ok"), F.col("seconds").alias("_secs"),
+                           F.col("err_message").alias("_msg"), F.col("err_detail").alias("_det"),
+                           F.col("err_code").alias("_code"))
+        c = c.join(a, ACTION_KEYS, "left")
+        bad = ~F.coalesce(F.col("_ok"), F.lit(True))
+        secs = F.coalesce(F.col("_secs"), F.lit(0))
+        msg, det, code = F.when(bad, F.col("_msg")), F.when(bad, F.col("_det")), F.when(bad, F.col("_code"))
+    else:
+        bad = failed if failed is not None else F.lit(False)
+        secs = seconds if seconds is not None else F.lit(0)
+        msg, det, code = (F.when(bad, F.lit("index build failed")), F.lit(None).cast("string"),
+                          F.when(bad, F.lit("55000")))
+    idx = c.select(
         "server_id", "db_id", (~bad).alias("ok"), "schema_name", "table_name", "index_name",
         "bloat_before", "bloat_after", secs.cast("long").alias("seconds"),
-        F.when(bad, F.lit("index build failed")).alias("err_message"),
-        F.lit(None).cast("string").alias("err_detail"), F.when(bad, F.lit("55000")).alias("err_code"))
+        msg.cast("string").alias("err_message"), det.cast("string").alias("err_detail"),
+        code.cast("string").alias("err_code"))
     if connect_failed is None:
         return idx
     conn = connect_failed.join(t, "db_id").select(
@@ -40,7 +59,7 @@ def index_outcomes(compared: DataFrame, targets: DataFrame, connect_failed: Data
 def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, after: Snapshot, run_ts,
                 threshold: float = bloat.DEFAULT_THRESHOLD, on_error: str = "stop_run",
                 failed=None, seconds=None, connect_failed: DataFrame | None = None,
-                checkpoint: bool = True) -> dict[str, DataFrame]:
+                checkpoint: bool = True, actions: DataFrame | None = None) -> dict[str, DataFrame]:
     """Targets -> ledger rows -> bloat search on the before snapshot -> re-lookup on the
     after snapshot -> folded ledger and error rows. The outcomes are read by the abort
     search, the fold and the error rows, so they are checkpointed into the shared folder
@@ -50,7 +69,7 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
     search = bloat.bloat_search(bloat.bloat_report(before, ordered=False), threshold, ordered=False)
     search = search.join(targets.select("db_id"), "db_id", "left_semi")
     compared = bloat.compare_bloat(search, bloat.bloat_report(after, ordered=False))
-    outcomes = index_outcomes(compared, targets, connect_failed, failed, seconds)
+    outcomes = index_outcomes(compared, targets, connect_failed, failed, seconds, actions)
     if checkpoint:
         outcomes = cut_lineage(outcomes)
     return {"targets": targets, "worklist": search, "outcomes": outcomes,
