@@ -34,7 +34,7 @@ INDEX_KEYS = ["db_id", "indexrelid", "tblid", "nspname", "tblname", "idxname", "
 
 
 def index_widths(snap: Snapshot, fanout: str = "reference") -> DataFrame:
-    """W10 (step1): per index, header size, summed data width and the ``name``-type flag.
+    """Per index, header size, summed data width and the ``name``-type flag.
 
     Grouped by the index identity plus its functionally dependent columns (as the catalog
     query groups), so the eligible-index set is computed once and nothing is joined back;
@@ -70,7 +70,7 @@ def _pad(x: Column, m: Column) -> Column:
 
 
 def aligned_widths(df: DataFrame) -> DataFrame:
-    """W11 (step2): header and data width, each aligned up to ``maxalign``.
+    """Header and data width, each aligned up to ``maxalign``.
     The data width is rounded half-to-even before its remainder is taken."""
     m = F.col("maxalign")
     hdr = F.col("index_tuple_hdr_bm")
@@ -81,7 +81,7 @@ def aligned_widths(df: DataFrame) -> DataFrame:
 
 
 def page_estimates(df: DataFrame) -> DataFrame:
-    """W12 (step3): expected pages without and with the fill factor.
+    """Expected pages without and with the fill factor.
 
     ``1 + ceil(reltuples / floor(usable / (4 + tuple)))`` (0 when reltuples is NULL). When
     a tuple is wider than a page the floor is 0; the estimate is then NULL and
@@ -101,7 +101,7 @@ def page_estimates(df: DataFrame) -> DataFrame:
 
 
 def bloat_measures(df: DataFrame) -> DataFrame:
-    """W13 (step4): real size, extra size / ratio and bloat size / ratio."""
+    """Real size, extra size / ratio and bloat size / ratio."""
     bs, rp = F.col("bs").cast("long"), F.col("relpages")
     est, est_ff = F.col("est_pages"), F.col("est_pages_ff")
     return df.withColumns({

@@ -64,7 +64,7 @@ def eligible_indexes(snap: Snapshot) -> DataFrame:
 
 
 def index_columns(snap: Snapshot) -> DataFrame:
-    """W8 (step0): one row per key column of each eligible index (``indkey`` exploded)."""
+    """One row per key column of each eligible index (``indkey`` exploded)."""
     e = eligible_indexes(snap)
     x = e.select(*[c for c in e.columns if c != "indkey"], F.explode(F.split("indkey", " ")).alias("attnum"))
     return x.withColumn("attnum", F.col("attnum").cast("short"))
@@ -109,7 +109,7 @@ def attribute_pairs(snap: Snapshot, fanout: str = "reference", eligible: DataFra
 
 
 def index_stats(snap: Snapshot, fanout: str = "reference", eligible: DataFrame | None = None) -> DataFrame:
-    """W9 (step1 input): attribute x statistics pairs (see ``attribute_pairs``)."""
+    """Attribute x statistics pairs (see ``attribute_pairs``)."""
     return attribute_pairs(snap, fanout, eligible).select(
         "db_id", "indexrelid", "attnum", "attname", "stats_table", "stats_attname", "null_frac", "avg_width",
         "is_name", "key_weight", "branch")
