@@ -31,19 +31,24 @@ def main() -> None:
     from fleetwarden.plans.registry import QUERIES
     from fleetwarden.session import build_session
     spark = build_session("fleetwarden-bench", cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
-    times, cold = {}, {}
+    times, cold, errors = {}, {}, {}
     for name in HEADLINE:
         runs = []
-        for i in range(repeat + 1):
-            t = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t)
+        try:
+            for i in range(repeat + 1):
+                t = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t)
+        except Exception as e:  # record and go on: one failing query must not lose the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         cold[name] = round(runs[0], 3)
-        times[name] = round(statistics.median(runs[1:]), 3)
+        times[name] = round(statistics.median(runs[1:] or runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum of warm median seconds over headline queries",
                       "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
-                      "cold": cold, "sf": sf, "cpus": int(cpus), "repeat": repeat}))
+                      "cold": cold, "sf": sf, "cpus": int(cpus), "repeat": repeat,
+                      **({"errors": errors} if errors else {})}))
 
 
 if __name__ == "__main__":
