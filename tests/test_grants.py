@@ -49,3 +49,10 @@ def test_function_schema_default(spark):
     rep = grants.grant_report(snap(spark), "gr", "reader")
     assert rep.count() == 6 + 2 + 3 + 2
     assert grants.grant_report(snap(spark), "gr", "reader", distinct=True).count() == 6 + 1 + 3 + 2
+
+
+def test_grant_statements_view(spark):
+    from fleetwarden.plans.views import register_views
+    assert register_views(spark, acl=snap(spark), grantor="gr", grantee="reader") == ["grant_statements"]
+    n = spark.sql("SELECT count(*) AS n FROM grant_statements WHERE source = 'schema' AND NOT valid").first().n
+    assert n == 1
