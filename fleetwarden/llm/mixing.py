@@ -5,8 +5,9 @@ source size. Whole copies are certain; the fractional parts are rounded in pairs
 documents trade word mass in a random direction until one of them is integral, which keeps
 the words of the pair, and so of the source, unchanged and every expected count right. A
 group of documents thus ends with one fractional document at most. These residuals meet
-again one round up the reduction tree, and the last one of a source is rounded to the
-nearer side. The words taken differ from the target by half a document at most.
+again one round up the reduction tree. The last one of a source becomes integral together
+with the one other document of its round that leaves the words closest to the target, so
+that they differ from it by half a document at most, and usually by a few words.
 
 Fixed numbers of rows per group keep every task small whatever share a source holds, and
 the draws are hashes of document identifiers, so that reruns agree on any cluster.
@@ -84,9 +85,24 @@ def pair_off(group: pd.DataFrame) -> pd.DataFrame:
             held = -1
         else:
             held = near
+    if held >= 0 and group["runs"].iloc[0] == 1:
+        close(x, size, held)
     return group.assign(x=x)
 
 
+def close(x: list[float], size: list[int], held: int) -> None:
+    """Settles the last fractional row of a source: it goes to 0 or 1, alone or with the one
+    other row whose change brings the words closest to what they should be."""
+    best = min((abs(x[held] - to) * size[held], to, -1) for to in (0.0, 1.0))
+    for k in range(len(x)):
+        if k != held and size[k]:
+            to = x[k]  # a row at 0 may take over what the last one gives up, and the reverse
+            best = min(best, (abs((x[held] - to) * size[held] - (1 - 2 * to) * size[k]), to, k))
+    x[held] = best[1]
+    if best[2] >= 0:
+        x[best[2]] = 1.0 - best[1]
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 2000,
                 fan_in: int = 64, seed: int = 42) -> DataFrame:
@@ -103,24 +119,24 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                 F.monotonically_increasing_id().alias("row")), "sizes")
     targets = written(source_targets(sizes, weights, share, cap), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    runs = F.ceil(F.col("rows") / group_rows)
+    runs = F.ceil(F.col("t.rows") / group_rows)
     rated = (sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
              .select("d.doc_id", "d.source", "d.size", "d.draw", "d.row", "t.source_size", "t.target",
-                     F.floor(ratio).alias("base"), (ratio - F.floor(ratio)).alias("part"),
+                     F.floor(ratio).alias("base"), (ratio - F.floor(ratio)).alias("part"), runs.alias("runs"),
                      F.pmod(F.xxhash64("d.doc_id", F.lit(seed + 1)), runs).alias("run")))
     # size 0 has no mass to trade: its fraction is drawn on its own
     rated = rated.withColumn("x", F.when(F.col("size") == 0, (F.col("draw") < F.col("part")).cast("double")).otherwise(F.col("part")))
-    cols = ["doc_id", "source", "size", "draw", "row", "source_size", "target", "base", "run", "x"]
+    cols = ["doc_id", "source", "size", "draw", "row", "source_size", "target", "base", "runs", "run", "x"]
     schema = rated.select(*cols).schema
     level = written(rated.select(*cols).groupBy("source", "run").applyInPandas(pair_off, schema), "rounded-0")
     open_ = (F.col("x") > 0) & (F.col("x") < 1)
     done, k = [level.where(~open_)], targets.agg(F.max(F.ceil(F.col("rows") / group_rows))).first()[0] or 0
     while k > 1:  # one round of the tree per factor of fan_in in the runs of the largest source
         k = -(-k // fan_in)
-        level = written(level.where(open_).withColumn("run", F.floor(F.col("run") / fan_in)).select(*cols)
+        level = written(level.where(open_).withColumn("run", F.floor(F.col("run") / fan_in))
+                        .withColumn("runs", F.ceil(F.col("runs") / fan_in)).select(*cols)
                         .groupBy("source", "run").applyInPandas(pair_off, schema), f"rounded-{k}")
         done.append(level.where(~open_))
-    done.append(level.where(open_).withColumn("x", F.round("x")))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
