@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_by_bytes
+from .simhash import simhash_groups
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,13 +26,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mix_sources(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken", "copies"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op6_exact_dedup, op7_sharding, op9_mixing)}
+    f.__name__: f for f in (op3_packing, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": f"""
