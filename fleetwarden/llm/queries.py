@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
+from .langid import identify
 from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_by_bytes
@@ -35,8 +36,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken", "copies"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing)}
+    f.__name__: f for f in (op3_packing, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op6_exact_dedup": f"""
