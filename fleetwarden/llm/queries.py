@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .langid import identify
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_by_bytes
@@ -19,6 +21,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -41,9 +48,35 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
+    f.__name__: f for f in (op3_packing, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
 
 ORACLE: dict[str, str] = {
+    "op5_line_dedup": r"""
+        WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                          generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+        t AS (SELECT doc_id, pos, list_transform(regexp_split_to_array(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                  '[\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t FROM l),
+        p AS (SELECT doc_id, pos, t, {'n': len(t), 'head': t[1:3]} AS leaf FROM t WHERE len(t) >= 3),
+        leaves AS (SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT doc_id) >= 4),
+        shared AS (SELECT p.* FROM p JOIN leaves USING (leaf)),
+        lines AS (SELECT leaf, t, count(DISTINCT doc_id) AS n FROM shared GROUP BY ALL),
+        tokens AS (SELECT leaf, t, n, unnest(t) AS token, generate_subscripts(t, 1) AS "at" FROM lines),
+        frequent AS (SELECT leaf, "at", token FROM tokens GROUP BY leaf, "at", token HAVING sum(n) >= 4),
+        general AS (SELECT x.leaf, x.t, any_value(x.n) AS n, list(coalesce(f.token, '<*>') ORDER BY x."at") AS g
+                    FROM tokens x LEFT JOIN frequent f ON x.leaf = f.leaf AND x."at" = f."at" AND x.token = f.token GROUP BY x.leaf, x.t),
+        signed AS (SELECT leaf, t, n, CASE WHEN len(list_filter(g, lambda x: x <> '<*>')) >= 0.8 * len(g) THEN g ELSE t END AS sign FROM general),
+        weighed AS (SELECT leaf, sign, sum(n) AS s FROM signed GROUP BY ALL),
+        main AS (SELECT leaf, max_by(sign, {'s': s, 'sign': sign}) AS main FROM weighed GROUP BY leaf),
+        template AS (SELECT leaf, t, CASE WHEN len(list_filter(list_zip(sign, main),
+                         lambda z: z[1] <> z[2] AND z[1] <> '<*>' AND z[2] <> '<*>')) = 0 THEN main ELSE sign END AS template
+                     FROM signed JOIN main USING (leaf)),
+        placed AS (SELECT template, doc_id, pos FROM shared JOIN template USING (leaf, t)),
+        recurring AS (SELECT template, min({'d': doc_id, 'p': pos}) AS first FROM placed GROUP BY template HAVING count(DISTINCT doc_id) >= 4),
+        gone AS (SELECT doc_id, pos FROM placed JOIN recurring USING (template) WHERE {'d': doc_id, 'p': pos} <> first),
+        kept AS (SELECT l.doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.pos) AS INTEGER) AS n_dropped,
+                        coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+                 FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
+        SELECT doc_id, n_lines, n_dropped, CAST(length(text) AS INTEGER) AS kept_chars, sha256(text) AS kept_sha256 FROM kept""",
     "op6_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS h FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
