@@ -105,9 +105,10 @@ def close(x: list[float], size: list[int], held: int) -> None:
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple = (3, 1, 2), share: float = 1.5, cap: float = 2.0, group_rows: int = 2000,
-                fan_in: int = 64, seed: int = 42) -> DataFrame:
+                fan_in: int = 64, seed: int = 42, row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: id, source, ``size`` (words), ``source_size``,
-    ``target``, ``copies`` (0 to ``cap``) and ``taken`` (copies times size).
+    ``target``, ``copies`` (0 to ``cap``), ``taken`` (copies times size) and ``row`` (a
+    number of the row, or ``row_col``).
 
     Null and empty texts have size 0 and take no words; their fraction is rounded by its
     own draw. Rows of a null source form a source of their own. Repeated rows are rounded
@@ -116,7 +117,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) / F.lit(float(1 << 53)))
     sizes = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
                                 word_count(text_col).alias("size"), u.alias("draw"),
-                                F.monotonically_increasing_id().alias("row")), "sizes")
+                                (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row")), "sizes")
     targets = written(source_targets(sizes, weights, share, cap), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     runs = F.ceil(F.col("t.rows") / group_rows)
@@ -142,4 +143,16 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out = out.unionByName(more)
     copies = (F.col("base") + F.col("x")).cast("long")
     return out.select(F.col("doc_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-                      copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+                      copies.alias("copies"), (copies * F.col("size")).alias("taken"), "row")
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", **mixing) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns kept."""
+    names, clash, n = docs.columns, "_row", "_copies"
+    while clash in names or n in names:
+        clash, n = clash + "_", n + "_"
+    marked = written(docs.withColumn(clash, F.monotonically_increasing_id()), "marked")
+    mix = mix_sources(marked, id_col, row_col=clash, **mixing).where(F.col("copies") > 0)
+    mix = written(mix.select(F.col("row").alias(clash), F.col("copies").alias(n)), "mix")
+    return (marked.join(mix, clash).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in names]))
