@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest_neighbours
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .langid import identify
@@ -21,6 +22,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
@@ -48,7 +53,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
+    f.__name__: f for f in (op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
