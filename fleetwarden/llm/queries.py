@@ -16,6 +16,12 @@ from .mixing import mix_sources
 from .packing import pack_documents
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
+from .substrings import dedup_substrings
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (dedup_substrings(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
+    f.__name__: f for f in (op1_suffix_dedup, op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
