@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
+def _checksum(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.shiftright(F.xxhash64("u", "v"), 20))).first()
     return row[0], row[1]
 
@@ -19,17 +19,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hangs the larger neighbours of a vertex under its smallest one, then the
     smaller ones; the number of rounds grows with the logarithm of the longest path. Rounds
-    are written tables and only their count and a checksum reach the driver.
+    are written tables and only their count and a checksum reach the driver. A vertex with
+    very many edges is a group of 16-byte rows, which a window sorts and spills.
     """
+    low = F.min("v").over(Window.partitionBy("u"))
     e = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
-    while (now := _fingerprint(e)) != before and now[0]:
+    while (now := _checksum(e)) != before and now[0]:
         before = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = written(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("low")), "low")
-        large = written(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct(), "large")
-        low = written(large.groupBy("u").agg(F.min("v").alias("low")), "low")
-        e = written(large.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
-                    .unionByName(low.select("u", F.col("low").alias("v"))).distinct(), "edges")
+        large = both.withColumn("low", F.least("u", low)).where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        small = large.withColumn("low", low).select(F.when(F.col("v") > F.col("low"), F.col("v")).otherwise(F.col("u")).alias("a"), "u", "low")
+        e = written(small.select(F.explode(F.array_distinct(F.array("a", "u"))).alias("u"), F.col("low").alias("v")).distinct(), "edges")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 DIMS = 1 << 13
 #: Texts are counted together up to so many characters and so many texts.
 SLICE_CHARS, SLICE_TEXTS = 2_000_000, 256
@@ -180,8 +182,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fitting) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns kept."""
-    out = "_language"
-    while out in docs.columns:
-        out += "_"
+    (out,) = fresh(docs, "_language")
     found = predict(docs, fit(docs, id_col, text_col, lang_col, **fitting), text_col, out)
     return found.where(~F.col(f"{out}.rejected")).drop(out)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import columns, fresh, written
 
 FIELD = "<*>"
 _BLANK = r"[\x20\x09-\x0D]"
@@ -39,40 +39,41 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line of a template, by identifier and position, stays. Null texts stay null, empty ones
     empty; rows repeated with the same identifier and text are one document and are cut
     alike. Rows without identifier count as one document. An empty table gives an empty
-    result; other columns pass through, so ``docs`` must not have the two added ones.
+    result. Other columns pass through, but for any named like the two added ones.
     """
+    _doc, _row, _gone = fresh(docs, "_doc", "_row", "_gone")
     lines = F.split(F.col(text_col), "\n")
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_doc")
-    row = F.xxhash64(F.col(id_col), F.col(text_col)).alias("_row")
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias(_doc)
+    row = F.xxhash64(F.col(id_col), F.col(text_col)).alias(_row)
     parsed = (docs.select(doc, row, F.posexplode(lines).alias("pos", "line"))
-              .select("_doc", "_row", "pos", line_tokens(F.col("line")).alias("t")).where(F.size("t") >= min_tokens)
-              .select("_doc", "_row", "pos", F.xxhash64(F.size("t"), F.slice("t", 1, depth)).alias("leaf"),
+              .select(_doc, _row, "pos", line_tokens(F.col("line")).alias("t")).where(F.size("t") >= min_tokens)
+              .select(_doc, _row, "pos", F.xxhash64(F.size("t"), F.slice("t", 1, depth)).alias("leaf"),
                       F.xxhash64("t").alias("line"), F.xxhash64(F.lit(1), F.col("t")).alias("line2")))
     parsed = written(parsed, "lines")
-    leaves = written(parsed.select("leaf", "_doc").distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
+    leaves = written(parsed.select("leaf", _doc).distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
                      .where(F.col("docs") >= min_docs).select("leaf"), "leaves")
     shared = written(parsed.join(leaves, "leaf"), "shared-lines")
     key = ["leaf", "line", "line2"]
-    place = F.struct("_doc", "_row", "pos")
-    once = (shared.groupBy(*key, "_doc").agg(F.min(place).alias("at")).groupBy(*key)
+    place = F.struct(_doc, _row, "pos")
+    once = (shared.groupBy(*key, _doc).agg(F.min(place).alias("at")).groupBy(*key)
             .agg(F.count("*").alias("n"), F.min("at").alias("at")))
-    wanted = once.groupBy("at._doc", "at._row").agg(F.collect_list(F.struct("at.pos", *key, "n")).alias("of"))
+    wanted = once.groupBy(f"at.{_doc}", f"at.{_row}").agg(F.collect_list(F.struct("at.pos", *key, "n")).alias("of"))
     texts = docs.select(doc, row, F.col(text_col).alias("text"))
-    distinct = written(texts.join(written(wanted, "wanted"), ["_doc", "_row"])
+    distinct = written(texts.join(written(wanted, "wanted"), [_doc, _row])
                        .select(F.split("text", "\n").alias("lines"), F.explode("of").alias("x"))
                        .select("x.leaf", "x.line", "x.line2", "x.n", line_tokens(F.get("lines", F.col("x.pos"))).alias("t"))
                        .dropDuplicates(key), "distinct-lines")
     templates = written(generalised(distinct, min_docs, constant), "templates")
-    placed = written(shared.join(templates, key).select("template", "_doc", "_row", "pos"), "placed")
-    recurring = written(placed.groupBy("template", "_doc").agg(F.min(place).alias("at")).groupBy("template")
+    placed = written(shared.join(templates, key).select("template", _doc, _row, "pos"), "placed")
+    recurring = written(placed.groupBy("template", _doc).agg(F.min(place).alias("at")).groupBy("template")
                         .agg(F.count("*").alias("docs"), F.min("at").alias("first")).where(F.col("docs") >= min_docs), "recurring")
-    gone = (placed.join(recurring, "template").where(F.struct("_doc", "_row", "pos") != F.col("first"))
-            .groupBy("_doc", "_row").agg(F.collect_set("pos").alias("_gone")))
-    kept = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains(F.col("_gone"), s["i"]))
-    cut = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    return (docs.select(*[F.col(f"`{c}`") for c in docs.columns], doc, row).join(written(gone, "gone"), ["_doc", "_row"], "left")
-            .select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-                    F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_dropped")))
+    gone = (placed.join(recurring, "template").where(F.struct(_doc, _row, "pos") != F.col("first"))
+            .groupBy(_doc, _row).agg(F.collect_set("pos").alias(_gone)))
+    kept = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains(F.col(_gone), s["i"]))
+    cut = F.when(F.col(_gone).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
+    return (docs.select(*columns(docs), doc, row).join(written(gone, "gone"), [_doc, _row], "left")
+            .select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
+                    F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.when(F.col(_gone).isNull(), 0).otherwise(F.size(_gone)).alias("n_dropped")))
 
 
 def generalised(distinct: DataFrame, min_docs: int, constant: float) -> DataFrame:

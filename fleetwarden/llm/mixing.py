@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, columns, fresh, written
 
 
 def word_count(text_col: str):
@@ -148,11 +148,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def take_mix(docs: DataFrame, id_col: str = "doc_id", **mixing) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all columns kept."""
-    names, clash, n = docs.columns, "_row", "_copies"
-    while clash in names or n in names:
-        clash, n = clash + "_", n + "_"
+    clash, n = fresh(docs, "_row", "_copies")
     marked = written(docs.withColumn(clash, F.monotonically_increasing_id()), "marked")
     mix = mix_sources(marked, id_col, row_col=clash, **mixing).where(F.col("copies") > 0)
     mix = written(mix.select(F.col("row").alias(clash), F.col("copies").alias(n)), "mix")
     return (marked.join(mix, clash).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in names]))
+            .select(*columns(docs)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
+from .chaining import repeated_passages
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .langid import identify
@@ -24,6 +25,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
+    f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import columns, fresh, written
 from .components import components
 
 SEED = 42
@@ -68,18 +68,18 @@ def close_links(fps: DataFrame, max_distance: int, dense: int = 32) -> DataFrame
     whose components are those of all pairs within ``max_distance`` bits."""
     masks = bucket_masks(max_distance)
     near = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_distance
-    entries = written(fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "key")), "entries")
-    sizes = written(entries.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    entries = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("mask", "key"))
+    sizes = entries.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(entries.join(sizes, ["mask", "key"]), "shared")
     few = shared.where(F.col("n") <= dense)
     links = (few.alias("a").join(few.alias("b"), ["mask", "key"]).where((F.col("a.fp") < F.col("b.fp")) & near)
              .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
     flips = [0] + [_signed(list(c)) for k in range(1, (max_distance + 1) // 2 + 1) for c in combinations(range(64), k)]
-    within = F.lit(max_distance // 2)
     crowded = shared.where(F.col("n") > dense).select("fp").distinct()
-    points = written(crowded.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(f)) for f in flips])).alias("point"))
-                     .withColumn("off", F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))), "points")
-    hubs = written(points.groupBy("point").agg(F.min(F.when(F.col("off") <= within, F.col("fp"))).alias("fp"), F.count("*").alias("n")).where("n > 1"), "hubs")
+    points = (crowded.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(f)) for f in flips])).alias("point"))
+              .withColumn("off", F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))))
+    hubs = (points.groupBy("point").agg(F.min(F.when(F.col("off") <= max_distance // 2, F.col("fp"))).alias("fp"), F.count("*").alias("n"))
+            .where("n > 1 AND fp IS NOT NULL"))
     ties = (points.alias("a").join(hubs.alias("b"), "point").where((F.col("a.fp") != F.col("b.fp")) & near)
             .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
     return links.unionByName(ties)
@@ -103,10 +103,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = F.min(F.struct("doc_id", "row"))
     fps = written(rows.groupBy("fp").agg(first.alias("first")), "distinct")
     joined = components(close_links(fps, max_distance))
-    of_fp = written(fps.join(joined.withColumnRenamed("id", "fp"), "fp", "left")
-                    .select("fp", "first", F.coalesce("component", "fp").alias("component")), "of-fp")
-    lowest = written(of_fp.groupBy("component").agg(F.min("first").alias("lowest")), "lowest")
-    of_fp = written(of_fp.join(lowest, "component").select("fp", "lowest"), "components")
+    # fingerprints without links are components of their own and skip the joins
+    linked = fps.join(joined.withColumnRenamed("id", "fp"), "fp").select("fp", "component", "first")
+    lowest = linked.groupBy("component").agg(F.min("first").alias("lowest"))
+    linked = written(linked.join(lowest, "component").select("fp", "lowest"), "components")
+    of_fp = written(fps.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("lowest")), "of-fp")
     return (rows.join(of_fp, "fp")
             .select("doc_id", "row", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.col("lowest.doc_id").alias("component_id"), (F.col("row") == F.col("lowest.row")).alias("keeper")))
@@ -115,10 +116,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                      max_distance: int = 2) -> DataFrame:
     """The rows of ``docs`` that are the ``keeper`` of their component, all columns kept."""
-    clash = "_row"
-    while clash in docs.columns:
-        clash += "_"
+    (clash,) = fresh(docs, "_row")
     marked = written(docs.withColumn(clash, F.monotonically_increasing_id()), "marked")
     groups = simhash_groups(marked, id_col, text_col, shingle_words, max_distance, row_col=clash)
     keepers = written(groups.where("keeper").select(F.col("row").alias(clash)), "keepers")
-    return marked.join(keepers, clash, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.join(keepers, clash, "left_semi").select(*columns(docs))
