@@ -5,27 +5,27 @@ the hub tables and snapshots and append to the ledgers (what the hub's cron entr
     python -m fleetwarden.jobs slice --hub DIR --logs DIR --files DIR --runs DIR --out DIR
 
 Hub tables are parquet folders under ``--hub``: ``servers``, ``databases``, ``pg_ini``
-(and optionally ``actions`` / ``connect_failed`` for the index run). Ledgers are appended
-under ``--out``: ``run_ledger``, ``run_errors``, ``slice_ledger``, ``slice_errors``, and
+(and optionally ``actions`` / ``connect_failed`` for the index run, ``call_outcomes`` for
+the slice run). Ledgers are appended under ``--out``: ``run_ledger``, ``run_errors``, ``slice_ledger``, ``slice_errors``, and
 the worklist / slices are written beside them.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetwarden.operators import bloat
 from fleetwarden.plans.runs import reindex_run, slice_run
-from fleetwarden.session import ensure_utc
+from fleetwarden.session import apply_conf, ensure_utc, path_exists
 from fleetwarden.sources.catalog import Snapshot
 from fleetwarden.sources.sinks import append_ledger, write_slices
 
 
 def _opt(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if os.path.exists(path) or "://" in path else None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def index_job(spark: SparkSession, servers: DataFrame, databases: DataFrame, before: Snapshot, after: Snapshot,
@@ -36,21 +36,29 @@ def index_job(spark: SparkSession, servers: DataFrame, databases: DataFrame, bef
     ensure_utc(spark)
     res = reindex_run(servers, databases, before, after, run_ts, threshold, on_error,
                       connect_failed=connect_failed, actions=actions)
-    res["worklist"].write.mode("overwrite").parquet(os.path.join(out, "worklist"))
-    append_ledger(res["ledger"], os.path.join(out, "run_ledger"), "run_ledger", run_ts)
-    append_ledger(res["errors"], os.path.join(out, "run_errors"), "run_errors", run_ts)
+    res["worklist"].write.mode("overwrite").parquet(f"{out}/worklist")
+    append_ledger(res["ledger"], f"{out}/run_ledger", "run_ledger", run_ts)
+    append_ledger(res["errors"], f"{out}/run_errors", "run_errors", run_ts)
     return res
 
 
 def slice_job(spark: SparkSession, servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files: DataFrame,
-              out: str, strip_domain: str | None = None, batch_ts=None) -> dict[str, DataFrame]:
-    """E2 over the whole fleet: writes the slices, appends the slice ledger and error rows."""
+              out: str, strip_domain: str | None = None, batch_ts=None, call_outcomes: DataFrame | None = None,
+              scheme: str = "slicer") -> dict[str, DataFrame]:
+    """E2 over the whole fleet: writes the slices of this batch beside those of the others,
+    appends the slice ledger and error rows. A retry with the same ``batch_ts`` replaces its
+    own slices only."""
     ensure_utc(spark)
-    res = slice_run(servers, ini, runs, logs, files, strip_domain)
-    from fleetwarden.operators.slicing import slice_rows
-    write_slices(slice_rows(logs, res["tasks"]), os.path.join(out, "slices"))
-    append_ledger(res["ledger"], os.path.join(out, "slice_ledger"), "slice_ledger", batch_ts)
-    append_ledger(res["errors"], os.path.join(out, "slice_errors"), "slice_errors", batch_ts)
+    batch_ts = batch_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    batch = str(batch_ts).replace(" ", "T").replace(":", "")
+
+    def write(rows: DataFrame) -> DataFrame:
+        folder = write_slices(rows, f"{out}/slices", batch)
+        return spark.read.schema(rows.schema).parquet(folder)
+
+    res = slice_run(servers, ini, runs, logs, files, strip_domain, call_outcomes, scheme, write)
+    append_ledger(res["ledger"], f"{out}/slice_ledger", "slice_ledger", batch_ts)
+    append_ledger(res["errors"], f"{out}/slice_errors", "slice_errors", batch_ts)
     return res
 
 
@@ -72,8 +80,10 @@ def main(argv=None) -> None:
     b.add_argument("--runs", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--strip-domain", default=None)
+    b.add_argument("--batch-ts", default=None)
+    b.add_argument("--scheme", default="slicer")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName(f"fleetwarden-{args.job}").getOrCreate()
+    spark = apply_conf(SparkSession.builder.appName(f"fleetwarden-{args.job}").getOrCreate())
     hub = args.hub
     servers, databases = spark.read.parquet(f"{hub}/servers"), spark.read.parquet(f"{hub}/databases")
     if args.job == "index":
@@ -82,7 +92,8 @@ def main(argv=None) -> None:
                   _opt(spark, f"{hub}/connect_failed"))
     else:
         slice_job(spark, servers, spark.read.parquet(f"{hub}/pg_ini"), spark.read.parquet(args.runs),
-                  spark.read.parquet(args.logs), spark.read.parquet(args.files), args.out, args.strip_domain)
+                  spark.read.parquet(args.logs), spark.read.parquet(args.files), args.out, args.strip_domain, args.batch_ts,
+                  _opt(spark, f"{hub}/call_outcomes"), args.scheme)
 
 
 if __name__ == "__main__":

@@ -44,6 +44,10 @@ def flag_counts(df: DataFrame, col: str, by: list[str] | None = None) -> DataFra
     return df.groupBy(*(by or [])).agg(*aggs)
 
 
+# JSON objects keep their null members.
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
 def fleet_targets(servers: DataFrame, databases: DataFrame, mask: int = BIT_REINDEX) -> DataFrame:
     """Flagged servers joined with their flagged databases.
 
@@ -60,9 +64,9 @@ def fleet_targets(servers: DataFrame, databases: DataFrame, mask: int = BIT_REIN
     return t.select(
         "server_id", "db_id", "conn_port", "conn_host", "db_scheme", "db_name",
         F.to_json(F.struct(F.col("server_id").alias("Id_Conn"), F.col("conn_port").alias("port"),
-                           F.col("conn_host").alias("host"))).alias("server_json"),
+                           F.col("conn_host").alias("host")), KEEP_NULLS).alias("server_json"),
         F.to_json(F.struct(F.col("db_id").alias("Id_Db"), F.col("server_id").cast("string").alias("Id_Conn"),
-                           F.col("db_scheme").alias("Scheme"), F.col("db_name").alias("Name"))).alias("database_json"),
+                           F.col("db_scheme").alias("Scheme"), F.col("db_name").alias("Name")), KEEP_NULLS).alias("database_json"),
     )
 
 

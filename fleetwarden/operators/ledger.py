@@ -43,59 +43,39 @@ def open_runs(targets: DataFrame, run_ts) -> DataFrame:
 
 
 def _position(prefix: str = "") -> Column:
-    """Processing order: servers, then databases, then indexes by ascending bloat (name
-    breaks ties); a connection failure (no index) sorts before the database's indexes."""
+    """Processing order: servers, then databases, then indexes by ascending bloat (schema,
+    table and name break ties); a connection failure (no index) sorts before the database's
+    indexes."""
     return F.struct(F.col(f"{prefix}server_id").alias("s"), F.col(f"{prefix}db_id").alias("d"),
                     F.coalesce(F.col(f"{prefix}bloat_before"), F.lit(-1.0)).alias("r"),
-                    F.coalesce(F.col(f"{prefix}index_name"), F.lit("")).alias("n"))
+                    *[F.coalesce(F.col(f"{prefix}{c}_name"), F.lit("")).alias(c) for c in ("schema", "table", "index")])
 
 
-def _abort_points(outcomes: DataFrame, on_error: str):
-    """The first failure.
+def reached(outcomes: DataFrame, runs: DataFrame, on_error: str = "stop_run"):
+    """Split a run at its abort point: (runs that were opened, outcomes applied, failures written).
 
-    ``stop_run``: one position for the whole run, from a global min aggregate. The result
-    is a single bounded row, fetched once and applied as a literal (a scalar subquery would
-    re-embed the whole outcome plan at every reference). ``skip_database``: one position per
-    database, a grouped min joined back by ``db_id``.
+    ``stop_run``: one position for the whole run. It is a global aggregate, so exactly one
+    row, which is broadcast to both sides; nothing is fetched while the plan is built.
+    ``skip_database``: one position per database, a grouped min joined back by ``db_id``.
     """
-    failed = outcomes.filter(~F.col("ok"))
-    if on_error == "stop_run":
-        row = failed.agg(F.min(_position()).alias("abort")).first()
-        return None if row is None or row["abort"] is None else row["abort"]
-    return failed.groupBy("db_id").agg(F.min(_position()).alias("abort"))
-
-
-def _literal_position(p, dtype) -> Column:
-    return F.lit(None).cast(dtype) if p is None else F.struct(
-        *[F.lit(p[f.name]).cast(f.dataType).alias(f.name) for f in dtype.fields])
-
-
-def reached(outcomes: DataFrame, runs: DataFrame, on_error: str = "stop_run"):
-    """Split a run at its abort point: (runs that were opened, outcomes applied, failures written)."""
     if on_error not in ON_ERROR_MODES:
         raise ValueError(f"on_error must be one of {ON_ERROR_MODES}")
-    pos = _position()
-    abort = _abort_points(outcomes, on_error)
+    pos, abort = _position(), F.col("abort")
+    failed = outcomes.filter(~F.col("ok"))
     if on_error == "stop_run":
-        if abort is None:
-            return runs, outcomes.filter(F.col("ok")), outcomes.filter(F.lit(False))
-        dtype = outcomes.select(pos.alias("p")).schema["p"].dataType
-        a = _literal_position(abort, dtype)
-        run_pos = F.struct(F.col("server_id").cast(dtype["s"].dataType).alias("s"),
-                           F.col("fk_pk_id_db_j").cast(dtype["d"].dataType).alias("d"))
-        abort_db = F.struct(F.lit(abort["s"]).cast(dtype["s"].dataType).alias("s"),
-                            F.lit(abort["d"]).cast(dtype["d"].dataType).alias("d"))
-        opened = runs.filter(run_pos <= abort_db)
-        applied = outcomes.filter(F.col("ok") & (pos < a))
-        failures = outcomes.filter(~F.col("ok") & (pos == a))
-        return opened, applied, failures
-    o = outcomes.join(abort, "db_id", "left")
-    applied = o.filter(F.col("ok") & (F.col("abort").isNull() | (pos < F.col("abort")))).drop("abort")
-    failures = o.filter(~F.col("ok") & (pos == F.col("abort"))).drop("abort")
-    return runs, applied, failures
-
-
-def fold_runs(runs: DataFrame, outcomes: DataFrame, on_error: str = "stop_run") -> DataFrame:
+        point = F.broadcast(failed.agg(F.min(pos).alias("abort")).withColumn("_all", F.lit(1)))
+        o = outcomes.withColumn("_all", F.lit(1)).join(point, "_all").drop("_all")
+        before = (F.col("server_id") < F.col("abort.s")) | (
+            (F.col("server_id") == F.col("abort.s")) & (F.col("fk_pk_id_db_j") <= F.col("abort.d")))
+        opened = runs.withColumn("_all", F.lit(1)).join(point, "_all").filter(abort.isNull() | before).drop("_all", "abort")
+    else:
+        o = outcomes.join(failed.groupBy("db_id").agg(F.min(pos).alias("abort")), "db_id", "left")
+        opened = runs
+    applied = o.filter(F.col("ok") & (abort.isNull() | (pos < abort))).drop("abort")
+    return opened, applied, o.filter(~F.col("ok") & (pos == abort)).drop("abort")
+
+
+def fold_runs(runs: DataFrame, outcomes: DataFrame, on_error: str = "stop_run", split=None) -> DataFrame:
     """The run ledger after all processed indexes.
 
     ``outcomes``: ``server_id, db_id, ok, schema_name, table_name, index_name, bloat_before,
@@ -105,7 +85,7 @@ def fold_runs(runs: DataFrame, outcomes: DataFrame, on_error: str = "stop_run")
     its defaults. ``stop_run``: the first failure ends the whole run, and databases after it
     get no row at all.
     """
-    opened, applied, _ = reached(outcomes, runs, on_error)
+    opened, applied, _ = split or reached(outcomes, runs, on_error)
     last = applied.groupBy("db_id").agg(F.max_by(
         F.struct("bloat_before", "table_name", "index_name", "seconds", "bloat_after"), _position()).alias("_last"))
     j = opened.join(last.withColumnRenamed("db_id", "fk_pk_id_db_j"), "fk_pk_id_db_j", "left")
@@ -123,7 +103,8 @@ def error_rows(df: DataFrame, layout: str = "reindex", now=None) -> DataFrame:
 
     reindex: ``run_key, err_label, err_message, err_detail, err_code``.
     slicer:  ``fk_pk_id_conn, slice_now_ins, slice_err_mess, slice_err_detail, slice_err_code,
-    work_scheme`` (``slice_now_ins`` defaults to ``now``).
+    work_scheme`` (``slice_now_ins`` defaults to ``now``), and ``pk_id_pgini`` where given: a
+    server with two config rows has two errors.
     """
     if layout == "reindex":
         b = F.lit(REINDEX_ERROR_BLANK)
@@ -135,16 +116,17 @@ def error_rows(df: DataFrame, layout: str = "reindex", now=None) -> DataFrame:
         ts = F.col("slice_now_ins") if "slice_now_ins" in df.columns else F.lit(None)
         if now is not None:
             ts = F.coalesce(ts.cast("timestamp_ntz"), as_ntz(now))
-        return df.select("fk_pk_id_conn", ts.cast("timestamp_ntz").alias("slice_now_ins"),
+        own = ["pk_id_pgini"] if "pk_id_pgini" in df.columns else []
+        return df.select("fk_pk_id_conn", *own, ts.cast("timestamp_ntz").alias("slice_now_ins"),
                          *[F.coalesce(F.col(c) if c in df.columns else F.lit(None).cast("string"), b).alias(c)
                            for c in ("slice_err_mess", "slice_err_detail", "slice_err_code", "work_scheme")])
     raise ValueError("layout must be 'reindex' or 'slicer'")
 
 
-def run_errors(runs: DataFrame, outcomes: DataFrame, on_error: str = "stop_run") -> DataFrame:
+def run_errors(runs: DataFrame, outcomes: DataFrame, on_error: str = "stop_run", split=None) -> DataFrame:
     """W20 for index runs: the failure that stopped the run (or each database) as an
     error row of that database's ledger row; connection failures get the connect label."""
-    opened, _, failures = reached(outcomes, runs, on_error)
+    opened, _, failures = split or reached(outcomes, runs, on_error)
     f = failures.select(F.col("db_id").alias("fk_pk_id_db_j"),
                         F.when(F.col("index_name").isNull(), F.lit(LABEL_CONNECT))
                         .otherwise(F.lit(LABEL_REINDEX)).alias("err_label"),

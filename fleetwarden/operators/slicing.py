@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetwarden.functions.flags import BIT_LOG_REPORTS
 from fleetwarden.functions.slicewin import effective_end, window_columns
 from fleetwarden.functions.timeexpr import as_ntz, epoch_seconds
-from fleetwarden.operators.fleet import with_flag
+from fleetwarden.operators.fleet import KEEP_NULLS, with_flag
 
 TASK_KEY = ["server_id", "pk_id_pgini", "run_ts"]
 WINDOW_KEY = ["server_id", "window_start", "window_end", "end_inclusive"]
@@ -87,29 +87,49 @@ def _window_buckets(tasks: DataFrame) -> DataFrame:
                                         F.expr("INTERVAL 1 HOUR"))))
 
 
-def slice_rows(logs: DataFrame, tasks: DataFrame) -> DataFrame:
+def time_bounds(tasks: DataFrame) -> tuple | None:
+    """First window start and last (exclusive) window end of all tasks: one row."""
+    row = tasks.agg(F.min("window_start").alias("a"), F.max(effective_end(F.col("window_end"), F.col("end_inclusive"))).alias("b")).first()
+    return None if row["a"] is None else (row["a"], row["b"])
+
+
+def within(logs: DataFrame, bounds: tuple | None) -> DataFrame:
+    """The logs between two literal times, which reach the scan as pushed filters; logs
+    stored by day (a ``log_day`` folder column) are pruned to the days between."""
+    if bounds is None:
+        return logs
+    a, b = (F.lit(x).cast("timestamp_ntz") for x in bounds)
+    logs = logs.filter((F.col("log_ts") >= a) & (F.col("log_ts") < b))
+    return logs.filter(F.col("log_day").between(F.lit(bounds[0].date()), F.lit(bounds[1].date()))) if "log_day" in logs.columns else logs
+
+
+def slice_rows(logs: DataFrame, tasks: DataFrame, bounds: tuple | None = None) -> DataFrame:
     """Log lines with ``start <= log_ts < end`` (end inclusive of its last second for the
     23:59:59 window), per server.
 
-    Each distinct window is exploded to hour buckets; logs join on ``(server_id, hour)``
-    and a residual range filter. The bucket list is small (servers x runs x 2-3 hours) and
-    is broadcast when Spark's size check allows; otherwise both sides shuffle on
+    Each distinct window is exploded to hour buckets; logs join on ``(server_id, hour)`` and
+    a residual range filter. ``tasks`` should be a stored table (``runs.slice_run`` stores
+    it): its true size lets Spark broadcast the bucket list (servers x runs x 2-3 hours) and
+    leave the logs where they are. Beyond the broadcast threshold both sides shuffle on
     ``(server_id, hour)``, which spreads even a server with a third of all lines over its
-    hours. Windows off the two-hour grid (odd-hour runs) are handled the same way.
+    hours. ``bounds`` (see ``time_bounds``) prunes the log scan. Windows off the two-hour
+    grid (odd-hour runs) are handled the same way.
     """
     b = _window_buckets(tasks)
-    lg = logs.select("server_id", "log_ts", "line",
-                     F.date_trunc("hour", "log_ts").cast("timestamp_ntz").alias("_bucket"))
+    lg = within(logs, bounds).select("server_id", "log_ts", "line",
+                                     F.date_trunc("hour", "log_ts").cast("timestamp_ntz").alias("_bucket"))
     j = lg.join(b, ["server_id", "_bucket"]).filter(
         (F.col("log_ts") >= F.col("window_start")) & (F.col("log_ts") < F.col("_end")))
     return j.select(*WINDOW_KEY, "log_ts", "line")
 
 
-def slice_report(logs: DataFrame, tasks: DataFrame) -> DataFrame:
+def slice_report(logs: DataFrame | None, tasks: DataFrame, bounds: tuple | None = None, slices: DataFrame | None = None) -> DataFrame:
     """Per task, the slice's line count, bytes (line + newline), first and last time.
     Aggregated per distinct window (partial aggregation before the shuffle), then joined
-    back to the tasks; a window without lines reports 0 lines."""
-    agg = slice_rows(logs, tasks).groupBy(*WINDOW_KEY).agg(
+    back to the tasks; a window without lines reports 0 lines. ``slices``: slice rows that
+    were written already, instead of the logs."""
+    rows = slice_rows(logs, tasks, bounds) if slices is None else slices
+    agg = rows.groupBy(*WINDOW_KEY).agg(
         F.count(F.lit(1)).alias("line_count"),
         F.sum(F.octet_length("line") + 1).cast("long").alias("slice_bytes"),
         F.min("log_ts").alias("first_ts"), F.max("log_ts").alias("last_ts"))
@@ -134,53 +154,104 @@ def log_listing(files: DataFrame, as_of=None, tasks: DataFrame | None = None) ->
     return f.filter(F.col("_day") == F.to_date(F.lit(as_of))).select("server_id", "name", "size", "modification")
 
 
-def slice_results(report: DataFrame, listing: DataFrame, timer_seconds=None) -> DataFrame:
+# The stages of a remote call that can fail, in their order.
+DISCONNECT, CONNECT, CALL, UPDATE = "disconnect", "connect", "call", "update"
+
+
+def reached_tasks(tasks: DataFrame, call_outcomes: DataFrame | None) -> DataFrame:
+    """The tasks that their run reaches, with the outcome of their call.
+
+    ``call_outcomes``: ``server_id, pk_id_pgini, run_ts, stage, err_message, err_detail,
+    err_code, seconds``; ``stage`` is NULL for a call that succeeded, else the one that
+    failed. A run processes its tasks by server, then config row. A failed connect ends the
+    run, after its own task; the other failures concern their task alone.
+    """
+    if call_outcomes is None:
+        return tasks.withColumns({"stage": F.lit(None).cast("string"), "err_message": F.lit(None).cast("string"),
+                                  "err_detail": F.lit(None).cast("string"), "err_code": F.lit(None).cast("string"),
+                                  "seconds": F.lit(0).cast("long")})
+    t = tasks.join(call_outcomes.select(*TASK_KEY, "stage", "err_message", "err_detail", "err_code", "seconds"), TASK_KEY, "left")
+    place = F.struct("server_id", "pk_id_pgini")
+    ends = t.filter(F.col("stage") == CONNECT).groupBy("run_ts").agg(F.min(place).alias("_end"))
+    return t.join(ends, "run_ts", "left").filter(F.col("_end").isNull() | (place <= F.col("_end"))).drop("_end")
+
+
+def slice_results(report: DataFrame, listing: DataFrame, called: DataFrame | None = None) -> DataFrame:
     """The remote slicer's reply per task.
 
     0 listed files -> no reply (all fields NULL); more than one -> error / exception;
     exactly one -> report_ready with the slice size when the slice has lines, else
-    report_file_missing with size -1.
+    report_file_missing with size -1. ``called`` (see ``reached_tasks``) restricts the
+    report to calls that took place; one that failed gives error / exception with its
+    message and code, the others their seconds. Sizes are 64 bits wide throughout: a slice
+    of 2 GiB or more is ready like any other.
     """
     lc = listing.groupBy("server_id", "run_ts").agg(
         F.count(F.lit(1)).alias("n_files"), F.min("name").alias("_name"),
         F.min("size").alias("_size"), F.min("modification").alias("_modf"))
     r = report.join(lc, ["server_id", "run_ts"], "left")
+    if called is None:
+        r = r.withColumns({"stage": F.lit(None), "err_message": F.lit(None), "err_code": F.lit(None), "seconds": F.lit(0)})
+    else:
+        took_place = F.coalesce(~F.col("stage").isin(DISCONNECT, CONNECT), F.lit(True))
+        r = r.join(called.filter(took_place).select(*TASK_KEY, "stage", "err_message", "err_code", "seconds"), TASK_KEY)
+    failed = F.coalesce(F.col("stage") == CALL, F.lit(False))
     n = F.coalesce(F.col("n_files"), F.lit(0))
-    one = n == 1
+    many = (n > 1) & ~failed
+    error = failed | many
+    one = (n == 1) & ~failed
     ready = one & (F.col("line_count") > 0)
-    timer = F.lit(0).cast("long") if timer_seconds is None else timer_seconds
     return r.select(
         *TASK_KEY,
-        F.when(n > 1, F.lit(STATUS_ERROR)).alias("status"),
-        F.when(n > 1, F.lit(STATUS_EXCEPTION)).when(ready, F.lit(STATUS_READY))
+        F.when(error, F.lit(STATUS_ERROR)).alias("status"),
+        F.when(error, F.lit(STATUS_EXCEPTION)).when(ready, F.lit(STATUS_READY))
         .when(one, F.lit(STATUS_MISSING)).alias("status_text"),
         F.when(ready, F.lit(REPORT_READY)).when(one, F.lit(REPORT_MISSING)).alias("report"),
         F.when(one, F.col("_name")).alias("full_log_name"),
         F.when(one, F.col("_size")).cast("long").alias("full_log_size"),
         F.when(one, F.col("_modf")).alias("full_log_modf"),
-        F.when(ready, F.col("slice_bytes")).when(one, F.lit(-1)).cast("int").alias("slice_file_size"),
-        F.when(n > 1, F.lit(TOO_MANY_ROWS_MESSAGE)).alias("message"),
-        F.when(n > 1, F.lit(TOO_MANY_ROWS_SQLSTATE)).alias("sqlstate"),
-        F.when(one, timer).cast("long").alias("timer_seconds"),
+        F.when(ready, F.col("slice_bytes")).when(one, F.lit(-1)).cast("long").alias("slice_file_size"),
+        F.when(many, F.lit(TOO_MANY_ROWS_MESSAGE)).when(failed, F.col("err_message")).alias("message"),
+        F.when(many, F.lit(TOO_MANY_ROWS_SQLSTATE)).when(failed, F.col("err_code")).alias("sqlstate"),
+        F.when(one, F.coalesce(F.col("seconds"), F.lit(0))).cast("long").alias("timer_seconds"),
     )
 
 
+def json_time(ts) -> "F.Column":
+    """A UTC time as the hub's JSON has it: ``2024-01-15T12:00:00.5+00:00``, the fraction
+    without trailing zeros."""
+    fraction = F.regexp_replace(F.date_format(ts, ".SSSSSS"), r"\.?0+$", "")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))
+
+
 def envelope_json(results: DataFrame) -> DataFrame:
     """The reply as the JSON object the hub receives (error shape or five-field shape)."""
-    err = F.to_json(F.struct(F.col("status"), F.col("status_text"), F.col("message"), F.col("sqlstate")))
-    ok = F.to_json(F.struct("full_log_name", "full_log_size", F.date_format("full_log_modf", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("full_log_modf"),
-                            "slice_file_size", "status_text"))
+    err = F.to_json(F.struct(F.col("status"), F.col("status_text"), F.col("message"), F.col("sqlstate")), KEEP_NULLS)
+    ok = F.to_json(F.struct("full_log_name", "full_log_size", json_time(F.col("full_log_modf")).alias("full_log_modf"),
+                            "slice_file_size", "status_text"), KEEP_NULLS)
     return results.withColumn("reply", F.when(F.col("status") == STATUS_ERROR, err)
                               .when(F.col("status_text").isNotNull(), ok))
 
 
+REPLY_SCHEMA = ("status string, status_text string, message string, sqlstate string, full_log_name string, "
+                "full_log_size long, full_log_modf string, slice_file_size long")
+
+
+def read_replies(replies: DataFrame) -> DataFrame:
+    """The fields of the JSON ``reply``, parsed once, beside the task key and timer."""
+    r = replies.select(*TASK_KEY, "timer_seconds", F.from_json("reply", REPLY_SCHEMA).alias("_r"))
+    return (r.select(*TASK_KEY, "timer_seconds", "_r.*")
+            .withColumn("full_log_modf", F.to_timestamp("full_log_modf").cast("timestamp_ntz")))
+
+
 def route(results: DataFrame) -> dict[str, DataFrame]:
     """Error replies -> slicer error rows; report_ready -> ledger updates; the rest
-    (no reply, report_file_missing) -> neither, exposed as ``unrouted``."""
+    (no reply, report_file_missing) -> neither, exposed as ``unrouted``. ``results`` may come
+    from ``slice_results`` or, over JSON, from ``read_replies``."""
     is_err = F.coalesce(F.col("status") == STATUS_ERROR, F.lit(False))
     is_ready = F.coalesce(F.col("status_text") == STATUS_READY, F.lit(False))
     errors = results.filter(is_err).select(
-        F.col("server_id").alias("fk_pk_id_conn"), F.col("run_ts").alias("slice_now_ins"),
+        F.col("server_id").alias("fk_pk_id_conn"), "pk_id_pgini", F.col("run_ts").alias("slice_now_ins"),
         F.col("message").alias("slice_err_mess"), F.col("status").alias("slice_err_detail"),
         F.col("sqlstate").alias("slice_err_code"), F.col("status_text").alias("work_scheme"))
     updates = results.filter(is_ready).select(
@@ -191,6 +262,16 @@ def route(results: DataFrame) -> dict[str, DataFrame]:
     return {"errors": errors, "updates": updates, "unrouted": unrouted}
 
 
+def hub_failures(called: DataFrame, updates: DataFrame, scheme: str) -> DataFrame:
+    """The failures on the hub's own side, as slicer error rows labelled ``scheme``.
+    A failed update counts where there was something to update."""
+    hub = called.filter(F.col("stage").isin(DISCONNECT, CONNECT)).unionByName(
+        called.filter(F.col("stage") == UPDATE).join(updates.select(*TASK_KEY), TASK_KEY, "left_semi").select(*called.columns))
+    return hub.select(F.col("server_id").alias("fk_pk_id_conn"), "pk_id_pgini", F.col("run_ts").alias("slice_now_ins"),
+                      F.col("err_message").alias("slice_err_mess"), F.col("err_detail").alias("slice_err_detail"),
+                      F.col("err_code").alias("slice_err_code"), F.lit(scheme).alias("work_scheme"))
+
+
 def route_label(results: DataFrame) -> DataFrame:
     """W27 in one pass: each reply labelled ``error`` / ``update`` / ``none`` (the three
     classes of ``route`` without reading the replies three times)."""
@@ -205,7 +286,7 @@ def open_slices(tasks: DataFrame) -> DataFrame:
     return tasks.select(
         *TASK_KEY, F.col("server_id").alias("fk_pk_id_conn"), epoch_seconds(F.col("run_ts")).alias("ins_date"),
         F.lit(0).cast("long").alias("log_mod"), F.lit(0).cast("long").alias("log_timer_slicing"),
-        F.lit(0).cast("long").alias("log_size"), F.lit(0).alias("log_slice_size"),
+        F.lit(0).cast("long").alias("log_size"), F.lit(0).cast("long").alias("log_slice_size"),
         F.lit(LEDGER_LOG_NAME_DEFAULT).alias("log_name"), F.col("compl_name").alias("log_slice_name"))
 
 

@@ -12,9 +12,11 @@ from fleetwarden.functions.flags import BIT_LOG_REPORTS, BIT_MAINTENANCE, BIT_RE
 from fleetwarden.operators import bloat, catalog, fleet, grants, ledger, slicing
 from fleetwarden.plans import runs as R
 from fleetwarden.plans import standins as S
-from fleetwarden.session import cut_lineage, ensure_utc, scratch_path
+from fleetwarden.session import ensure_utc, scratch_path, stored
+from fleetwarden.sources.sinks import append_ledger, current_state
 from fleetwarden.sources.tables import read_table
 from fleetwarden.streaming import slices as stream_slices
+from fleetwarden.streaming.eventlog import append_events_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,8 +78,9 @@ def fk_orphans(spark, d):
 def cascade_delete(spark, d):
     sv, db = S.servers(spark, d), S.databases(spark, d)
     doomed = fleet.with_flag(sv, "switch_serv", BIT_MAINTENANCE)
-    runs = ledger.open_runs(fleet.fleet_targets(sv, db, BIT_REINDEX), S.RUN_TS)
-    res = fleet.cascade_delete(sv, db, doomed, ini=S.pg_ini(spark, d), runs=runs)
+    run, cut = _reindex(spark, d, "skip_database"), _slice(spark, d)
+    res = fleet.cascade_delete(sv, db, doomed, ini=S.pg_ini(spark, d), runs=run["ledger"], run_errors=run["errors"],
+                               slices=cut["ledger"], slice_errors=cut["errors"])
     return fleet.cascade_summary(res)
 
 
@@ -142,15 +145,9 @@ def bloat_before_after(spark, d):
 
 # ------------------------------------------------------------------ ledgers
 def _reindex(spark, d, on_error):
-    db = S.databases(spark, d)
-    failed = F.length("index_name") % 13 == 0
-    seconds = F.length("table_name") + F.length("index_name")
-    unreachable = db.filter(F.col("pk_id_db") % 41 == 40).select(
-        F.col("pk_id_db").alias("db_id"), F.lit("could not connect to server").alias("err_message"),
-        F.lit("08001").alias("err_code"))
-    return R.reindex_run(S.servers(spark, d), db, S.catalog_snapshot(spark, d), S.catalog_snapshot(spark, d, "after"),
-                         S.RUN_TS, S.THRESHOLD, on_error, failed=failed, seconds=seconds,
-                         connect_failed=unreachable, checkpoint=True)
+    return R.reindex_run(S.servers(spark, d), S.run_databases(spark, d), S.catalog_snapshot(spark, d),
+                         S.catalog_snapshot(spark, d, "after"), S.RUN_TS, S.THRESHOLD, on_error,
+                         connect_failed=S.connect_failed(spark, d), actions=S.actions(spark, d))
 
 
 @query
@@ -188,20 +185,34 @@ def event_log_append(spark, d):
     return ledger.append_events(S.events_in(spark, d), S.EVENT_NOW, S.EVENT_USER)
 
 
+@query
+def event_log_stream(spark, d):
+    """The event log appended by a stream over ``events.parquet`` (available-now trigger)."""
+    schema = read_table(spark, d, "events").schema
+    raw = (spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", "events.parquet").load(d))
+    sink, ckpt = scratch_path(spark, "event-log"), scratch_path(spark, "event-log-ckpt")
+    append_events_stream(S.events_of(raw), sink, ckpt, S.EVENT_USER, now=S.EVENT_NOW).awaitTermination()
+    return spark.read.parquet(sink).drop("batch")
+
+
 # ------------------------------------------------------------------ slicing
 def _runs_as_events(spark, d):
     return read_table(spark, d, "events", ["event_id", "ts"]).withColumnRenamed("ts", "run_ts")
 
 
-def _tasks(spark, d, checkpoint=False):
-    t = slicing.slice_tasks(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), BIT_LOG_REPORTS,
-                            S.HOST_DOMAIN)
-    return cut_lineage(t) if checkpoint else t
+def _tasks(spark, d):
+    return slicing.slice_tasks(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), BIT_LOG_REPORTS,
+                               S.HOST_DOMAIN)
+
+
+def _stored_tasks(spark, d):
+    tasks = stored(_tasks(spark, d), "tasks")
+    return tasks, slicing.time_bounds(tasks)
 
 
-def _slice(spark, d):
+def _slice(spark, d, outcomes=False):
     return R.slice_run(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), S.logs(spark, d),
-                       S.log_files(spark, d), S.HOST_DOMAIN)
+                       S.log_files(spark, d), S.HOST_DOMAIN, S.call_outcomes(spark, d) if outcomes else None)
 
 
 @query
@@ -223,17 +234,17 @@ def slice_tasks(spark, d):
 
 @query
 def log_listing(spark, d):
-    return slicing.log_listing(S.log_files(spark, d), tasks=_tasks(spark, d, True))
+    return slicing.log_listing(S.log_files(spark, d), tasks=_stored_tasks(spark, d)[0])
 
 
 @query
 def slice_rows(spark, d):
-    return slicing.slice_rows(S.logs(spark, d), _tasks(spark, d, True))
+    return slicing.slice_rows(S.logs(spark, d), *_stored_tasks(spark, d))
 
 
 @query
 def slice_report(spark, d):
-    return slicing.slice_report(S.logs(spark, d), _tasks(spark, d, True))
+    return slicing.slice_report(S.logs(spark, d), *_stored_tasks(spark, d))
 
 
 @query
@@ -243,7 +254,7 @@ def slice_results(spark, d):
 
 @query
 def slice_route(spark, d):
-    return slicing.route_label(_slice(spark, d)["results"]).select(
+    return slicing.route_label(slicing.read_replies(_slice(spark, d)["replies"])).select(
         "server_id", "run_ts", "route", F.when(F.col("route") == "error", F.col("status_text"))
         .when(F.col("route") == "update", F.lit(slicing.STATUS_READY)).otherwise(F.col("status_text"))
         .alias("status_text"))
@@ -259,6 +270,51 @@ def slice_ledger_fold(spark, d):
     return _slice(spark, d)["ledger"]
 
 
+@query
+def slice_reply_json(spark, d):
+    return _slice(spark, d)["replies"].select(*slicing.TASK_KEY, "reply")
+
+
+@query
+def slice_results_large(spark, d):
+    """Replies over slices as large as the order lines make them; some exceed 2 GiB."""
+    tasks, bounds = _stored_tasks(spark, d)
+    report = slicing.slice_report(S.logs(spark, d), tasks, bounds)
+    factor = read_table(spark, d, "lineitem", ["l_quantity"]).select((F.sum("l_quantity") * 4).cast("long")).scalar()
+    return slicing.slice_results(report.withColumn("slice_bytes", F.col("slice_bytes") * factor),
+                                 slicing.log_listing(S.log_files(spark, d), tasks=tasks))
+
+
+@query
+def slice_run_errors(spark, d):
+    return _slice(spark, d, True)["errors"]
+
+
+@query
+def slice_run_ledger(spark, d):
+    return _slice(spark, d, True)["ledger"]
+
+
+@query
+def slice_errors_current(spark, d):
+    """The slicer's error table after a batch that was written twice."""
+    path, rows = scratch_path(spark, "slice-errors"), stored(_slice(spark, d)["errors"], "errors")
+    for _ in range(2):
+        append_ledger(rows, path, "slice_errors", S.EVENT_NOW)
+    return current_state(spark, path, "slice_errors").drop("pk")
+
+
+@query
+def ledger_current_state(spark, d):
+    """The run ledger, opened in one batch and folded in the next, which was written twice."""
+    path, fold = scratch_path(spark, "run-ledger"), stored(_reindex(spark, d, "skip_database")["ledger"], "fold")
+    append_ledger(ledger.open_runs(fleet.fleet_targets(S.servers(spark, d), S.run_databases(spark, d), BIT_REINDEX), S.RUN_TS),
+                  path, "run_ledger", S.RUN_TS)
+    for _ in range(2):
+        append_ledger(fold, path, "run_ledger", S.EVENT_NOW)
+    return current_state(spark, path, "run_ledger").drop("pk")
+
+
 # ------------------------------------------------------------------ grants
 @query
 def relation_grants(spark, d):

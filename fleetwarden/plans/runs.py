@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.functions.flags import BIT_LOG_REPORTS, BIT_REINDEX
 from fleetwarden.operators import bloat, fleet, ledger, slicing
-from fleetwarden.session import cut_lineage
+from fleetwarden.session import stored
 from fleetwarden.sources.catalog import Snapshot
 
 
@@ -17,29 +17,24 @@ ACTION_KEYS = ["db_id", "schema_name", "table_name", "index_name"]
 
 
 def index_outcomes(compared: DataFrame, targets: DataFrame, connect_failed: DataFrame | None = None,
-                   failed: "F.Column | None" = None, seconds: "F.Column | None" = None,
                    actions: DataFrame | None = None) -> DataFrame:
     """Outcome rows for the run ledger from the before/after comparison of the target
-    databases. The maintenance actions' results come either as ``actions`` (``db_id,
-    schema_name, table_name, index_name, ok, seconds, err_message, err_detail, err_code``,
-    as reported by whatever ran them; a missing row means success in 0 s) or as the column
-    rules ``failed`` / ``seconds``. ``connect_failed`` (``db_id, err_message, err_code``)
-    lists databases that could not be reached."""
+    databases. ``actions`` holds the results of the maintenance actions (``db_id,
+    schema_name, table_name, index_name, ok, seconds, err_message, err_detail, err_code``, as
+    reported by whatever ran them); a missing row, or no table, means success in 0 s.
+    ``connect_failed`` (``db_id, err_message, err_code``) lists databases that could not be
+    reached."""
     t = targets.select("server_id", "db_id")
     c = compared.join(t, "db_id")
-    if actions is not None:
-        a = actions.select(*ACTION_KEYS, F.col("ok").alias("_ok"), F.col("seconds").alias("_secs"),
-                           F.col("err_message").alias("_msg"), F.col("err_detail").alias("_det"),
-                           F.col("err_code").alias("_code"))
-        c = c.join(a, ACTION_KEYS, "left")
-        bad = ~F.coalesce(F.col("_ok"), F.lit(True))
-        secs = F.coalesce(F.col("_secs"), F.lit(0))
-        msg, det, code = F.when(bad, F.col("_msg")), F.when(bad, F.col("_det")), F.when(bad, F.col("_code"))
+    if actions is None:
+        c = c.withColumns({"_ok": F.lit(True), "_secs": F.lit(0), **{k: F.lit(None) for k in ("_msg", "_det", "_code")}})
     else:
-        bad = failed if failed is not None else F.lit(False)
-        secs = seconds if seconds is not None else F.lit(0)
-        msg, det, code = (F.when(bad, F.lit("index build failed")), F.lit(None).cast("string"),
-                          F.when(bad, F.lit("55000")))
+        c = c.join(actions.select(*ACTION_KEYS, F.col("ok").alias("_ok"), F.col("seconds").alias("_secs"),
+                                  F.col("err_message").alias("_msg"), F.col("err_detail").alias("_det"),
+                                  F.col("err_code").alias("_code")), ACTION_KEYS, "left")
+    bad = ~F.coalesce(F.col("_ok"), F.lit(True))
+    secs = F.coalesce(F.col("_secs"), F.lit(0))
+    msg, det, code = F.when(bad, F.col("_msg")), F.when(bad, F.col("_det")), F.when(bad, F.col("_code"))
     idx = c.select(
         "server_id", "db_id", (~bad).alias("ok"), "schema_name", "table_name", "index_name",
         "bloat_before", "bloat_after", secs.cast("long").alias("seconds"),
@@ -58,37 +53,54 @@ def index_outcomes(compared: DataFrame, targets: DataFrame, connect_failed: Data
 
 def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, after: Snapshot, run_ts,
                 threshold: float = bloat.DEFAULT_THRESHOLD, on_error: str = "stop_run",
-                failed=None, seconds=None, connect_failed: DataFrame | None = None,
-                checkpoint: bool = True, actions: DataFrame | None = None) -> dict[str, DataFrame]:
+                connect_failed: DataFrame | None = None, actions: DataFrame | None = None) -> dict[str, DataFrame]:
     """Targets -> ledger rows -> bloat search on the before snapshot -> re-lookup on the
-    after snapshot -> folded ledger and error rows. The outcomes are read by the abort
-    search, the fold and the error rows, so they are checkpointed into the shared folder
-    when ``checkpoint`` (the worklist is read once, inside the outcomes)."""
+    after snapshot -> folded ledger and error rows.
+
+    The worklist is computed once and stored: the outcomes and whoever performs the
+    maintenance read it, and the after snapshot is estimated only for databases on it. The
+    outcomes are stored for the abort point, the fold and the error rows.
+    """
     targets = fleet.fleet_targets(servers, databases, BIT_REINDEX)
     runs = ledger.open_runs(targets, run_ts)
     search = bloat.bloat_search(bloat.bloat_report(before, ordered=False), threshold, ordered=False)
-    search = search.join(targets.select("db_id"), "db_id", "left_semi")
-    compared = bloat.compare_bloat(search, bloat.bloat_report(after, ordered=False))
-    outcomes = index_outcomes(compared, targets, connect_failed, failed, seconds, actions)
-    if checkpoint:
-        outcomes = cut_lineage(outcomes)
+    search = stored(search.join(targets.select("db_id"), "db_id", "left_semi"), "worklist")
+    looked_up = after.with_(pg_index=after.pg_index.join(search.select("db_id").distinct(), "db_id", "left_semi"))
+    compared = bloat.compare_bloat(search, bloat.bloat_report(looked_up, ordered=False))
+    outcomes = stored(index_outcomes(compared, targets, connect_failed, actions), "outcomes")
+    split = ledger.reached(outcomes, runs, on_error)
     return {"targets": targets, "worklist": search, "outcomes": outcomes,
-            "ledger": ledger.fold_runs(runs, outcomes, on_error),
-            "errors": ledger.run_errors(runs, outcomes, on_error)}
+            "ledger": ledger.fold_runs(runs, outcomes, on_error, split),
+            "errors": ledger.run_errors(runs, outcomes, on_error, split)}
 
 
 def slice_run(servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files: DataFrame,
-              strip_domain: str | None = None, timer_seconds=None, checkpoint: bool = True) -> dict[str, DataFrame]:
+              strip_domain: str | None = None, call_outcomes: DataFrame | None = None,
+              scheme: str = "slicer", write=None) -> dict[str, DataFrame]:
     """Tasks -> slices -> listing -> replies -> routing -> folded slice ledger.
-    The task list (servers x config rows x runs: small) feeds the slice, the listing and
-    the ledger, so it is checkpointed once into the shared folder when ``checkpoint``."""
+
+    The task list (servers x config rows x runs) feeds every step, so it is stored: joins
+    then plan with its true size. ``call_outcomes`` holds what became of each remote call
+    (see ``slicing.reached_tasks``) and ``scheme`` labels failures on the hub's side.
+    ``write`` takes the slice rows and returns them as written; the logs are then read once,
+    for the slices, and the ledger aggregates those.
+    """
     tasks = slicing.slice_tasks(servers, ini, runs, BIT_LOG_REPORTS, strip_domain)
-    if checkpoint:
-        tasks = cut_lineage(tasks)
-    report = slicing.slice_report(logs, tasks)
-    listing = slicing.log_listing(files, tasks=tasks)
-    results = slicing.slice_results(report, listing, timer_seconds)
-    routed = slicing.route(results)
-    return {"tasks": tasks, "report": report, "listing": listing, "results": results,
-            "errors": ledger.error_rows(routed["errors"], "slicer"), "unrouted": routed["unrouted"],
-            "ledger": slicing.fold_slices(slicing.open_slices(tasks), routed["updates"])}
+    called = stored(slicing.reached_tasks(tasks, call_outcomes), "tasks")
+    stage = F.coalesce(F.col("stage"), F.lit(""))
+    made = called.filter(~stage.isin(slicing.DISCONNECT, slicing.CONNECT))
+    bounds = slicing.time_bounds(made)
+    slices = write(slicing.slice_rows(logs, made, bounds)) if write else None
+    report = slicing.slice_report(logs, made, bounds, slices)
+    listing = slicing.log_listing(files, tasks=made)
+    results = slicing.slice_results(report, listing, called)
+    replies = slicing.envelope_json(results)
+    routed = slicing.route(slicing.read_replies(replies))
+    opened = slicing.open_slices(called.filter(stage != slicing.DISCONNECT))
+    updated = routed["updates"].join(called.filter(stage == slicing.UPDATE).select(*slicing.TASK_KEY), slicing.TASK_KEY, "left_anti")
+    errors = routed["errors"]
+    if call_outcomes is not None:
+        errors = errors.unionByName(slicing.hub_failures(called, routed["updates"], scheme))
+    return {"tasks": called.drop("stage", "err_message", "err_detail", "err_code", "seconds"), "report": report, "listing": listing,
+            "results": results, "replies": replies, "errors": ledger.error_rows(errors, "slicer"), "unrouted": routed["unrouted"],
+            "ledger": slicing.fold_slices(opened, updated)}

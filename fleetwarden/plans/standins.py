@@ -110,8 +110,9 @@ def _index_rows(spark: SparkSession, d: str, variant: str) -> DataFrame:
     nsp_oid = F.when(t % 29 == 1, F.lit(11)).when(t % 3 == 0, F.lit(2200)).otherwise(F.lit(16384) + t % 3)
     nspname = (F.when(t % 29 == 1, F.lit("pg_catalog")).when(t % 3 == 0, F.lit("public"))
                .otherwise(F.concat(F.lit("schema_"), _s(t % 3))))
+    n_databases = _table(spark, d, "customer", ["c_custkey"]).select(F.count(F.lit(1))).scalar()
     return p.select(
-        (t % 50).alias("db_id"), pk.alias("indexrelid"), (F.lit(1000000000) + t).alias("indrelid"), t.alias("tbl"),
+        (t % n_databases).alias("db_id"), pk.alias("indexrelid"), (F.lit(1000000000) + t).alias("indrelid"), t.alias("tbl"),
         nsp_oid.cast("long").alias("nsp_oid"), nspname.alias("nspname"),
         F.concat(F.lit("t_"), _s(t)).alias("tblname"),
         F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), F.lit("_idx_"), _s(pk),
@@ -146,7 +147,8 @@ _WRITTEN: dict[tuple, Snapshot] = {}
 
 
 def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", materialize: bool = True) -> Snapshot:
-    """Catalogs of the fleet: parts are indexes, four parts share a table, 50 databases.
+    """Catalogs of the fleet: parts are indexes, four parts share a table, the tables are
+    dealt over the customers, which are the fleet's databases.
 
     With ``materialize`` the snapshot is written once per session into the shared folder
     (parquet, partitioned by ``db_id``) and read back, like an exported catalog snapshot;
@@ -156,7 +158,7 @@ def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", mater
     key = (spark.sparkContext.applicationId, os.path.abspath(d), variant)
     if key not in _WRITTEN:
         root = scratch_path(spark, f"catalog-{variant}")
-        _catalog_snapshot(spark, d, variant, checkpoint_base=True).write(root, files=8)
+        _catalog_snapshot(spark, d, variant, checkpoint_base=True).write(root)
         _WRITTEN[key] = Snapshot.read(spark, root)
     return _WRITTEN[key]
 
@@ -206,6 +208,36 @@ def _catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", chec
     )
 
 
+# ---------------------------------------------------------------- maintenance results
+def run_databases(spark: SparkSession, d: str) -> DataFrame:
+    """The databases whose catalogs were exported: those that an index run can cover."""
+    exported = catalog_snapshot(spark, d).settings.select(F.col("db_id").alias("pk_id_db"))
+    return databases(spark, d).join(exported, "pk_id_db", "left_semi")
+
+
+def actions(spark: SparkSession, d: str) -> DataFrame:
+    """What the maintenance reports for every index of the snapshot."""
+    snap = catalog_snapshot(spark, d)
+    ix = (snap.pg_index.select("db_id", "indexrelid", "indrelid")
+          .join(snap.pg_class.select("db_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("index_name"),
+                                     F.col("relnamespace").alias("oid")), ["db_id", "indexrelid"])
+          .join(snap.pg_class.select("db_id", F.col("oid").alias("indrelid"), F.col("relname").alias("tbl")), ["db_id", "indrelid"])
+          .join(snap.pg_namespace, ["db_id", "oid"]))
+    table = F.when(F.col("nspname") == "public", F.col("tbl")).otherwise(F.concat_ws(".", "nspname", "tbl"))
+    bad = F.col("indexrelid") % 13 == 4
+    return ix.select("db_id", F.col("nspname").alias("schema_name"), table.alias("table_name"), "index_name", (~bad).alias("ok"),
+                     (F.length(table) + F.length("index_name")).cast("long").alias("seconds"),
+                     F.when(bad, F.lit("index build failed")).alias("err_message"),
+                     F.when(bad & (F.col("indexrelid") % 2 == 0), F.lit("duplicate key")).alias("err_detail"),
+                     F.when(bad, F.lit("55000")).alias("err_code"))
+
+
+def connect_failed(spark: SparkSession, d: str) -> DataFrame:
+    return databases(spark, d).filter(F.col("pk_id_db") % 41 == 40).select(
+        F.col("pk_id_db").alias("db_id"), F.lit("could not connect to server").alias("err_message"),
+        F.lit("08001").alias("err_code"))
+
+
 # ---------------------------------------------------------------- grants snapshot
 def grants_snapshot(spark: SparkSession, d: str) -> Snapshot:
     """Relations from part, functions from customer, schemas from supplier, default
@@ -288,8 +320,24 @@ def slice_runs(spark: SparkSession, d: str) -> DataFrame:
     return lg.select("server_id", run_ts.alias("run_ts")).distinct()
 
 
+def call_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What became of the slicer's remote call of each run and config row."""
+    runs = slice_runs(spark, d).join(pg_ini(spark, d).select("pk_id_pgini", F.col("fk_pk_id_conn").alias("server_id")), "server_id")
+    k = F.col("pk_id_pgini") * 7 + F.dayofyear("run_ts") * 5 + F.hour("run_ts")
+    stage = (F.when(k % 29 == 3, F.lit("disconnect")).when(k % 67 == 7, F.lit("connect")).when(k % 23 == 5, F.lit("call"))
+             .when(k % 19 == 11, F.lit("update")))
+    return runs.select("server_id", "pk_id_pgini", "run_ts", stage.alias("stage"),
+                       F.concat(stage, F.lit(" failed")).alias("err_message"),
+                       F.when(k % 2 == 0, F.concat(F.lit("step "), stage)).alias("err_detail"),
+                       F.when(stage.isNotNull(), F.lit("08006")).alias("err_code"),
+                       F.when(stage.isNull(), k % 50).cast("long").alias("seconds"))
+
+
 def events_in(spark: SparkSession, d: str) -> DataFrame:
-    e = _table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    return events_of(_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "props"]))
+
+
+def events_of(e: DataFrame) -> DataFrame:
     et = F.col("event_type")
     return e.select(F.col("event_id").alias("id"),
                     F.when(et == "signup", F.lit(None)).otherwise(F.col("ts")).alias("event_date"),

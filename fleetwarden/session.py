@@ -25,6 +25,9 @@ BASE_CONF = {
 }
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def build_session(app: str = "fleetwarden", cpus: int | str = "*", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench; on a cluster use the cluster's builder."""
@@ -56,7 +59,7 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         d = tempfile.mkdtemp(prefix="fleetwarden-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -66,7 +69,43 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared folder (stream sinks, stream checkpoints)."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def apply_conf(spark: SparkSession) -> SparkSession:
+    """The SQL settings of ``BASE_CONF`` on a session that a cluster built, as far as its
+    submitter left them open."""
+    given = dict(spark.sparkContext.getConf().getAll())
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql.") and k not in given:
+            spark.conf.set(k, v)
+    return spark
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own file system (any that Spark can read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as parquet into the shared folder and read back. Unlike a checkpoint,
+    its true size is then known to the optimiser, which decides broadcasts by it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the intermediate folders that this session wrote under the shared folder;
+    results that still read them must have been written before."""
+    jvm = spark.sparkContext._jvm
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -18,11 +18,12 @@ settings       db_id, block_size, maxalign
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetwarden.session import path_exists
+
 CATALOGS = ("pg_class", "pg_namespace", "pg_index", "pg_am", "pg_attribute", "pg_type", "pg_stats",
             "pg_proc", "pg_default_acl", "settings")
 
@@ -42,29 +43,22 @@ class Snapshot:
 
     @classmethod
     def read(cls, spark: SparkSession, root: str) -> "Snapshot":
-        """Read the ``<root>/<catalog>/`` parquet folders that exist."""
-        found = {}
-        for name in CATALOGS:
-            path = os.path.join(root, name)
-            if os.path.exists(path) or "://" in root:
-                try:
-                    df = spark.read.parquet(path)
-                except Exception:  # a catalog that was not exported
-                    continue
-                found[name] = df
-        return cls(**found)
+        """Read the ``<root>/<catalog>/`` parquet folders that exist. A folder that exists
+        but can't be read is an error, never an absent catalog."""
+        paths = {name: f"{root}/{name}" for name in CATALOGS}
+        return cls(**{name: spark.read.parquet(p) for name, p in paths.items() if path_exists(spark, p)})
 
-    def write(self, root: str, mode: str = "overwrite", files: int | None = None) -> None:
+    def write(self, root: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
         """Persist every present catalog as parquet, clustered by ``db_id``: rows of one
         database sit together (row-group statistics prune on ``db_id``) without one folder
-        per database, which would mean one small file per database and writer task."""
+        per database, which would mean one small file per database and writer task. File
+        counts follow the size: the rebalance merges small databases and splits a hot one."""
         for f in fields(self):
             df = getattr(self, f.name)
             if df is None:
                 continue
-            n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            (df.repartition(n, "db_id").sortWithinPartitions("db_id")
-             .write.mode(mode).parquet(os.path.join(root, f.name)))
+            (df.hint("rebalance", "db_id").sortWithinPartitions("db_id")
+             .write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(f"{root}/{f.name}"))
 
     def with_(self, **changes) -> "Snapshot":
         return replace(self, **changes)

@@ -6,39 +6,53 @@ Uses the ``binaryFile`` source with only metadata columns selected: Spark prunes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def list_log_dir(spark: SparkSession, path: str, server_id: int | None = None,
                  glob: str = "*") -> DataFrame:
-    """One row per file: ``server_id, name, size, modification`` (UTC wall clock)."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-          .select(F.element_at(F.split("path", "/"), -1).alias("name"),
-                  F.col("length").alias("size"),
-                  F.col("modificationTime").cast("timestamp_ntz").alias("modification")))
-    return df.select(F.lit(server_id).cast("int").alias("server_id"), "name", "size", "modification")
+    """One row per file: ``server_id, name, size, modification`` (UTC wall clock).
 
+    Without ``server_id``, ``path`` holds a ``server_id=<n>`` folder per server and one scan
+    lists the whole fleet."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    sid = F.col("server_id") if server_id is None else F.lit(server_id)
+    return df.select(sid.cast("int").alias("server_id"), F.element_at(F.split("path", "/"), -1).alias("name"),
+                     F.col("length").alias("size"), F.col("modificationTime").cast("timestamp_ntz").alias("modification"))
 
-# The jsonlog record field holding the event time, and its text layout
-# ("2024-03-01 12:00:00.123 UTC": 23 characters of wall clock, then the zone).
+
+# The jsonlog record field holding the event time, wall clock and zone
+# ("2024-03-01 12:00:00.123 UTC").
 JSONLOG_TIME_FIELD = "$.timestamp"
-JSONLOG_TIME_CHARS = 23
-JSONLOG_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
+
+
+def zoned_time(text: Column) -> Column:
+    """The UTC wall clock of ``YYYY-MM-DD hh:mm:ss[.fraction] zone`` texts; the zone is an
+    offset (``+03``, ``-0330``, ``+03:00``), ``UTC`` or a region name, UTC where absent. A
+    text that is no time, or names an unknown zone, gives NULL."""
+    zone = F.regexp_extract(text, r"^\S+ \S+ +(\S+)$", 1)
+    clock = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)", 1)
+    offset = F.regexp_replace(F.regexp_replace(zone, r"^([+-]\d{2})$", "$1:00"), r"^([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.try_to_timestamp(F.concat(F.nullif(clock, F.lit("")), F.when(zone == "", F.lit("UTC")).otherwise(offset))).cast("timestamp_ntz")
 
 
 def _jsonlog_records(df):
-    ts = F.substring(F.get_json_object("value", JSONLOG_TIME_FIELD), 1, JSONLOG_TIME_CHARS)
     return df.select(F.col("server_id").cast("int").alias("server_id"),
-                     F.to_timestamp_ntz(ts, F.lit(JSONLOG_TIME_FORMAT)).alias("log_ts"),
+                     zoned_time(F.get_json_object("value", JSONLOG_TIME_FIELD)).alias("log_ts"),
                      F.col("value").alias("line"))
 
 
+def untimed_lines(logs: DataFrame) -> DataFrame:
+    """Lines per server whose time could not be read (they belong to no slice)."""
+    return logs.groupBy("server_id").agg(F.count_if(F.col("log_ts").isNull()).alias("untimed"), F.count("*").alias("lines"))
+
+
 def read_jsonlog(spark: SparkSession, path: str) -> DataFrame:
     """Server logs written in PostgreSQL's ``jsonlog`` format, one record per line, laid out
     as ``<path>/server_id=<n>/...``. Read with the text source (files split across tasks;
     the raw line is kept, so slice sizes are byte-exact); the event time is parsed from each
-    record's ``timestamp`` field (UTC wall clock). Returns ``server_id, log_ts, line``."""
+    record's ``timestamp`` field with its zone (as UTC wall clock). Returns ``server_id, log_ts, line``."""
     return _jsonlog_records(spark.read.option("recursiveFileLookup", "false").text(path))
 
 
@@ -53,7 +67,8 @@ def read_jsonlog_stream(spark: SparkSession, path: str, max_files_per_trigger: i
 
 # A stderr log record starts with its time ("2024-03-01 12:00:00.123 UTC [42] LOG: ...");
 # lines without it continue the previous record.
-STDERR_TIME_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?)"
+STDERR_TIME_PATTERN = (r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{1,6})?"
+                       r"(?: (?:[+-]\d{2}(?::?\d{2})?|[A-Z][A-Za-z]+(?:/[A-Za-z_]+)?)(?= |$))?)")
 
 
 def _fill_split_times(batches):
@@ -91,16 +106,16 @@ def read_stderr_log(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.text(path)
            .select("value", F.col("server_id").cast("int").alias("server_id"),
                    F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
-                   F.to_timestamp_ntz(F.nullif(F.regexp_extract("value", STDERR_TIME_PATTERN, 1), F.lit("")))
-                   .alias("_ts")))
+                   zoned_time(F.regexp_extract("value", STDERR_TIME_PATTERN, 1)).alias("_ts")))
     schema = "value string, server_id int, _file string, _start long, log_ts timestamp_ntz, _lead boolean"
     filled = raw.mapInPandas(_fill_split_times, schema)
     # lines ahead of a split's first record continue the last record of the earlier splits
     # of the same file (times in a log file do not decrease): one small row per split
-    per_split = filled.groupBy("_file", "_start").agg(F.max("log_ts").alias("_split_last"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_split.select("_file", "_start", F.max("_split_last").over(w).alias("_carry"))
+    # (natively, from the parsed times); ahead of a file's first record, its first time
+    per_split = raw.groupBy("_file", "_start").agg(F.max("_ts").alias("_last"), F.min("_ts").alias("_first"))
+    w = Window.partitionBy("_file")
+    before = w.orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_split.select("_file", "_start", F.coalesce(F.max("_last").over(before), F.min("_first").over(w)).alias("_carry"))
     lead = filled.filter("_lead").join(carry, ["_file", "_start"], "left").select(
         "server_id", F.col("_carry").alias("log_ts"), F.col("value").alias("line"))
     body = filled.filter(~F.col("_lead")).select("server_id", "log_ts", F.col("value").alias("line"))

@@ -1,8 +1,9 @@
 """Ledger sinks: append-only parquet tables in the shared folder.
 
-The hub updates its ledgers in place; here each run appends its folded rows with a
-deterministic key, and readers take the latest row per key. Appends of a retried run
-write the same keys again, so ``current_state`` stays correct after executor or job loss.
+The hub updates its ledgers in place; here each run appends its folded rows, and readers
+take the latest row per natural key. Appends of a retried run write the same rows again, so
+``current_state`` stays correct after executor or job loss. Error tables are only ever
+inserted into: nothing is folded there, a retried batch's repeated rows go.
 """
 
 from __future__ import annotations
@@ -12,42 +13,50 @@ from pyspark.sql import functions as F
 
 from fleetwarden.functions.keys import surrogate_key
 
-# Natural keys of the ledgers.
+# Natural keys of the ledgers. The error tables have none: their rows count.
 LEDGER_KEYS = {
     "run_ledger": ("fk_pk_id_db_j", "det_date"),
     "run_errors": ("fk_pk_id_db_k", "err_label", "err_code"),
     "slice_ledger": ("server_id", "pk_id_pgini", "run_ts"),
-    "slice_errors": ("fk_pk_id_conn", "slice_now_ins", "slice_err_code"),
+    "slice_errors": ("fk_pk_id_conn", "pk_id_pgini", "slice_now_ins", "slice_err_code"),
     "event_log": ("id",),
 }
+INSERT_ONLY = ("run_errors", "slice_errors")
 
 
 def append_ledger(df: DataFrame, path: str, ledger: str, batch_ts=None) -> None:
-    """Append rows with ``pk`` (hash of the natural key) and ``written_at`` (the batch time)."""
-    keys = LEDGER_KEYS[ledger]
+    """Append rows with ``pk`` (hash of the key columns: a label, never an identity) and
+    ``written_at`` (the batch time)."""
     ts = F.current_timestamp() if batch_ts is None else F.lit(batch_ts).cast("timestamp")
-    (df.withColumn("pk", surrogate_key(*keys)).withColumn("written_at", ts.cast("timestamp_ntz"))
+    (df.withColumn("pk", surrogate_key(*LEDGER_KEYS[ledger])).withColumn("written_at", ts.cast("timestamp_ntz"))
      .write.mode("append").parquet(path))
 
 
-def current_state(spark: SparkSession, path: str) -> DataFrame:
-    """Latest appended row per key (``max_by`` per key: a partial aggregate, no window)."""
+def current_state(spark: SparkSession, path: str, ledger: str) -> DataFrame:
+    """Latest appended row per natural key (a maximum of (``written_at``, row): a partial
+    aggregate, no window, and the same row however often a batch was appended). Of the
+    insert-only tables, every row that differs from the others of its batch."""
     df = spark.read.parquet(path)
-    cols = [c for c in df.columns if c not in ("pk", "written_at")]
-    latest = df.groupBy("pk").agg(F.max_by(F.struct(*cols), F.col("written_at")).alias("_r"))
-    return latest.select("pk", "_r.*")
+    if ledger in INSERT_ONLY:
+        return df.distinct().drop("written_at")
+    keys = LEDGER_KEYS[ledger]
+    cols = [c for c in df.columns if c not in (*keys, "written_at")]
+    latest = df.groupBy(*keys).agg(F.max(F.struct("written_at", *cols)).alias("_r"))
+    return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
-def write_slices(rows: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
-    """Write slice rows (``slicing.slice_rows``) as parquet, one folder per window day.
+def write_slices(rows: DataFrame, path: str, batch: str) -> str:
+    """Write slice rows (``slicing.slice_rows``) as parquet under ``batch=<batch>``, one
+    folder per window day, and return that folder. A run owns its batch folder: a retry
+    replaces it, and other runs' slices stay.
 
-    ``repartitionByRange`` on ``(server_id, window_start, log_ts)`` samples the key range,
-    so a server holding a third of all lines is spread over several tasks by time instead of
-    landing in one hash partition; each output file is a sorted, contiguous run of one
-    server's window(s), which keeps the file count near ``partitions``.
+    A rebalance by ``(server_id, window_start)`` brings a window's lines together and lets
+    the adaptive planner split a server that holds a third of all lines by size, without
+    sampling the lines for a range first.
     """
-    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = f"{path}/batch={batch}"
     (rows.withColumn("window_day", F.to_date("window_start"))
-     .repartitionByRange(n, "server_id", "window_start", "log_ts")
+     .hint("rebalance", "server_id", "window_start")
      .sortWithinPartitions("server_id", "window_start", "log_ts")
-     .write.mode(mode).partitionBy("window_day").parquet(path))
+     .write.mode("overwrite").partitionBy("window_day").parquet(out))
+    return out

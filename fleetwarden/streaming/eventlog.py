@@ -10,13 +10,13 @@ from fleetwarden.operators.ledger import append_events
 
 
 def append_events_stream(events_in: DataFrame, sink_path: str, checkpoint_path: str, user: str,
-                         id_col: str = "id", available_now: bool = True) -> StreamingQuery:
-    """Each micro-batch fills a missing time with the batch's own timestamp and a missing
+                         id_col: str = "id", available_now: bool = True, now=None) -> StreamingQuery:
+    """Each micro-batch fills a missing time with ``now`` or the batch's own timestamp and a missing
     user with ``user``, then appends to parquet. ``foreachBatch`` with the batch id makes
     the append idempotent on replay: a batch writes to its own ``batch=<id>`` folder."""
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        rows = append_events(batch, F.current_timestamp().cast("timestamp_ntz"), user, id_col)
+        rows = append_events(batch, F.current_timestamp().cast("timestamp_ntz") if now is None else now, user, id_col)
         rows.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
 
     w = events_in.writeStream.foreachBatch(_write).option("checkpointLocation", checkpoint_path)

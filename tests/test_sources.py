@@ -34,7 +34,7 @@ def test_ledger_append_and_current_state(spark):
     append_ledger(spark.createDataFrame([(1, 100, "NIHIL"), (2, 100, "NIHIL")], schema), root, "run_ledger",
                   dt.datetime(2024, 1, 1, 1))
     append_ledger(spark.createDataFrame([(1, 100, "idx_a")], schema), root, "run_ledger", dt.datetime(2024, 1, 1, 2))
-    got = {r.fk_pk_id_db_j: r.det_index_name for r in current_state(spark, root).collect()}
+    got = {r.fk_pk_id_db_j: r.det_index_name for r in current_state(spark, root, "run_ledger").collect()}
     assert got == {1: "idx_a", 2: "NIHIL"}
 
 
@@ -74,7 +74,7 @@ def test_write_slices_keeps_every_line(spark):
     tasks = slicing.slice_tasks(S.servers(spark, SF_SMALL), S.pg_ini(spark, SF_SMALL), S.slice_runs(spark, SF_SMALL))
     rows = slicing.slice_rows(S.logs(spark, SF_SMALL), tasks)
     out = os.path.join(tempfile.mkdtemp(prefix="fw-slices-"), "s")
-    write_slices(rows, out, partitions=4)
+    write_slices(rows, out, "b1")
     back = spark.read.parquet(out)
     assert back.count() == rows.count() > 0
     assert sorted(r.window_day.isoformat() for r in back.select("window_day").distinct().collect())[0].startswith("202")
