@@ -224,7 +224,7 @@ def actions(spark: SparkSession, d: str) -> DataFrame:
           .join(snap.pg_class.select("db_id", F.col("oid").alias("indrelid"), F.col("relname").alias("tbl")), ["db_id", "indrelid"])
           .join(snap.pg_namespace, ["db_id", "oid"]))
     table = F.when(F.col("nspname") == "public", F.col("tbl")).otherwise(F.concat_ws(".", "nspname", "tbl"))
-    bad = F.col("indexrelid") % 13 == 4
+    bad = F.col("indexrelid") % 97 == 4
     return ix.select("db_id", F.col("nspname").alias("schema_name"), table.alias("table_name"), "index_name", (~bad).alias("ok"),
                      (F.length(table) + F.length("index_name")).cast("long").alias("seconds"),
                      F.when(bad, F.lit("index build failed")).alias("err_message"),
@@ -233,7 +233,7 @@ def actions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def connect_failed(spark: SparkSession, d: str) -> DataFrame:
-    return databases(spark, d).filter(F.col("pk_id_db") % 41 == 40).select(
+    return databases(spark, d).filter(F.col("pk_id_db") % 173 == 40).select(
         F.col("pk_id_db").alias("db_id"), F.lit("could not connect to server").alias("err_message"),
         F.lit("08001").alias("err_code"))
 

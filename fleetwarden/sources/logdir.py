@@ -14,10 +14,10 @@ def list_log_dir(spark: SparkSession, path: str, server_id: int | None = None,
                  glob: str = "*") -> DataFrame:
     """One row per file: ``server_id, name, size, modification`` (UTC wall clock).
 
-    Without ``server_id``, ``path`` holds a ``server_id=<n>`` folder per server and one scan
+    Without ``server_id``, ``path`` may hold a ``server_id=<n>`` folder per server and one scan
     lists the whole fleet."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    sid = F.col("server_id") if server_id is None else F.lit(server_id)
+    sid = F.col("server_id") if server_id is None and "server_id" in df.columns else F.lit(server_id)
     return df.select(sid.cast("int").alias("server_id"), F.element_at(F.split("path", "/"), -1).alias("name"),
                      F.col("length").alias("size"), F.col("modificationTime").cast("timestamp_ntz").alias("modification"))
 

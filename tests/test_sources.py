@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import tempfile
 import time
@@ -128,3 +129,85 @@ def test_read_stderr_log_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old_batch)
+
+
+def _zoned_rows(spark, reader, lines):
+    import tempfile
+    root = tempfile.mkdtemp(prefix="fw-zone-")
+    os.makedirs(f"{root}/server_id=1")
+    with open(f"{root}/server_id=1/a.log", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return {r.line: r.log_ts for r in reader(spark, root).collect()}
+
+
+ZONES = [("2024-03-01 12:00:00.123 UTC", (12, 123000)), ("2024-03-01 12:00:00 UTC", (12, 0)), ("2024-03-01 12:00:00.5 +03", (9, 500000)),
+         ("2024-03-01 12:00:00.123456 -0330", (15, 123456)), ("2024-03-01 12:00:00 Europe/Berlin", (11, 0)), ("2024-03-01 12:00:00", (12, 0))]
+
+
+def test_log_times_keep_their_zone(spark):
+    from fleetwarden.sources import read_jsonlog, read_stderr_log
+    want = {t: dt.datetime(2024, 3, 1, h, 30 if "0330" in t else 0, 0, us) for t, (h, us) in ZONES}
+    got = _zoned_rows(spark, read_jsonlog, [f'{{"timestamp":"{t}","pid":1}}' for t, _ in ZONES])
+    assert {k.split('"')[3]: v for k, v in got.items()} == want
+    got = _zoned_rows(spark, read_stderr_log, [f"{t} [1] LOG:  x" for t, _ in ZONES])
+    assert {k.split(" [")[0]: v for k, v in got.items()} == want
+
+
+def test_unreadable_times_are_counted_and_leading_lines_kept(spark):
+    from fleetwarden.sources import read_jsonlog, read_stderr_log
+    from fleetwarden.sources.logdir import untimed_lines
+    got = _zoned_rows(spark, read_jsonlog, ['{"timestamp":"noon","pid":1}', "not json", '{"timestamp":"2024-03-01 12:00:00 Nowhere/Land"}',
+                                            '{"timestamp":"2024-03-01 12:00:00 UTC"}'])
+    assert sum(v is None for v in got.values()) == 3
+    df = spark.createDataFrame([(1, v) for v in got.values()], "server_id int, log_ts timestamp_ntz")
+    assert [(r.untimed, r.lines) for r in untimed_lines(df).collect()] == [(3, 4)]
+    got = _zoned_rows(spark, read_stderr_log, ["tail of an older record", "2024-03-01 12:00:00 UTC [1] LOG:  x", "\tmore"])
+    assert set(got.values()) == {dt.datetime(2024, 3, 1, 12)}
+
+
+def test_damaged_catalog_raises(spark):
+    import tempfile
+
+    import pytest
+    root = tempfile.mkdtemp(prefix="fw-cat-")
+    spark.range(3).selectExpr("id AS db_id").write.parquet(f"{root}/pg_am")
+    assert Snapshot.read(spark, root).settings is None
+    os.makedirs(f"{root}/settings")
+    with open(f"{root}/settings/part-0.parquet", "w") as f:
+        f.write("broken")
+    with pytest.raises(Exception):
+        Snapshot.read(spark, root).settings.collect()
+
+
+def test_hot_database_is_split_on_write(spark):
+    import tempfile
+    root = tempfile.mkdtemp(prefix="fw-hot-")
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, 7, id) AS db_id", "uuid() AS amname")
+    Snapshot(pg_am=df).write(root, max_records_per_file=5_000)
+    back = spark.read.parquet(f"{root}/pg_am")
+    assert back.count() == 60_000 and len(back.inputFiles()) >= 12
+
+
+def test_fleet_listing_in_one_scan(spark):
+    import tempfile
+
+    from fleetwarden.sources import list_log_dir
+    root = tempfile.mkdtemp(prefix="fw-list-")
+    for n in (1, 2):
+        os.makedirs(f"{root}/server_id={n}")
+        with open(f"{root}/server_id={n}/postgresql-{n}.log", "w") as f:
+            f.write("x" * n)
+    assert sorted((r.server_id, r.name, r["size"]) for r in list_log_dir(spark, root).collect()) == [
+        (1, "postgresql-1.log", 1), (2, "postgresql-2.log", 2)]
+
+
+def test_equal_batches_fold_to_one_row(spark):
+    import tempfile
+
+    from fleetwarden.sources import append_ledger, current_state
+    root = tempfile.mkdtemp(prefix="fw-tie-")
+    rows = spark.createDataFrame([(1, 2, "a"), (1, 2, "b"), (3, 2, "c")], "fk_pk_id_db_j int, det_date long, det_index_name string")
+    append_ledger(rows, root, "run_ledger", "2024-01-01 00:00:00")
+    append_ledger(rows, root, "run_ledger", "2024-01-01 00:00:00")
+    got = sorted((r.fk_pk_id_db_j, r.det_index_name) for r in current_state(spark, root, "run_ledger").collect())
+    assert got == [(1, "b"), (3, "c")]
