@@ -53,7 +53,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    return _powers(int(base), 1 << max(22, int(n).bit_length()))[:n]
+    return _powers(int(base), 1 << max(21, int(n).bit_length()))[:n]
 
 
 class Fingerprints:
@@ -293,7 +293,16 @@ def repeats(min_bytes: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         records = merged([decoded(b) for b in group["run"]])
         prefix = [r[0] for r in records] + [0]
-        texts, base, windows, place, size = [], [], [], [], 0
+        texts, base, windows, place, prints, size = [], [], [], [], [], 0
+
+        def fingerprinted() -> None:
+            """Adds the fingerprints of the windows of the texts at hand, which then go."""
+            n = np.array(windows[len(windows) - len(base):])
+            starts = np.repeat(np.array(base), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            prints.append(Fingerprints(np.frombuffer(b"".join(texts), dtype=np.uint8)).of(starts, min_bytes))
+            texts.clear()
+            base.clear()
+
         for k, (_, suffix, left, n, doc, row, first) in enumerate(records):
             reach = max(prefix[k], prefix[k + 1]) - 8  # bytes from the anchor on that some neighbour shares
             n = min(n, len(left) + reach - min_bytes + 1)
@@ -303,12 +312,17 @@ def repeats(min_bytes: int):
                 windows.append(n)
                 place.append((doc, row, first))
                 size += len(left) + len(suffix) - 8
+                if size >= SEGMENT:
+                    fingerprinted()
+                    size = 0
+        if base:
+            fingerprinted()
         found: dict = {}
-        if texts:
+        if windows:
             n = np.array(windows)
             own = np.repeat(np.arange(len(n)), n)
             offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            f = Fingerprints(np.frombuffer(b"".join(texts), dtype=np.uint8)).of(np.array(base)[own] + offset, min_bytes)
+            f = np.concatenate(prints)
             order = np.argsort(f, kind="stable")
             g = f[order]
             same = np.zeros(len(g) + 1, dtype=bool)
@@ -362,7 +376,7 @@ def cut_texts(min_bytes: int):
 
 
 def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                     range_records: int = 30_000) -> DataFrame:
+                     range_records: int = 20_000) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256`` and ``spans`` (the removed runs, as [start, end) bytes of the text).
 
