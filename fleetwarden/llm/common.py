@@ -19,7 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its rows are then fixed (a lost
     executor re-reads files instead of replaying the plan), and its size is known to the
-    optimiser, so that joins broadcast or split skewed partitions by real figures."""
+    optimiser, so that joins broadcast or split skewed partitions by real figures. Joins
+    with whole texts are hinted to merge instead: one plan at every size."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ line's template; lines that differ from the leaf's main template in variable fie
 take that one. A template that enough documents hold recurs: its first line stays, its
 other lines are dropped.
 
+Texts are joined by merging at every size, so that the plan does not change as tables grow.
 Only hashes of lines are shuffled until the leaves are known. The lines of a leaf are
 compared once each, whatever number of documents repeats them, and meet their leaf's
 statistics by position and token, never each other.
@@ -27,8 +28,8 @@ _VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def line_tokens(line: Column) -> Column:
-    masked = F.regexp_replace(line, _VARIABLE, FIELD)
-    return F.split(F.regexp_replace(masked, f"^{_BLANK}+|{_BLANK}+$", ""), f"{_BLANK}+")
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _VARIABLE, FIELD)).otherwise(line)
+    return F.array_remove(F.split(masked, f"{_BLANK}+"), "")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_tokens: int = 3,
@@ -46,10 +47,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias(_doc)
     row = F.xxhash64(F.col(id_col), F.col(text_col)).alias(_row)
     parsed = (docs.select(doc, row, F.posexplode(lines).alias("pos", "line"))
-              .select(_doc, _row, "pos", line_tokens(F.col("line")).alias("t")).where(F.size("t") >= min_tokens)
-              .select(_doc, _row, "pos", F.xxhash64(F.size("t"), F.slice("t", 1, depth)).alias("leaf"),
-                      F.xxhash64("t").alias("line"), F.xxhash64(F.lit(1), F.col("t")).alias("line2")))
-    parsed = written(parsed, "lines")
+              .select(_doc, _row, "pos", line_tokens(F.col("line")).alias("t"))
+              .select(_doc, _row, "pos", "t", F.array_join("t", " ").alias("line"))
+              .select(_doc, _row, "pos", F.xxhash64("line").alias("line"), F.xxhash64(F.lit(1), F.col("line")).alias("line2"),
+                      F.when(F.size("t") >= min_tokens, F.xxhash64(F.size("t"), *[F.get("t", F.lit(k)) for k in range(depth)])).alias("leaf")))
+    # short lines go after the write: a filter on the tokens would have them parsed twice
+    parsed = written(parsed, "lines").where("leaf IS NOT NULL")
     leaves = written(parsed.select("leaf", _doc).distinct().groupBy("leaf").agg(F.count("*").alias("docs"))
                      .where(F.col("docs") >= min_docs).select("leaf"), "leaves")
     shared = written(parsed.join(leaves, "leaf"), "shared-lines")
@@ -59,7 +62,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .agg(F.count("*").alias("n"), F.min("at").alias("at")))
     wanted = once.groupBy(f"at.{_doc}", f"at.{_row}").agg(F.collect_list(F.struct("at.pos", *key, "n")).alias("of"))
     texts = docs.select(doc, row, F.col(text_col).alias("text"))
-    distinct = written(texts.join(written(wanted, "wanted"), [_doc, _row])
+    distinct = written(texts.join(written(wanted, "wanted").hint("merge"), [_doc, _row])
                        .select(F.split("text", "\n").alias("lines"), F.explode("of").alias("x"))
                        .select("x.leaf", "x.line", "x.line2", "x.n", line_tokens(F.get("lines", F.col("x.pos"))).alias("t"))
                        .dropDuplicates(key), "distinct-lines")
@@ -71,7 +74,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy(_doc, _row).agg(F.collect_set("pos").alias(_gone)))
     kept = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains(F.col(_gone), s["i"]))
     cut = F.when(F.col(_gone).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    return (docs.select(*columns(docs), doc, row).join(written(gone, "gone"), [_doc, _row], "left")
+    return (docs.select(*columns(docs), doc, row).join(written(gone, "gone").hint("merge"), [_doc, _row], "left")
             .select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
                     F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.when(F.col(_gone).isNull(), 0).otherwise(F.size(_gone)).alias("n_dropped")))
 

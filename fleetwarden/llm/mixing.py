@@ -152,5 +152,5 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", **mixing) -> DataFrame:
     marked = written(docs.withColumn(clash, F.monotonically_increasing_id()), "marked")
     mix = mix_sources(marked, id_col, row_col=clash, **mixing).where(F.col("copies") > 0)
     mix = written(mix.select(F.col("row").alias(clash), F.col("copies").alias(n)), "mix")
-    return (marked.join(mix, clash).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))))
+    return (marked.join(mix.hint("merge"), clash).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))))
             .select(*columns(docs)))

@@ -120,4 +120,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked = written(docs.withColumn(clash, F.monotonically_increasing_id()), "marked")
     groups = simhash_groups(marked, id_col, text_col, shingle_words, max_distance, row_col=clash)
     keepers = written(groups.where("keeper").select(F.col("row").alias(clash)), "keepers")
-    return marked.join(keepers, clash, "left_semi").select(*columns(docs))
+    return marked.join(keepers.hint("merge"), clash, "left_semi").select(*columns(docs))

@@ -398,7 +398,7 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_i
     wanted = written(wanted, "wanted")
     total = wanted.agg(F.sum("n")).first()[0] or 0
     log2 = min(16, max(0, int(total // range_records).bit_length()))
-    runs = written(texts.join(wanted.drop("n"), ["doc", "row"])
+    runs = written(texts.join(wanted.drop("n").hint("merge"), ["doc", "row"])
                    .mapInArrow(make_runs(min_bytes, log2), "range long, run binary, doc long, row long, starts array<long>, stops array<long>"), "runs")
     spans = "doc long, row long, starts array<long>, stops array<long>"
     across = runs.where("run IS NOT NULL").select("range", "run").groupBy("range").applyInPandas(repeats(min_bytes), spans)
@@ -406,6 +406,6 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_i
     cuts = written(inside.unionByName(across).groupBy("doc", "row").agg(F.flatten(F.collect_list("starts")).alias("starts"),
                                                                         F.flatten(F.collect_list("stops")).alias("stops")), "spans")
     whole = docs.select(F.col(id_col).cast("long").alias("id"), doc, row, F.col(text_col).cast("binary").alias("text"))
-    return (whole.join(cuts, ["doc", "row"], "left").select("id", "text", "starts", "stops")
+    return (whole.join(cuts.hint("merge"), ["doc", "row"], "left").select("id", "text", "starts", "stops")
             .mapInArrow(cut_texts(min_bytes), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
             .withColumnRenamed("id", id_col))
