@@ -99,11 +99,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Deletes the intermediate folders that this session wrote under the shared folder;
-    results that still read them must have been written before."""
-    jvm = spark.sparkContext._jvm
-    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+def clear_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+    """Deletes the intermediate folders that this session wrote under the shared folder, but
+    for those whose names start with one of ``keep``; results that still read them must
+    have been written before."""
+    jvm, app = spark.sparkContext._jvm, spark.sparkContext.applicationId
+    paths = _SCRATCH.pop(app, [])
+    _SCRATCH[app] = [p for p in paths if os.path.basename(p).startswith(keep)]
+    for path in set(paths) - set(_SCRATCH[app]):
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
