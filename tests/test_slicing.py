@@ -1,7 +1,11 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from fleetwarden.operators import slicing
 
+from .conftest import SF_SMALL
+
 T = dt.datetime
 
 
@@ -99,3 +103,36 @@ def test_listing_and_envelope(spark):
     js = {r.run_ts.day: r.reply for r in slicing.envelope_json(slicing.slice_results(
         slicing.slice_report(logs, tasks), listing)).collect()}
     assert '"status":"error"' in js[3] and '"status_text":"report_ready"' in js[1] and js[4] is None
+
+
+def test_logs_stay_unshuffled_and_bounds_reach_the_scan(spark):
+    """Below the broadcast threshold only the bucket list moves, even where the logs are larger."""
+    import tempfile
+
+    from fleetwarden.plans import standins as S
+    from fleetwarden.session import stored
+    root = tempfile.mkdtemp(prefix="fw-logs-")
+    S.logs(spark, SF_SMALL).withColumn("line", F.repeat("line", 40)).write.parquet(f"{root}/logs")
+    logs = spark.read.parquet(f"{root}/logs")
+    tasks = stored(slicing.slice_tasks(S.servers(spark, SF_SMALL), S.pg_ini(spark, SF_SMALL), S.slice_runs(spark, SF_SMALL)), "tasks")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in keep:
+            spark.conf.set(k, "200k")
+        rows = slicing.slice_rows(logs, tasks, slicing.time_bounds(tasks))
+        rows.write.format("noop").mode("overwrite").save()
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    scan = [x for x in plan.splitlines() if "FileScan" in x and "line#" in x]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and len(scan) == 1
+    assert "GreaterThanOrEqual(log_ts" in scan[0] and "LessThan(log_ts" in scan[0]
+    log_side = plan.splitlines()
+    at = next(i for i, x in enumerate(log_side) if "FileScan" in x and "line#" in x)
+    depth = len(log_side[at]) - len(log_side[at].lstrip(" :+-*"))
+    for x in reversed(log_side[:at]):  # the chain of nodes above the log scan
+        here = len(x) - len(x.lstrip(" :+-*"))
+        if here < depth:
+            depth = here
+            assert "Exchange" not in x, x
