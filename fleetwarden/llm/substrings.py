@@ -37,7 +37,7 @@ SPAN, GRAM = 256, 8
 #: Texts are scanned in segments and groups of segments of up to so many bytes.
 SEGMENT = 1 << 20
 #: Bytes of records that a task sorts into one run.
-RUN_BYTES = 48 << 20
+RUN_BYTES = 24 << 20
 _RNG = np.random.default_rng(20)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -376,7 +376,7 @@ def cut_texts(min_bytes: int):
 
 
 def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                     range_records: int = 20_000) -> DataFrame:
+                     range_records: int = 12_000) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256`` and ``spans`` (the removed runs, as [start, end) bytes of the text).
 
