@@ -339,8 +339,9 @@ def repeats(min_bytes: int):
                     spans = found.setdefault((doc, row), ([], []))
                     spans[0].append(first + s)
                     spans[1].append(first + t)
-        return pd.DataFrame({"doc": [d for d, _ in found], "row": [r for _, r in found], "starts": [s for s, _ in found.values()],
-                             "stops": [t for _, t in found.values()]})
+        lists = list(found.values())  # as objects, also where there are none
+        return pd.DataFrame({"doc": pd.Series([d for d, _ in found], dtype="int64"), "row": pd.Series([r for _, r in found], dtype="int64"),
+                             "starts": pd.Series([s for s, _ in lists], dtype=object), "stops": pd.Series([t for _, t in lists], dtype=object)})
     return run
 
 
