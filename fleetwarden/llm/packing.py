@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import numbered, written
 
 #: At most so many chunks are remembered by a worker, none longer than CACHED_CHARS.
-CACHED_CHUNKS, CACHED_CHARS = 700_000, 40
+CACHED_CHUNKS, CACHED_CHARS = 500_000, 40
 #: Texts are encoded together up to so many characters, unknown chunks in lines of LINE.
 SLICE, LINE = 2_000_000, 256
 
