@@ -99,7 +99,8 @@ def clustered(v: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 def _count_sample(it):
-    """Sparse counts of each text (words -1) and of passages from its middle."""
+    """Sparse counts of each text (words -1) and of passages from its middle, as arrays of
+    places and counts in bytes: the driver then holds a few KB for each."""
     for batch in it:
         out = [[], [], [], []]
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -113,12 +114,19 @@ def _count_sample(it):
                 if has_letter(part):
                     row = counts([part])[0]
                     at = np.flatnonzero(row)
-                    for column, value in zip(out, (lang, n, at.tolist(), row[at].tolist())):
+                    for column, value in zip(out, (lang, n, at.astype("<u2").tobytes(), row[at].astype("<f4").tobytes())):
                         column.append(value)
-        kinds = (pa.string(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()))
+        kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["lang", "words", "at", "n"])
 
 
+def dense(rows: list) -> np.ndarray:
+    out = np.zeros((len(rows), DIMS), dtype=np.float32)
+    for k, r in enumerate(rows):
+        out[k, np.frombuffer(r["at"], dtype="<u2")] = np.frombuffer(r["n"], dtype="<f4")
+    return out
+
+
 def held_out(id_col: str):
     """The third of the documents that no model learns from."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
@@ -135,22 +143,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     ids = label.select("id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
     chosen = [r["id"] for r in ids.select("id").collect()]
     sample = label.where(F.col("id").isin(chosen)).select("lang", "text") if chosen else label.limit(0).select("lang", "text")
-    rows = sample.mapInArrow(_count_sample, "lang string, words int, at array<int>, n array<long>").collect()
-    rows.sort(key=lambda r: (r["lang"], r["words"], len(r["at"]), r["at"], r["n"]))
-    tf = np.zeros((len(rows), DIMS), dtype=np.float32)
-    for k, r in enumerate(rows):
-        tf[k, r["at"]] = r["n"]
-    lang, words = np.array([r["lang"] for r in rows], dtype=object), np.array([r["words"] for r in rows], dtype=int)
-    whole = words == -1
-    idf = (np.log((1 + whole.sum()) / (1 + (tf[whole] > 0).sum(axis=0))) + 1).astype(np.float32)
-    v = weighted(tf, idf) if len(tf) else tf
-    names, of, centroids, cos = sorted(set(lang)), [], [], np.ones(len(rows))
-    for name in names:
-        c = clustered(v[whole & (lang == name)], clusters)
+    rows = sample.mapInArrow(_count_sample, "lang string, words int, at binary, n binary").collect()
+    rows.sort(key=lambda r: (r["lang"], r["words"], bytes(r["at"]), bytes(r["n"])))
+    whole = [r for r in rows if r["words"] == -1]
+    held = dense(whole)
+    idf = (np.log((1 + len(whole)) / (1 + (held > 0).sum(axis=0))) + 1).astype(np.float32)
+    held = weighted(held, idf)
+    lang = np.array([r["lang"] for r in whole], dtype=object)
+    of, centroids, least = [], [], dict.fromkeys(LENGTHS, 1.0)
+    for name in sorted(set(lang)):
+        c = clustered(held[lang == name], clusters)
         of += [name] * len(c)
         centroids.append(c)
-        cos[lang == name] = (v[lang == name] @ c.T).max(axis=1)
-    least = [slack * min(cos[words == n], default=0.0) for n in LENGTHS]
+        mine = [r for r in rows if r["lang"] == name and r["words"] != -1]
+        for at in range(0, len(mine), 256):  # passages are dense a few at a time
+            part = mine[at: at + 256]
+            for r, cos in zip(part, (weighted(dense(part), idf) @ c.T).max(axis=1)):
+                least[r["words"]] = min(least[r["words"]], float(cos))
+    seen = {r["words"] for r in rows}
+    least = [slack * least[n] if n in seen else 0.0 for n in LENGTHS]
     floor = np.minimum.accumulate(np.array(least)[::-1])[::-1]
     return Model(of, np.vstack(centroids) if of else np.zeros((0, DIMS)), idf, floor.astype(float))
 
