@@ -3,8 +3,9 @@
 A text's vector holds the TF-IDF weights of its byte bigrams and trigrams (letters in lower
 case, everything else in ASCII a blank), hashed to a fixed number of dimensions and
 normalised. Each language has several centroids, found by spherical k-means; a text takes
-the language of the centroid with the largest cosine. A text further from every centroid
-than known text of its length ever is gets rejected.
+the language of the centroid with the largest cosine. A text much further from it than
+nearly all known text of that language and of its length gets rejected; how far that is, is
+learned by centroids of one half of a language's sample from the passages of the other half.
 
 The model is fitted on the driver from a bounded sample: at most ``per_language`` labelled
 documents of a language, those with the smallest hash of their identifier. Only their count
@@ -13,6 +14,7 @@ vectors travel, never texts. Prediction reads every whole text, in Arrow batches
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +31,8 @@ DIMS = 1 << 13
 SLICE_CHARS, SLICE_TEXTS = 2_000_000, 256
 #: Lengths in words at which the distance of known text is learned.
 LENGTHS = tuple(1 << k for k in range(11))
+#: With fewer cosines of a length a language also takes the floor of all languages together.
+FEW = 20
 UNKNOWN = "und"
 
 _KEEP = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -63,7 +67,7 @@ class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    floor: np.ndarray  # smallest accepted cosine at each of LENGTHS
+    floor: np.ndarray  # smallest accepted cosine of each centroid at each of LENGTHS
 
     def predict(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and rejection of each text."""
@@ -81,7 +85,7 @@ class Model:
             words = np.array([len(texts[k].split()) for k in part])
             for k, b, c, w in zip(part, best, cos[np.arange(len(part)), best], words):
                 lang[k], score[k] = self.languages[b], min(1.0, max(0.0, float(c)))
-                far[k] = c < np.interp(np.log2(max(1, w)), np.arange(len(LENGTHS)), self.floor)
+                far[k] = c < np.interp(np.log2(max(1, w)), np.arange(len(LENGTHS)), self.floor[b])
             at = to
         return lang, score, far
 
@@ -100,24 +104,25 @@ def clustered(v: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 def _count_sample(it):
     """Sparse counts of each text (words -1) and of passages from its middle, as arrays of
-    places and counts in bytes: the driver then holds a few KB for each."""
+    places and counts in bytes: the driver then holds a few KB for each. Equal texts are in
+    the same half."""
     for batch in it:
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             if not has_letter(text):
                 continue
-            words = text.split()
+            words, half = text.split(), zlib.crc32(text.encode("utf-8", "replace")) % 2
             mid = len(words) // 2
             parts = [(-1, text)] + [(n, " ".join(words[mid: mid + n])) for n in LENGTHS if mid + n <= len(words)]
             for n, part in parts:
                 if has_letter(part):
                     row = counts([part])[0]
                     at = np.flatnonzero(row)
-                    for column, value in zip(out, (lang, n, at.astype("<u2").tobytes(), row[at].astype("<f4").tobytes())):
+                    for column, value in zip(out, (lang, half, n, at.astype("<u2").tobytes(), row[at].astype("<f4").tobytes())):
                         column.append(value)
-        kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["lang", "words", "at", "n"])
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["lang", "half", "words", "at", "n"])
 
 
 def dense(rows: list) -> np.ndarray:
@@ -133,9 +138,11 @@ def held_out(id_col: str):
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_language: int = 150, clusters: int = 4, slack: float = 0.6) -> Model:
-    """``slack``: the accepted cosine, as a part of the smallest one that a document or
-    passage of the sample of that length has with the centroids of its language."""
+        per_language: int = 150, clusters: int = 4, slack: float = 0.6, least: float = 0.05) -> Model:
+    """``slack``: the accepted cosine, as a part of the one that all but the share ``least``
+    of the sample's passages of that language and length have with centroids of the half of
+    the sample that they are not in. Lengths without a passage take the nearest one with
+    passages; a table whose languages have one text each has no floor."""
     label = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~F.coalesce(held_out(id_col), F.lit(False)))
              .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
@@ -143,27 +150,48 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     ids = label.select("id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
     chosen = [r["id"] for r in ids.select("id").collect()]
     sample = label.where(F.col("id").isin(chosen)).select("lang", "text") if chosen else label.limit(0).select("lang", "text")
-    rows = sample.mapInArrow(_count_sample, "lang string, words int, at binary, n binary").collect()
-    rows.sort(key=lambda r: (r["lang"], r["words"], bytes(r["at"]), bytes(r["n"])))
+    rows = sample.mapInArrow(_count_sample, "lang string, half int, words int, at binary, n binary").collect()
+    return learned(rows, clusters, slack, least)
+
+
+def learned(rows: list, clusters: int, slack: float, least: float) -> Model:
+    rows = sorted(rows, key=lambda r: (r["lang"], r["words"], bytes(r["at"]), bytes(r["n"])))
     whole = [r for r in rows if r["words"] == -1]
     held = dense(whole)
     idf = (np.log((1 + len(whole)) / (1 + (held > 0).sum(axis=0))) + 1).astype(np.float32)
     held = weighted(held, idf)
-    lang = np.array([r["lang"] for r in whole], dtype=object)
-    of, centroids, least = [], [], dict.fromkeys(LENGTHS, 1.0)
+    lang, half = np.array([r["lang"] for r in whole], dtype=object), np.array([r["half"] for r in whole])
+    of, centroids, cosines = [], [], {}
     for name in sorted(set(lang)):
         c = clustered(held[lang == name], clusters)
         of += [name] * len(c)
         centroids.append(c)
-        mine = [r for r in rows if r["lang"] == name and r["words"] != -1]
-        for at in range(0, len(mine), 256):  # passages are dense a few at a time
-            part = mine[at: at + 256]
-            for r, cos in zip(part, (weighted(dense(part), idf) @ c.T).max(axis=1)):
-                least[r["words"]] = min(least[r["words"]], float(cos))
-    seen = {r["words"] for r in rows}
-    least = [slack * least[n] if n in seen else 0.0 for n in LENGTHS]
-    floor = np.minimum.accumulate(np.array(least)[::-1])[::-1]
-    return Model(of, np.vstack(centroids) if of else np.zeros((0, DIMS)), idf, floor.astype(float))
+        cosines[name] = {}
+        for h in (0, 1):
+            others = held[(lang == name) & (half != h)]
+            mine = [r for r in rows if r["lang"] == name and r["half"] == h and r["words"] != -1]
+            if not len(others):
+                continue
+            c = clustered(others, clusters)
+            for at in range(0, len(mine), 256):  # passages are dense a few at a time
+                part = mine[at: at + 256]
+                for r, cos in zip(part, (weighted(dense(part), idf) @ c.T).max(axis=1)):
+                    cosines[name].setdefault(r["words"], []).append(float(cos))
+    floor = slack * floors(cosines, least)
+    return Model(of, np.vstack(centroids) if of else np.zeros((0, DIMS)), idf, np.array([floor[sorted(cosines).index(name)] for name in of]))
+
+
+def floors(cosines: dict[str, dict[int, list[float]]], least: float) -> np.ndarray:
+    """The cosine at each of LENGTHS that the share ``least`` of the cosines of a language
+    lies below, a row for each language in order. It never falls with the length."""
+    together = {n: [c for found in cosines.values() for c in found.get(n, ())] for n in LENGTHS}
+    out = np.zeros((len(cosines), len(LENGTHS)))
+    for row, name in zip(out, sorted(cosines)):
+        low = {n: min(np.quantile(x, least) for x in ([mine, together[n]] if len(mine) < FEW else [mine]) if x)
+               for n in LENGTHS for mine in [cosines[name].get(n, [])] if together[n]}
+        if low:
+            row[:] = [low[min(low, key=lambda m: abs(np.log2(m / n)))] for n in LENGTHS]
+    return np.minimum.accumulate(out[:, ::-1], axis=1)[:, ::-1]
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out: str = "language") -> DataFrame:

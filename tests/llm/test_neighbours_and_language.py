@@ -8,7 +8,7 @@ import xxhash
 
 from fleetwarden.llm.ann import nearest_neighbours
 from fleetwarden.llm.components import components
-from fleetwarden.llm.langid import identify, keep_identified
+from fleetwarden.llm.langid import floors, identify, keep_identified
 from fleetwarden.llm.simhash import close_links, drop_near_copies, simhash_groups
 
 
@@ -147,3 +147,25 @@ def test_language_odd_rows(odd, none):
     kept = keep_identified(odd)
     assert kept.columns == odd.columns and not {0, 1, 2, 9} & {r.doc_id for r in kept.collect()}
     assert identify(none).count() == 0 and keep_identified(none).count() == 0
+
+
+def test_unlearned_text_is_rejected_among_short_documents(spark):
+    rng = np.random.default_rng(3)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()
+    short = [r for r in table if 8 <= len((r.text or "").split()) < 400]
+    rows = [(r.doc_id, r.text, r.lang if r.lang != "es" else None) for r in short]
+    junk = [" ".join("".join(rng.choice(list("qxzjkvwbp"), rng.integers(3, 9))) for _ in range(40)) for _ in range(30)]
+    rows += [(10_000_000 + k, text, None) for k, text in enumerate(junk)]
+    lang = {r.doc_id: r.lang for r in short}
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    share = {name: np.mean([r.rejected for r in got if lang.get(r.doc_id, "junk") == name and (r.held_out or name in ("es", "junk"))])
+             for name in ("en", "fr", "de", "es", "junk")}
+    assert share["junk"] == 1 and share["es"] > 0.9, share
+    assert max(share["en"], share["fr"], share["de"]) < 0.1 and min(share["en"], share["fr"], share["de"]) < 0.03, share
+
+
+def test_floor_of_lengths_without_passages_and_of_small_languages():
+    got = floors({"a": {1: [0.2] * 95 + [0.01] * 5, 4: [0.5] * 100}, "b": {1: [0.9], 4: [0.9]}, "c": {}}, 0.1)
+    assert got[0].tolist() == pytest.approx([0.2] * 2 + [0.5] * 9)
+    assert got[1].tolist() == got[2].tolist() and 0 < got[1][0] <= 0.2 and got[1][10] == pytest.approx(0.5)
+    assert floors({"a": {}}, 0.1).tolist() == [[0.0] * 11]
