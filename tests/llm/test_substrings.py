@@ -107,3 +107,15 @@ def test_chaining_odd_rows(odd, none):
     assert len(got) == odd.count() and repeated_passages(none).count() == 0
     by = {r.doc_id: r for r in got}
     assert by[0].n_words == 0 and by[13].n_removed >= 1990 and by[13].first_docs == [10] and by[3].n_links == 0
+
+
+def test_passages_of_chains_that_fail_as_a_whole(spark):
+    rng = random.Random(6)
+    words = lambda n: [f"{rng.randrange(10 ** 6):x}" for _ in range(n)]
+    a, b, c, d, stray = words(50), words(50), words(50), words(120), words(5)
+    texts = [words(80) + a + b + words(80), words(80) + a + words(40) + b + words(80),
+             words(80) + c + words(20) + stray + words(80), words(80) + c + words(20) + stray + words(80),
+             words(80) + stray + words(45) + d + words(80), words(80) + stray + words(45) + d + words(80)]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [tuple(map(int, s)) for s in r.spans or ()] for r in repeated_passages(df).collect()}
+    assert got == {0: [], 1: [(80, 130), (170, 220)], 2: [], 3: [(80, 130)], 4: [], 5: [(130, 250)]}
