@@ -119,3 +119,20 @@ def test_passages_of_chains_that_fail_as_a_whole(spark):
     df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: [tuple(map(int, s)) for s in r.spans or ()] for r in repeated_passages(df).collect()}
     assert got == {0: [], 1: [(80, 130), (170, 220)], 2: [], 3: [(80, 130)], 4: [], 5: [(130, 250)]}
+
+
+def test_passage_of_phrases_that_stand_singly_in_earlier_documents(spark):
+    rng = random.Random(7)
+    words = lambda n: [f"{rng.randrange(10 ** 6):x}" for _ in range(n)]
+    shared = [words(80) for _ in range(6)]
+    texts = []
+    for p in shared:  # each 5-word phrase of a passage is in one of the first documents
+        texts += [words(100) + p[at: at + 13] + words(100) for at in range(0, 72, 8)]
+    first = len(texts)
+    texts += [words(90) + p + words(90) for p in shared] + [words(120) + p + words(70) for p in shared]
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in repeated_passages(df).collect()}
+    assert all(got[k].n_removed == 0 for k in range(first + 6))
+    for k in range(6):
+        r = got[first + 6 + k]
+        assert [tuple(map(int, s)) for s in r.spans or ()] == [(120, 200)] and r.first_docs == [first + k]
