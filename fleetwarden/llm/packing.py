@@ -15,6 +15,7 @@ find their placement by a join on length and rank.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from functools import lru_cache
 
@@ -42,24 +43,34 @@ class Words:
     """Ids of texts as little-endian unsigned 32-bit bytes, with a memory of chunks.
 
     The vocabulary drops white space, joins nothing across it and ignores case, so a
-    text's ids are those of its blank-separated chunks. Each chunk that is not remembered goes through the tokenizer, many at once; the
-    offsets of the tokens tell whose they are.
+    text's ids are those of its blank-separated chunks. Special tokens are found in the text
+    as it is, before case is ignored, and are chunks of their own. Each chunk that is not
+    remembered goes through the tokenizer, many at once; the offsets of the tokens tell whose
+    they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.special = re.compile("(" + ("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)") + ")")
         self.known: dict[str, bytes] = {"": b""}
 
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        try:  # within Latin-1 lower-casing is letter by letter, as the vocabulary does it
-            text.encode("latin-1")
-            text = text.lower()
-        except UnicodeEncodeError:
-            pass
-        return text.replace("\n", " ").split(" ")
+    def chunks(self, text: str) -> list[str]:
+        out = []
+        for k, part in enumerate(self.special.split(text)):
+            if k % 2:
+                out.append(part)
+                continue
+            try:  # within Latin-1 lower-casing is letter by letter, as the vocabulary does it
+                part.encode("latin-1")
+                low = part.lower()
+                if not self.special.search(low):  # a special token in capitals is none
+                    part = low
+            except UnicodeEncodeError:
+                pass
+            out += part.replace("\n", " ").split(" ")
+        return out
 
     def encode(self, chunks: list[str]) -> dict[str, bytes]:
         lines = [chunks[k: k + LINE] for k in range(0, len(chunks), LINE)]
@@ -205,7 +216,7 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, tokenizer: str | None
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id`` and ``offset`` (gapless from 0 within the sequence).
 
-    A document's ids are the tokenizer's, then ``end_id``; null and empty texts are that id
+    A document's ids are the tokenizer's (special tokens in the text included), then ``end_id``; null and empty texts are that id
     alone. Documents longer than ``capacity`` are cut into full pieces and a rest. Repeated
     rows are packed one by one; further columns are ignored; an empty table gives an empty
     result. ``tokenizer`` is the path of a vocabulary file present on every executor.

@@ -146,3 +146,19 @@ def test_mix(docs, odd, none):
     taken = take_mix(odd)
     assert taken.columns == odd.columns and taken.count() == sum(r.copies for r in rows)
     assert mix_sources(none).count() == 0 and take_mix(none).count() == 0
+
+
+def test_special_tokens_in_texts_have_the_ids_of_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["end <|endoftext|> next", "a<|startoftext|>b.", "a<|ENDOFTEXT|>b <|endoftext|> A <|EndOfText|>", "<|end<|endoftext|>oftext|>", "İ<|endoftext|>İ X",
+             "x\n<|endoftext|>\nY <|endoftext|><|startoftext|>Z", "<|endoftext|>", "<| endoftext |> <|endoftext", *ODD_TEXTS]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [806, 49407, 1131]
+    words = Words(tokenizer_path())
+    for _ in range(2):
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.ids(texts)] == want
+        assert [np.frombuffer(words.ids([t])[0], dtype="<u4").tolist() for t in texts] == want
+    got = {r.doc_id: r for r in pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [(got[k].length, got[k].ids_crc32) for k in range(len(texts))] == [
+        (len(w) + 1, zlib.crc32(np.array([*w, 0], dtype="<u4").tobytes())) for w in want]
