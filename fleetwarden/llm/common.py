@@ -10,6 +10,9 @@ from fleetwarden.session import scratch_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word is a run of anything but the ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]+"
+#: For ``bytes.translate``: A-Z lower-cased, and a blank for each ASCII byte that is neither digit nor letter.
+ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or b >= 97 and b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
 from .chaining import repeated_passages
-from .common import LOWER, UPPER, table
+from .common import BLANKS, LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .langid import identify
+from .licences import scan_licences
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
+from .periodic import periodic_runs
+from .resampling import importance_resample
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
 from .substrings import dedup_substrings
@@ -63,8 +66,48 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where a checksum of the identifier says which texts repeat a
+    stretch of theirs up to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(F.col("h") % 10 == 0, F.filter(F.split("text", BLANKS), lambda w: w != ""))
+    of = docs.select("doc_id", "text", h.alias("h")).select("*", words.alias("words"), F.floor(F.col("h") / 10).alias("g"))
+    of = of.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    of = of.withColumn("p", F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1)
+    place = lambda i: F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i).cast("int")
+    woven = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - F.lit(1).cast("long")), lambda i: F.get("words", place(i)))
+    return of.select("doc_id", F.when(F.col("n") > 0, F.array_join(woven, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    found = periodic_runs(repeating(table(spark, sf_dir, "documents"))).withColumn("best", best)
+    start, length, period = -F.col("best.col2"), F.col("best.length"), -F.col("best.col3")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(length * 1000 / period).alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(table(spark, sf_dir, "documents"))
+    base, more = F.col("phrases.label"), F.col("notices.label")
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    score = F.when(F.size("phrases") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("notices.share"), F.lit(0.0)))
+    return found.select("doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min("phrases.word").alias("first_word"),
+                        F.array_max("phrases.word").alias("last_word"), joined(base).alias("base_labels"),
+                        joined(F.concat(base, more)).alias("labels"), score.alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup, op7_sharding, op8_simhash, op9_mixing, op10_language_id)}
+    f.__name__: f for f in (op1_suffix_dedup, op2_substring_dedup, op3_packing, op4_ann, op5_line_dedup, op6_exact_dedup,
+                              op7_sharding, op8_simhash, op9_mixing, op10_language_id,
+                              op11_importance_resampling, op12_periodic_runs, op13_licence_scan)}
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
