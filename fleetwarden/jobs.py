@@ -3,6 +3,7 @@ the hub tables and snapshots and append to the ledgers (what the hub's cron entr
 
     python -m fleetwarden.jobs index --hub DIR --before DIR --after DIR --run-ts TS --out DIR
     python -m fleetwarden.jobs slice --hub DIR --logs DIR --files DIR --runs DIR --out DIR
+        [--log-format parquet|jsonlog|stderr] [--read named|window]
 
 Hub tables are parquet folders under ``--hub``: ``servers``, ``databases``, ``pg_ini``
 (and optionally ``actions`` / ``connect_failed`` for the index run, ``call_outcomes`` for
@@ -16,11 +17,14 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetwarden.operators import bloat
+from fleetwarden.functions.timeexpr import as_ntz
+from fleetwarden.operators import bloat, slicing
 from fleetwarden.plans.runs import reindex_run, slice_run
 from fleetwarden.session import apply_conf, ensure_utc, path_exists
 from fleetwarden.sources.catalog import Snapshot
+from fleetwarden.sources.logdir import named_files, read_jsonlog, read_stderr_log
 from fleetwarden.sources.sinks import append_ledger, write_slices
 
 
@@ -44,24 +48,43 @@ def index_job(spark: SparkSession, servers: DataFrame, databases: DataFrame, bef
 
 def slice_job(spark: SparkSession, servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files: DataFrame,
               out: str, strip_domain: str | None = None, batch_ts=None, call_outcomes: DataFrame | None = None,
-              scheme: str = "slicer") -> dict[str, DataFrame]:
+              scheme: str = "slicer", read: str | None = None) -> dict[str, DataFrame]:
     """E2 over the whole fleet: writes the slices of this batch beside those of the others,
-    appends the slice ledger and error rows. A retry with the same ``batch_ts`` replaces its
-    own slices only."""
+    appends the slice ledger and error rows. The batch is named by ``batch_ts`` or else by
+    the last run of its schedule, so that a retry replaces its own slices and no others and
+    repeats its ledger rows instead of adding to them. ``read``: from the log file that each
+    run names, as the hub does, or from all lines (see ``slicing.slice_rows``); where not
+    given, from named files if the logs tell files apart (``log_day`` or ``log_name``)."""
     ensure_utc(spark)
-    batch_ts = batch_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    read = read or (slicing.NAMED_FILE if {"log_day", "log_name"} & set(logs.columns) else slicing.ALL_LINES)
+    batch_ts = batch_ts or schedule_time(runs)
     batch = str(batch_ts).replace(" ", "T").replace(":", "")
 
     def write(rows: DataFrame) -> DataFrame:
         folder = write_slices(rows, f"{out}/slices", batch)
         return spark.read.schema(rows.schema).parquet(folder)
 
-    res = slice_run(servers, ini, runs, logs, files, strip_domain, call_outcomes, scheme, write)
+    res = slice_run(servers, ini, runs, logs, files, strip_domain, call_outcomes, scheme, write, read)
     append_ledger(res["ledger"], f"{out}/slice_ledger", "slice_ledger", batch_ts)
     append_ledger(res["errors"], f"{out}/slice_errors", "slice_errors", batch_ts)
     return res
 
 
+def schedule_time(runs) -> dt.datetime:
+    """The last run time of a schedule (or the one run time); of an empty one, the epoch."""
+    last = runs.agg(F.max(as_ntz(F.col("run_ts")))).first()[0] if isinstance(runs, DataFrame) else runs
+    return last or dt.datetime(1970, 1, 1)
+
+
+def read_logs(spark: SparkSession, path: str, fmt: str, runs: DataFrame, read: str | None) -> DataFrame:
+    """The server logs under ``path``: parquet (in ``log_day`` folders or plain) or raw files
+    by server. Of raw files only those that the schedule's runs name, unless all are asked for."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    names = named_files(slicing.log_name(runs.select(as_ntz(F.col("run_ts")).alias("run_ts")).distinct())) if read != slicing.ALL_LINES else None
+    return {"jsonlog": read_jsonlog, "stderr": read_stderr_log}[fmt](spark, path, names)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="fleetwarden.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -82,6 +105,8 @@ def main(argv=None) -> None:
     b.add_argument("--strip-domain", default=None)
     b.add_argument("--batch-ts", default=None)
     b.add_argument("--scheme", default="slicer")
+    b.add_argument("--log-format", choices=("parquet", "jsonlog", "stderr"), default="parquet")
+    b.add_argument("--read", choices=(slicing.NAMED_FILE, slicing.ALL_LINES), default=None)
     args = ap.parse_args(argv)
     spark = apply_conf(SparkSession.builder.appName(f"fleetwarden-{args.job}").getOrCreate())
     hub = args.hub
@@ -91,9 +116,10 @@ def main(argv=None) -> None:
                   args.run_ts, args.out, args.threshold, args.on_error, _opt(spark, f"{hub}/actions"),
                   _opt(spark, f"{hub}/connect_failed"))
     else:
-        slice_job(spark, servers, spark.read.parquet(f"{hub}/pg_ini"), spark.read.parquet(args.runs),
-                  spark.read.parquet(args.logs), spark.read.parquet(args.files), args.out, args.strip_domain, args.batch_ts,
-                  _opt(spark, f"{hub}/call_outcomes"), args.scheme)
+        runs = spark.read.parquet(args.runs)
+        slice_job(spark, servers, spark.read.parquet(f"{hub}/pg_ini"), runs, read_logs(spark, args.logs, args.log_format, runs, args.read),
+                  spark.read.parquet(args.files), args.out, args.strip_domain, args.batch_ts, _opt(spark, f"{hub}/call_outcomes"),
+                  args.scheme, args.read)
 
 
 if __name__ == "__main__":

@@ -17,6 +17,9 @@ from fleetwarden.operators.fleet import KEEP_NULLS, with_flag
 TASK_KEY = ["server_id", "pk_id_pgini", "run_ts"]
 WINDOW_KEY = ["server_id", "window_start", "window_end", "end_inclusive"]
 
+#: What a slice is cut from: the log file that its run names, or all lines of the server.
+NAMED_FILE, ALL_LINES = "named", "window"
+
 # The remote slicer's status ladder and its error text.
 STATUS_READY = "report_ready"
 STATUS_MISSING = "report_file_missing"
@@ -76,9 +79,19 @@ def slice_tasks(servers: DataFrame, ini: DataFrame, runs, mask: int = BIT_LOG_RE
     )
 
 
-def _window_buckets(tasks: DataFrame) -> DataFrame:
+def with_log_day(tasks: DataFrame) -> DataFrame:
+    """Tasks with the day whose log their run names (a run soon after midnight names yesterday's)."""
+    return tasks.withColumn("log_day", window_columns(F.col("run_ts"))["log_day"])
+
+
+def slice_key(read: str) -> list[str]:
+    """What tells slices apart: two runs can share a window and name different files."""
+    return [*WINDOW_KEY, "log_day"] if read == NAMED_FILE else WINDOW_KEY
+
+
+def _window_buckets(tasks: DataFrame, key: list[str] = WINDOW_KEY) -> DataFrame:
     """Distinct task windows, each exploded to the hours it touches (the equi-join key)."""
-    w = tasks.select(*WINDOW_KEY).distinct()
+    w = tasks.select(*key).distinct()
     end = effective_end(F.col("window_end"), F.col("end_inclusive"))
     return w.withColumn("_end", end).withColumn(
         "_bucket", F.explode(F.sequence(F.date_trunc("hour", "window_start").cast("timestamp_ntz"),
@@ -103,7 +116,14 @@ def within(logs: DataFrame, bounds: tuple | None) -> DataFrame:
     return logs.filter(F.col("log_day").between(F.lit(bounds[0].date()), F.lit(bounds[1].date()))) if "log_day" in logs.columns else logs
 
 
-def slice_rows(logs: DataFrame, tasks: DataFrame, bounds: tuple | None = None) -> DataFrame:
+def named_lines(logs: DataFrame) -> DataFrame:
+    """Log lines with the day of the file they are in: the ``log_day`` folder they were read
+    from or, in logs without it, their own day, as a server starts a file each day. Raw logs
+    carry ``log_name`` instead, the name of their file."""
+    return logs if "log_day" in logs.columns or "log_name" in logs.columns else logs.withColumn("log_day", F.to_date("log_ts"))
+
+
+def slice_rows(logs: DataFrame, tasks: DataFrame, bounds: tuple | None = None, read: str = ALL_LINES) -> DataFrame:
     """Log lines with ``start <= log_ts < end`` (end inclusive of its last second for the
     23:59:59 window), per server.
 
@@ -114,32 +134,56 @@ def slice_rows(logs: DataFrame, tasks: DataFrame, bounds: tuple | None = None) -
     ``(server_id, hour)``, which spreads even a server with a third of all lines over its
     hours. ``bounds`` (see ``time_bounds``) prunes the log scan. Windows off the two-hour
     grid (odd-hour runs) are handled the same way.
+
+    ``read="named"`` cuts each slice from the one file that its run names, as the hub does: a
+    run between 00:10 and 02:00 names today's file and so leaves out yesterday's lines of its
+    window. The join then has the file in its key: the ``log_day`` folder of logs stored by
+    day, whose folders are pruned at run time to those the tasks name, or ``log_name`` of raw
+    logs. Rows carry ``log_day``.
     """
-    b = _window_buckets(tasks)
-    lg = within(logs, bounds).select("server_id", "log_ts", "line",
-                                     F.date_trunc("hour", "log_ts").cast("timestamp_ntz").alias("_bucket"))
-    j = lg.join(b, ["server_id", "_bucket"]).filter(
-        (F.col("log_ts") >= F.col("window_start")) & (F.col("log_ts") < F.col("_end")))
-    return j.select(*WINDOW_KEY, "log_ts", "line")
+    bucket = F.date_trunc("hour", "log_ts").cast("timestamp_ntz").alias("_bucket")
+    if read == NAMED_FILE:
+        lg, tasks = named_lines(within(logs, bounds)), with_log_day(tasks)
+        if bounds is not None:      # a filter on the tasks' side, which lets Spark prune folders by it
+            tasks = tasks.filter(F.col("window_start") >= F.lit(bounds[0]).cast("timestamp_ntz"))
+        file = "log_day" if "log_day" in lg.columns else "log_name"
+        b = _window_buckets(tasks, [*slice_key(read), "log_name"])
+        j = lg.select("server_id", "log_ts", "line", file, bucket).join(b, ["server_id", file, "_bucket"])
+    else:
+        j = within(logs, bounds).select("server_id", "log_ts", "line", bucket).join(_window_buckets(tasks), ["server_id", "_bucket"])
+    j = j.filter((F.col("log_ts") >= F.col("window_start")) & (F.col("log_ts") < F.col("_end")))
+    return j.select(*slice_key(read), "log_ts", "line")
 
 
-def slice_report(logs: DataFrame | None, tasks: DataFrame, bounds: tuple | None = None, slices: DataFrame | None = None) -> DataFrame:
+def slice_report(logs: DataFrame | None, tasks: DataFrame, bounds: tuple | None = None, slices: DataFrame | None = None,
+                 read: str = ALL_LINES) -> DataFrame:
     """Per task, the slice's line count, bytes (line + newline), first and last time.
     Aggregated per distinct window (partial aggregation before the shuffle), then joined
     back to the tasks; a window without lines reports 0 lines. ``slices``: slice rows that
-    were written already, instead of the logs."""
-    rows = slice_rows(logs, tasks, bounds) if slices is None else slices
-    agg = rows.groupBy(*WINDOW_KEY).agg(
+    were written already, instead of the logs. ``read``: see ``slice_rows``."""
+    rows = slice_rows(logs, tasks, bounds, read) if slices is None else slices
+    agg = rows.groupBy(*slice_key(read)).agg(
         F.count(F.lit(1)).alias("line_count"),
         F.sum(F.octet_length("line") + 1).cast("long").alias("slice_bytes"),
         F.min("log_ts").alias("first_ts"), F.max("log_ts").alias("last_ts"))
-    t = tasks.select(*TASK_KEY, "window_start", "window_end", "end_inclusive", "compl_name", "log_name")
-    return t.join(agg, WINDOW_KEY, "left").select(
+    t = with_log_day(tasks) if read == NAMED_FILE else tasks
+    t = t.select(*TASK_KEY, *slice_key(read)[1:], "compl_name", "log_name")
+    return t.join(agg, slice_key(read), "left").select(
         *TASK_KEY, "window_start", "window_end", "end_inclusive", "compl_name", "log_name",
         F.coalesce("line_count", F.lit(0)).cast("long").alias("line_count"),
         F.coalesce("slice_bytes", F.lit(0)).cast("long").alias("slice_bytes"), "first_ts", "last_ts")
 
 
+def report_of_hours(hours: DataFrame, tasks: DataFrame) -> DataFrame:
+    """``slice_report`` from line counts, bytes and times by ``server_id, hour``: all windows
+    start and end on the hour, the 23:59:59 one after its last second."""
+    agg = (hours.withColumnRenamed("hour", "_bucket").join(_window_buckets(tasks), ["server_id", "_bucket"]).groupBy(*WINDOW_KEY)
+           .agg(F.sum("line_count").alias("line_count"), F.sum("slice_bytes").alias("slice_bytes"),
+                F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")))
+    t = tasks.select(*TASK_KEY, *WINDOW_KEY[1:], "compl_name", "log_name").join(agg, WINDOW_KEY, "left")
+    return t.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("line_count", "slice_bytes")})
+
+
 def log_listing(files: DataFrame, as_of=None, tasks: DataFrame | None = None) -> DataFrame:
     """``.log`` files (case-sensitive suffix) modified on the run's day.
 
@@ -176,6 +220,11 @@ def reached_tasks(tasks: DataFrame, call_outcomes: DataFrame | None) -> DataFram
     return t.join(ends, "run_ts", "left").filter(F.col("_end").isNull() | (place <= F.col("_end"))).drop("_end")
 
 
+def calls_made(called: DataFrame) -> DataFrame:
+    """The tasks of ``reached_tasks`` whose remote call took place."""
+    return called.filter(~F.coalesce(F.col("stage"), F.lit("")).isin(DISCONNECT, CONNECT))
+
+
 def slice_results(report: DataFrame, listing: DataFrame, called: DataFrame | None = None) -> DataFrame:
     """The remote slicer's reply per task.
 

@@ -16,7 +16,9 @@ from fleetwarden.session import ensure_utc, scratch_path, stored
 from fleetwarden.sources.sinks import append_ledger, current_state
 from fleetwarden.sources.tables import read_table
 from fleetwarden.streaming import slices as stream_slices
-from fleetwarden.streaming.eventlog import append_events_stream
+from fleetwarden.streaming.commits import committed
+from fleetwarden.streaming.eventlog import append_events_once, append_events_stream
+from fleetwarden.streaming.slicer import SliceLedgerStream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -195,6 +197,18 @@ def event_log_stream(spark, d):
     return spark.read.parquet(sink).drop("batch")
 
 
+@query
+def event_log_once(spark, d):
+    """The event log of a stream whose files were delivered twice."""
+    twice, out = scratch_path(spark, "events-twice"), scratch_path(spark, "event-log-once")
+    raw = read_table(spark, d, "events")
+    for _ in range(2):
+        raw.write.mode("append").parquet(twice)
+    rows = S.events_of(spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(twice))
+    append_events_once(rows, out, scratch_path(spark, "event-log-once-ckpt"), S.EVENT_USER, within="3650 days", now=S.EVENT_NOW).awaitTermination()
+    return committed(spark, out, "events", ledger.append_events(S.events_in(spark, d), S.EVENT_NOW, S.EVENT_USER).schema)
+
+
 # ------------------------------------------------------------------ slicing
 def _runs_as_events(spark, d):
     return read_table(spark, d, "events", ["event_id", "ts"]).withColumnRenamed("ts", "run_ts")
@@ -247,6 +261,19 @@ def slice_report(spark, d):
     return slicing.slice_report(S.logs(spark, d), *_stored_tasks(spark, d))
 
 
+@query
+def slice_named_file(spark, d):
+    """Slice lines, each slice cut from the log file that its run names (logs in day folders)."""
+    return slicing.slice_rows(S.logs_by_day(spark, d), *_stored_tasks(spark, d), read=slicing.NAMED_FILE)
+
+
+@query
+def slice_named_ledger(spark, d):
+    """The slice ledger of a run over named files."""
+    return R.slice_run(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), S.logs_by_day(spark, d), S.log_files(spark, d),
+                       S.HOST_DOMAIN, read=slicing.NAMED_FILE)["ledger"]
+
+
 @query
 def slice_results(spark, d):
     return _slice(spark, d)["results"]
@@ -367,5 +394,19 @@ def slice_stream(spark, d):
     return spark.read.schema(_stream_out_schema(spark, d)).parquet(sink)
 
 
+@query
+def slice_stream_ledger(spark, d):
+    """The whole two-hour run as a stream over ``events.parquet``: the ledger rows of the
+    windows that its watermark closed."""
+    schema = read_table(spark, d, "events").schema
+    ev = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", "events.parquet").load(d)
+    out = scratch_path(spark, "slice-ledger-stream")
+    inputs = {"servers": S.servers(spark, d), "ini": S.pg_ini(spark, d), "schedule": S.slice_runs(spark, d),
+              "files": S.log_files(spark, d), "call_outcomes": S.call_outcomes(spark, d)}
+    stream = SliceLedgerStream(spark, lambda: inputs, out, strip_domain=S.HOST_DOMAIN)
+    stream.start(S.logs_of(ev), scratch_path(spark, "slice-ledger-ckpt")).awaitTermination()
+    return committed(spark, out, "ledger", _slice(spark, d, True)["ledger"].schema)
+
+
 def _stream_out_schema(spark, d):
     return stream_slices.slice_windows(S.logs(spark, d)).schema

@@ -76,31 +76,39 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
 
 def slice_run(servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files: DataFrame,
               strip_domain: str | None = None, call_outcomes: DataFrame | None = None,
-              scheme: str = "slicer", write=None) -> dict[str, DataFrame]:
+              scheme: str = "slicer", write=None, read: str = slicing.ALL_LINES) -> dict[str, DataFrame]:
     """Tasks -> slices -> listing -> replies -> routing -> folded slice ledger.
 
     The task list (servers x config rows x runs) feeds every step, so it is stored: joins
     then plan with its true size. ``call_outcomes`` holds what became of each remote call
     (see ``slicing.reached_tasks``) and ``scheme`` labels failures on the hub's side.
     ``write`` takes the slice rows and returns them as written; the logs are then read once,
-    for the slices, and the ledger aggregates those.
+    for the slices, and the ledger aggregates those. ``read`` says whether a slice is cut
+    from the file that its run names or from all of its server's lines.
     """
     tasks = slicing.slice_tasks(servers, ini, runs, BIT_LOG_REPORTS, strip_domain)
     called = stored(slicing.reached_tasks(tasks, call_outcomes), "tasks")
-    stage = F.coalesce(F.col("stage"), F.lit(""))
-    made = called.filter(~stage.isin(slicing.DISCONNECT, slicing.CONNECT))
+    made = slicing.calls_made(called)
     bounds = slicing.time_bounds(made)
-    slices = write(slicing.slice_rows(logs, made, bounds)) if write else None
-    report = slicing.slice_report(logs, made, bounds, slices)
+    slices = write(slicing.slice_rows(logs, made, bounds, read)) if write else None
+    report = slicing.slice_report(logs, made, bounds, slices, read)
     listing = slicing.log_listing(files, tasks=made)
+    return {"tasks": called.drop("stage", "err_message", "err_detail", "err_code", "seconds"), "report": report, "listing": listing,
+            **settle_tasks(called, report, listing, call_outcomes is not None, scheme)}
+
+
+def settle_tasks(called: DataFrame, report: DataFrame, listing: DataFrame, calls_can_fail: bool = False,
+                 scheme: str = "slicer") -> dict[str, DataFrame]:
+    """What follows from the report of the tasks ``called`` (see ``slicing.reached_tasks``):
+    results, JSON replies, their routing, error rows and the folded slice ledger."""
+    stage = F.coalesce(F.col("stage"), F.lit(""))
     results = slicing.slice_results(report, listing, called)
     replies = slicing.envelope_json(results)
     routed = slicing.route(slicing.read_replies(replies))
     opened = slicing.open_slices(called.filter(stage != slicing.DISCONNECT))
     updated = routed["updates"].join(called.filter(stage == slicing.UPDATE).select(*slicing.TASK_KEY), slicing.TASK_KEY, "left_anti")
     errors = routed["errors"]
-    if call_outcomes is not None:
+    if calls_can_fail:
         errors = errors.unionByName(slicing.hub_failures(called, routed["updates"], scheme))
-    return {"tasks": called.drop("stage", "err_message", "err_detail", "err_code", "seconds"), "report": report, "listing": listing,
-            "results": results, "replies": replies, "errors": ledger.error_rows(errors, "slicer"), "unrouted": routed["unrouted"],
+    return {"results": results, "replies": replies, "errors": ledger.error_rows(errors, "slicer"), "unrouted": routed["unrouted"],
             "ledger": slicing.fold_slices(opened, updated)}

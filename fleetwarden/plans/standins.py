@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetwarden.session import cut_lineage, scratch_path
 from fleetwarden.sources.catalog import Snapshot
+from fleetwarden.sources.sinks import write_logs_by_day
 from fleetwarden.sources.tables import read_table
 
 # Parameters of the stand-in runs (arguments, not clocks).
@@ -284,11 +285,27 @@ def grants_snapshot(spark: SparkSession, d: str) -> Snapshot:
 
 # ---------------------------------------------------------------- logs and slicing
 def logs(spark: SparkSession, d: str) -> DataFrame:
-    e = _table(spark, d, "events", ["user_id", "ts", "event_type", "props"])
+    return logs_of(_table(spark, d, "events", ["user_id", "ts", "event_type", "props"]))
+
+
+def logs_of(e: DataFrame) -> DataFrame:
     return e.select(F.col("user_id").cast("int").alias("server_id"), F.col("ts").alias("log_ts"),
                     F.concat(F.col("event_type"), F.lit(" "), F.col("props")).alias("line"))
 
 
+_LOGS: dict[tuple, str] = {}
+
+
+def logs_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """The logs as a collector keeps them: one folder a day, written once per session."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    if key not in _LOGS:
+        path = scratch_path(spark, "catalog-logs")
+        write_logs_by_day(logs(spark, d), path)
+        _LOGS[key] = path
+    return spark.read.parquet(_LOGS[key])
+
+
 def log_files(spark: SparkSession, d: str) -> DataFrame:
     """One server log per server and day (csv for a quarter of the servers), a second .log
     file on a fifth of the servers and an upper-case .LOG file on a sixth."""

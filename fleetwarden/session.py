@@ -91,6 +91,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there, in its own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as parquet into the shared folder and read back. Unlike a checkpoint,
     its true size is then known to the optimiser, which decides broadcasts by it."""
@@ -103,12 +109,11 @@ def clear_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
     """Deletes the intermediate folders that this session wrote under the shared folder, but
     for those whose names start with one of ``keep``; results that still read them must
     have been written before."""
-    jvm, app = spark.sparkContext._jvm, spark.sparkContext.applicationId
+    app = spark.sparkContext.applicationId
     paths = _SCRATCH.pop(app, [])
     _SCRATCH[app] = [p for p in paths if os.path.basename(p).startswith(keep)]
     for path in set(paths) - set(_SCRATCH[app]):
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        delete_path(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

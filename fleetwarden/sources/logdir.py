@@ -37,10 +37,28 @@ def zoned_time(text: Column) -> Column:
     return F.try_to_timestamp(F.concat(F.nullif(clock, F.lit("")), F.when(zone == "", F.lit("UTC")).otherwise(offset))).cast("timestamp_ntz")
 
 
-def _jsonlog_records(df):
+def _jsonlog_records(df, *more: Column):
     return df.select(F.col("server_id").cast("int").alias("server_id"),
                      zoned_time(F.get_json_object("value", JSONLOG_TIME_FIELD)).alias("log_ts"),
-                     F.col("value").alias("line"))
+                     F.col("value").alias("line"), *more)
+
+
+def file_log_name() -> Column:
+    """The name of a line's log file; files of either format go by the ``.log`` name."""
+    return F.regexp_replace(F.col("_metadata.file_name"), r"\.(json|log)$", ".log").alias("log_name")
+
+
+def only_named(df: DataFrame, names: list[str] | None) -> DataFrame:
+    """The files of the given log names; a filter on file metadata, so that Spark lists the
+    others and does not read them."""
+    if names is None:
+        return df
+    return df.filter(F.col("_metadata.file_name").isin([n for name in names for n in (name, name.removesuffix(".log") + ".json")]))
+
+
+def named_files(tasks: DataFrame) -> list[str]:
+    """The log names that tasks ask for: one for each day of the week at most."""
+    return sorted(r[0] for r in tasks.select("log_name").distinct().collect())
 
 
 def untimed_lines(logs: DataFrame) -> DataFrame:
@@ -48,12 +66,14 @@ def untimed_lines(logs: DataFrame) -> DataFrame:
     return logs.groupBy("server_id").agg(F.count_if(F.col("log_ts").isNull()).alias("untimed"), F.count("*").alias("lines"))
 
 
-def read_jsonlog(spark: SparkSession, path: str) -> DataFrame:
+def read_jsonlog(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """Server logs written in PostgreSQL's ``jsonlog`` format, one record per line, laid out
     as ``<path>/server_id=<n>/...``. Read with the text source (files split across tasks;
     the raw line is kept, so slice sizes are byte-exact); the event time is parsed from each
-    record's ``timestamp`` field with its zone (as UTC wall clock). Returns ``server_id, log_ts, line``."""
-    return _jsonlog_records(spark.read.option("recursiveFileLookup", "false").text(path))
+    record's ``timestamp`` field with its zone (as UTC wall clock). Returns ``server_id, log_ts,
+    line, log_name``; ``names`` (see ``named_files``) leaves the other files unread."""
+    raw = only_named(spark.read.option("recursiveFileLookup", "false").text(path), names)
+    return _jsonlog_records(raw, file_log_name())
 
 
 def read_jsonlog_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -99,16 +119,15 @@ def _fill_split_times(batches):
         yield pdf.drop(columns=["_ts"]).assign(log_ts=pd.to_datetime(pdf["log_ts"]))
 
 
-def read_stderr_log(spark: SparkSession, path: str) -> DataFrame:
+def read_stderr_log(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """Server logs in PostgreSQL's plain ``stderr`` format under ``<path>/server_id=<n>/``.
-    Returns ``server_id, log_ts, line``; a continuation line keeps its own text and carries
-    the time of the record it belongs to, so it is sliced with that record."""
-    raw = (spark.read.text(path)
-           .select("value", F.col("server_id").cast("int").alias("server_id"),
+    Returns ``server_id, log_ts, line, log_name``; a continuation line keeps its own text and
+    carries the time of the record it belongs to, so it is sliced with that record. The text
+    goes through Python once; ``names`` (see ``named_files``) leaves the other files unread."""
+    raw = (only_named(spark.read.text(path), names)
+           .select("value", file_log_name(), F.col("server_id").cast("int").alias("server_id"),
                    F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
                    zoned_time(F.regexp_extract("value", STDERR_TIME_PATTERN, 1)).alias("_ts")))
-    schema = "value string, server_id int, _file string, _start long, log_ts timestamp_ntz, _lead boolean"
-    filled = raw.mapInPandas(_fill_split_times, schema)
     # lines ahead of a split's first record continue the last record of the earlier splits
     # of the same file (times in a log file do not decrease): one small row per split
     # (natively, from the parsed times); ahead of a file's first record, its first time
@@ -116,7 +135,7 @@ def read_stderr_log(spark: SparkSession, path: str) -> DataFrame:
     w = Window.partitionBy("_file")
     before = w.orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_split.select("_file", "_start", F.coalesce(F.max("_last").over(before), F.min("_first").over(w)).alias("_carry"))
-    lead = filled.filter("_lead").join(carry, ["_file", "_start"], "left").select(
-        "server_id", F.col("_carry").alias("log_ts"), F.col("value").alias("line"))
-    body = filled.filter(~F.col("_lead")).select("server_id", "log_ts", F.col("value").alias("line"))
-    return body.unionByName(lead)
+    schema = "value string, log_name string, server_id int, _file string, _start long, log_ts timestamp_ntz, _lead boolean"
+    filled = raw.mapInPandas(_fill_split_times, schema).join(carry, ["_file", "_start"], "left")
+    return filled.select("server_id", F.when(F.col("_lead"), F.col("_carry")).otherwise(F.col("log_ts")).alias("log_ts"),
+                         F.col("value").alias("line"), "log_name")

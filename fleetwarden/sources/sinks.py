@@ -60,3 +60,11 @@ def write_slices(rows: DataFrame, path: str, batch: str) -> str:
      .sortWithinPartitions("server_id", "window_start", "log_ts")
      .write.mode("overwrite").partitionBy("window_day").parquet(out))
     return out
+
+
+def write_logs_by_day(logs: DataFrame, path: str) -> None:
+    """Log lines as parquet in one ``log_day=<date>`` folder a day, each server's lines
+    together and in order, so that a slice run reads the days its tasks name and, of those,
+    the row groups of its servers."""
+    (logs.withColumn("log_day", F.to_date("log_ts")).hint("rebalance", "log_day", "server_id")
+     .sortWithinPartitions("log_day", "server_id", "log_ts").write.mode("overwrite").partitionBy("log_day").parquet(path))
