@@ -15,6 +15,7 @@ find their placement by a join on length and rank.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
 from functools import lru_cache
@@ -53,19 +54,21 @@ class Words:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        #: What all special tokens start with: a text without it needs no search for them.
+        self.mark = os.path.commonprefix(special)
         self.special = re.compile("(" + ("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)") + ")")
         self.known: dict[str, bytes] = {"": b""}
 
     def chunks(self, text: str) -> list[str]:
         out = []
-        for k, part in enumerate(self.special.split(text)):
+        for k, part in enumerate(self.special.split(text) if self.mark in text else (text,)):
             if k % 2:
                 out.append(part)
                 continue
             try:  # within Latin-1 lower-casing is letter by letter, as the vocabulary does it
                 part.encode("latin-1")
                 low = part.lower()
-                if not self.special.search(low):  # a special token in capitals is none
+                if self.mark not in low or not self.special.search(low):  # a special token in capitals is none
                     part = low
             except UnicodeEncodeError:
                 pass
@@ -91,7 +94,7 @@ class Words:
         missing: set[str] = set()
         for part in parts:
             missing.update(set(part).difference(self.known))
-        fresh = self.encode(sorted(missing))
+        fresh = self.encode(list(missing))
         self.known.update(fresh)
         out = [b"".join(map(self.known.__getitem__, part)) for part in parts]
         full = len(self.known) > CACHED_CHUNKS
@@ -216,9 +219,11 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, tokenizer: str | None
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id`` and ``offset`` (gapless from 0 within the sequence).
 
-    A document's ids are the tokenizer's (special tokens in the text included), then ``end_id``; null and empty texts are that id
-    alone. Documents longer than ``capacity`` are cut into full pieces and a rest. Repeated
-    rows are packed one by one; further columns are ignored; an empty table gives an empty
+    A document's ids are the tokenizer's (special tokens in the text included), then
+    ``end_id``; null and empty texts are that id alone. Documents longer than ``capacity``
+    are cut into full pieces and a rest; a very long text is encoded whole by one task.
+    Repeated rows are packed one by one, ties of length go by identifier, row and piece;
+    further columns are ignored; an empty table gives an empty
     result. ``tokenizer`` is the path of a vocabulary file present on every executor.
     """
     path = tokenizer or tokenizer_path()
@@ -230,7 +235,7 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, tokenizer: str | None
     spark = docs.sparkSession
     placements = spark.createDataFrame(plan(histogram, capacity), "length long, first long, n long, sequence long, at long")
     ranked = numbered(pieces, ["length"], ["doc_id", "row", "piece"], "rank")
-    p = F.broadcast(placements).alias("p")
+    p = written(placements, "placements").alias("p")  # a few rows a length: Spark broadcasts them by their size
     here = (F.col("r.length") == F.col("p.length")) & (F.col("r.rank") >= F.col("p.first")) & (F.col("r.rank") < F.col("p.first") + F.col("p.n"))
     return (ranked.alias("r").join(p, here)
             .select(F.col("r.doc_id").alias(id_col), "r.piece", "r.start", "r.length", "r.ids_crc32",
