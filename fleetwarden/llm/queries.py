@@ -113,25 +113,32 @@ ORACLE: dict[str, str] = {
     "op5_line_dedup": r"""
         WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                           generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
-        t AS (SELECT doc_id, pos, list_transform(regexp_split_to_array(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
-                  '[\x20\x09-\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t FROM l),
-        p AS (SELECT doc_id, pos, t, {'n': len(t), 'head': t[1:3]} AS leaf FROM t WHERE len(t) >= 3),
+        r AS (SELECT doc_id, pos, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS r FROM l),
+        -- lines repeated as they are
+        same AS (SELECT r, min({'d': doc_id, 'p': pos}) AS first FROM r WHERE len(r) > 0 GROUP BY r
+                 HAVING count(DISTINCT doc_id) >= 4 OR count(DISTINCT doc_id) >= 2 AND length(array_to_string(r, ' ')) >= 40),
+        copies AS (SELECT doc_id, pos FROM r JOIN same USING (r) WHERE {'d': doc_id, 'p': pos} <> first),
+        -- lines with a template: fields are tokens with digits, and tokens that fewer than 4 documents have there
+        m AS (SELECT doc_id, pos, list_transform(r, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS t
+              FROM r WHERE len(r) >= 3),
+        p AS (SELECT doc_id, pos, t, {'n': len(t), 'head': t[1:3]} AS leaf FROM m
+              WHERE len(list_filter(t, lambda x: x = '<*>')) <= len(t) - 0.8 * len(t)),
         leaves AS (SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT doc_id) >= 4),
-        shared AS (SELECT p.* FROM p JOIN leaves USING (leaf)),
-        lines AS (SELECT leaf, t, count(DISTINCT doc_id) AS n FROM shared GROUP BY ALL),
+        lines AS (SELECT leaf, t, count(DISTINCT doc_id) AS n FROM p JOIN leaves USING (leaf) GROUP BY ALL),
         tokens AS (SELECT leaf, t, n, unnest(t) AS token, generate_subscripts(t, 1) AS "at" FROM lines),
         frequent AS (SELECT leaf, "at", token FROM tokens GROUP BY leaf, "at", token HAVING sum(n) >= 4),
-        general AS (SELECT x.leaf, x.t, any_value(x.n) AS n, list(coalesce(f.token, '<*>') ORDER BY x."at") AS g
+        general AS (SELECT x.leaf, x.t, any_value(x.n) AS n, list(coalesce(f.token, '<*>') ORDER BY x."at") AS sign
                     FROM tokens x LEFT JOIN frequent f ON x.leaf = f.leaf AND x."at" = f."at" AND x.token = f.token GROUP BY x.leaf, x.t),
-        signed AS (SELECT leaf, t, n, CASE WHEN len(list_filter(g, lambda x: x <> '<*>')) >= 0.8 * len(g) THEN g ELSE t END AS sign FROM general),
+        signed AS (SELECT * FROM general WHERE len(list_filter(sign, lambda x: x <> '<*>')) >= 0.8 * len(sign)),
         weighed AS (SELECT leaf, sign, sum(n) AS s FROM signed GROUP BY ALL),
         main AS (SELECT leaf, max_by(sign, {'s': s, 'sign': sign}) AS main FROM weighed GROUP BY leaf),
         template AS (SELECT leaf, t, CASE WHEN len(list_filter(list_zip(sign, main),
                          lambda z: z[1] <> z[2] AND z[1] <> '<*>' AND z[2] <> '<*>')) = 0 THEN main ELSE sign END AS template
                      FROM signed JOIN main USING (leaf)),
-        placed AS (SELECT template, doc_id, pos FROM shared JOIN template USING (leaf, t)),
+        placed AS (SELECT template, doc_id, pos FROM p JOIN template USING (leaf, t)),
         recurring AS (SELECT template, min({'d': doc_id, 'p': pos}) AS first FROM placed GROUP BY template HAVING count(DISTINCT doc_id) >= 4),
-        gone AS (SELECT doc_id, pos FROM placed JOIN recurring USING (template) WHERE {'d': doc_id, 'p': pos} <> first),
+        gone AS (SELECT doc_id, pos FROM placed JOIN recurring USING (template) WHERE {'d': doc_id, 'p': pos} <> first
+                 UNION SELECT doc_id, pos FROM copies),
         kept AS (SELECT l.doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.pos) AS INTEGER) AS n_dropped,
                         coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
                  FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)

@@ -51,3 +51,33 @@ def test_edited_lines_share_a_template(spark):
 
 def test_empty_tables(none):
     assert exact_dedup(none).count() == 0 and dedup_lines(none).count() == 0
+
+
+def cut_lines(spark, texts, **kw):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return [r.text for r in dedup_lines(df, **kw).orderBy("doc_id").collect()]
+
+
+def test_distinct_rows_of_numbers_stay(spark):
+    rows = ["0 3 1", "1 10 14", "7 7 7", "2 30 9", "12 1 5", "9 9 8", "total 12 30 45 9", "total 13 31 46 8", "total 1 2 3 4", "total 5 6 7 8", "2024-01-02 12:30 7.5"]
+    texts = [f"{x}\ntext {chr(97 + k) * 5} of its own {chr(98 + k) * 4}" for k, x in enumerate(rows)]
+    assert cut_lines(spark, texts) == texts
+    assert cut_lines(spark, texts * 2)[: len(texts)] == texts   # copies: the first of each stays
+    assert cut_lines(spark, ["1 2 3"] * 5) == ["1 2 3", "", "", "", ""]
+
+
+def test_identical_lines(spark):
+    long = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40))
+    texts = [f"a\n{long}", f"{long.replace(' ', '  ')}\nb", "c\nRead more", "d\nRead more", "e\nRead more", "}\nf", "}\n}", "}", "} "]
+    got = cut_lines(spark, texts)
+    assert got[:2] == [f"a\n{long}", "b"]                  # long: two documents are enough
+    assert got[2:5] == texts[2:5]                           # short: three are not
+    assert got[5:] == ["}\nf", "", "", ""]                  # four are, whatever the number of tokens
+    assert cut_lines(spark, ["\n\n", "\n\n", " \n", "\n\t\n", "x\n\ny"]) == ["\n\n", "\n\n", " \n", "\n\t\n", "x\n\ny"]
+
+
+def test_text_of_very_many_lines(spark):
+    dull = "a line that stands on very many pages of this site"
+    many = "\n".join(dull if k % 2 else f"line of its own {k:x}z{k}" for k in range(200_000))
+    got = cut_lines(spark, [dull, many, "other"])
+    assert got[0] == dull and got[1].count("\n") == 99_999 and dull not in got[1] and got[2] == "other"
