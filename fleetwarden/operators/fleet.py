@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetwarden.functions.flags import (BIT_LOG_REPORTS, BIT_MAINTENANCE, BIT_REINDEX, flag_bits,
                                          flag_is_set, flag_update)
 from fleetwarden.functions.pgtext import quote_literal
+from fleetwarden.session import stored
 
 # Database names never offered for enrolment.
 SYSTEM_DATABASES = ("postgres", "template0", "template1")
@@ -135,6 +136,83 @@ def cascade_delete(servers: DataFrame, databases: DataFrame, doomed_servers: Dat
     return out
 
 
+# The hub's foreign keys, all of them ON DELETE CASCADE: child table, its column,
+# parent table, the parent's key.
+FOREIGN_KEYS = [
+    ("databases", "fk_pk_id_conn", "servers", "pk_id_conn"),
+    ("pg_ini", "fk_pk_id_conn", "servers", "pk_id_conn"),
+    ("run_ledger", "fk_pk_id_db_j", "databases", "pk_id_db"),
+    ("run_errors", "fk_pk_id_db_k", "run_ledger", "run_key"),
+    ("slice_ledger", "fk_pk_id_conn", "servers", "pk_id_conn"),
+    ("slice_errors", "fk_pk_id_conn", "servers", "pk_id_conn"),
+]
+CONSTRAINT = "child string, fk string, parent string, pk string"
+
+
+def cascade_order(constraints: DataFrame, root: str) -> list[str]:
+    """The tables that a deletion from ``root`` can reach, each after all tables on its
+    longest way there: a recursive query over the constraints. A table that references
+    itself is one step; other cycles are an error."""
+    spark = constraints.sparkSession
+    constraints.where("child <> parent").select("child", "parent").distinct().createOrReplaceTempView("_fk_edges")
+    n = constraints.select("child").distinct().count()
+    rows = spark.sql(f"""
+        WITH RECURSIVE reach(tbl, depth) AS (
+            SELECT '{root}', 0
+            UNION ALL SELECT e.child, r.depth + 1 FROM reach r JOIN _fk_edges e ON e.parent = r.tbl WHERE r.depth <= {n})
+        SELECT tbl, max(depth) AS depth FROM reach GROUP BY tbl""").collect()  # a row a table
+    spark.catalog.dropTempView("_fk_edges")
+    if any(r.depth > n for r in rows):
+        raise ValueError("foreign keys in a cycle of several tables")
+    return [r.tbl for r in sorted(rows, key=lambda r: (r.depth, r.tbl))]
+
+
+def cascade_graph(tables: dict[str, DataFrame], constraints: DataFrame, root: str, doomed: DataFrame) -> dict[str, DataFrame]:
+    """W6 for any schema: ``ON DELETE CASCADE`` along declared foreign keys.
+
+    ``constraints`` (child, fk, parent, pk) is the schema; ``doomed`` holds the key values of
+    the rows of ``root`` to delete (one column, named as in ``root``). Returns each table
+    with a boolean ``deleted``. A row goes if any of its foreign keys names a deleted row, by
+    whatever way; tables that the deletion cannot reach keep all rows. Null foreign keys
+    name no row. A table that references itself is followed until no row is added.
+    """
+    declared = [r for r in constraints.select("child", "fk", "parent", "pk").collect() if r.child in tables and r.parent in tables]
+    (root_key,) = doomed.columns
+    out = {name: df.withColumn("deleted", F.lit(False)) for name, df in tables.items()}
+    for name in cascade_order(constraints, root):
+        if name not in tables:
+            continue
+        gone = [(root_key, doomed)] if name == root else []
+        gone += [(c.fk, deleted(out[c.parent]).select(F.col(c.pk).alias(c.fk))) for c in declared if c.child == name and c.parent != name]
+        out[name] = _flag_any(tables[name], gone)
+        for c in declared:
+            if c.child == name == c.parent:
+                out[name] = _follow_self(out[name], c.fk, c.pk)
+    return out
+
+
+def _flag_any(df: DataFrame, gone: list[tuple[str, DataFrame]]) -> DataFrame:
+    """``df`` with ``deleted``: whether any of the columns holds one of its doomed keys."""
+    flagged = df.withColumn("deleted", F.lit(False))
+    for k, (key, keys) in enumerate(gone):
+        named = keys.select(F.col(key).alias(f"_key{k}")).where(F.col(f"_key{k}").isNotNull()).distinct()
+        flagged = flagged.join(named, F.col(key) == F.col(f"_key{k}"), "left").select(
+            *[F.col(f"`{c}`") for c in df.columns], (F.col("deleted") | F.col(f"_key{k}").isNotNull()).alias("deleted"))
+    return flagged
+
+
+def _follow_self(flagged: DataFrame, fk: str, pk: str) -> DataFrame:
+    """Adds the rows whose ``fk`` names a deleted row of the same table, until none is added."""
+    rows, before = stored(flagged, "cascade"), -1
+    while (now := rows.where("deleted").count()) != before:
+        before = now
+        more = _flag_any(rows.drop("deleted"), [(fk, deleted(rows).select(F.col(pk).alias(fk)))])
+        rows = stored(more.withColumnRenamed("deleted", "_more").join(
+            deleted(rows).select(F.col(pk).alias("_was")).distinct(), F.col(pk) == F.col("_was"), "left")
+            .withColumn("deleted", F.col("_more") | F.col("_was").isNotNull()).drop("_more", "_was"), "cascade")
+    return rows
+
+
 def cascade_summary(result: dict[str, DataFrame]) -> DataFrame:
     """Kept and deleted row counts per table: one conditional-count aggregate per table."""
     parts = []

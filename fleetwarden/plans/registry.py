@@ -3,6 +3,7 @@ whole stand-in inputs of that scale factor. ``plans/oracle.py`` holds the DuckDB
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,10 @@ from fleetwarden.functions.flags import BIT_LOG_REPORTS, BIT_MAINTENANCE, BIT_RE
 from fleetwarden.operators import bloat, catalog, fleet, grants, ledger, slicing
 from fleetwarden.plans import runs as R
 from fleetwarden.plans import standins as S
+from fleetwarden.plans.views import index_run_script, register_functions
 from fleetwarden.session import ensure_utc, scratch_path, stored
+from fleetwarden.sources.compaction import append_batch, compact, compacted_state
+from fleetwarden.sources.identity import append_identified, identified
 from fleetwarden.sources.sinks import append_ledger, current_state
 from fleetwarden.sources.tables import read_table
 from fleetwarden.streaming import slices as stream_slices
@@ -76,16 +80,41 @@ def fk_orphans(spark, d):
         "pk_id_db", "fk_pk_id_conn", "db_name")
 
 
+_LEDGERS: dict[tuple, dict[str, str]] = {}
+
+
+def _hub_ledgers(spark, d):
+    """The hub's ledger tables after one index run and one slice run, written once per session."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    if key not in _LEDGERS:
+        run, cut = _reindex(spark, d, "skip_database"), _slice(spark, d)
+        rows = {"run_ledger": run["ledger"], "run_errors": run["errors"], "slice_ledger": cut["ledger"], "slice_errors": cut["errors"]}
+        paths = {name: scratch_path(spark, f"catalog-{name}") for name in rows}
+        for name, df in rows.items():
+            df.write.parquet(paths[name])
+        _LEDGERS[key] = paths
+    return {name: spark.read.parquet(path) for name, path in _LEDGERS[key].items()}
+
+
 @query
 def cascade_delete(spark, d):
     sv, db = S.servers(spark, d), S.databases(spark, d)
     doomed = fleet.with_flag(sv, "switch_serv", BIT_MAINTENANCE)
-    run, cut = _reindex(spark, d, "skip_database"), _slice(spark, d)
-    res = fleet.cascade_delete(sv, db, doomed, ini=S.pg_ini(spark, d), runs=run["ledger"], run_errors=run["errors"],
-                               slices=cut["ledger"], slice_errors=cut["errors"])
+    hub = _hub_ledgers(spark, d)
+    res = fleet.cascade_delete(sv, db, doomed, ini=S.pg_ini(spark, d), runs=hub["run_ledger"], run_errors=hub["run_errors"],
+                               slices=hub["slice_ledger"], slice_errors=hub["slice_errors"])
     return fleet.cascade_summary(res)
 
 
+@query
+def cascade_graph(spark, d):
+    """The same deletion, along the foreign keys as a table."""
+    tables = {"servers": S.servers(spark, d), "databases": S.databases(spark, d), "pg_ini": S.pg_ini(spark, d), **_hub_ledgers(spark, d)}
+    doomed = fleet.with_flag(tables["servers"], "switch_serv", BIT_MAINTENANCE).select("pk_id_conn")
+    constraints = spark.createDataFrame(fleet.FOREIGN_KEYS, fleet.CONSTRAINT)
+    return fleet.cascade_summary(fleet.cascade_graph(tables, constraints, "servers", doomed))
+
+
 # ------------------------------------------------------------------ catalog + bloat
 @query
 def overridden_tables(spark, d):
@@ -138,6 +167,20 @@ def bloat_search(spark, d):
     return bloat.bloat_search(bloat.bloat_report(S.catalog_snapshot(spark, d), ordered=False), S.THRESHOLD)
 
 
+@query
+def sql_bloat_function(spark, d):
+    """The report through the SQL table function alone."""
+    register_functions(spark, S.catalog_snapshot(spark, d))
+    return spark.sql("SELECT * FROM get_bloated_indexes(how => 'corrected')")
+
+
+@query
+def sql_index_run(spark, d):
+    """The index run's search as a SQL script over the table functions."""
+    targets = fleet.fleet_targets(S.servers(spark, d), S.run_databases(spark, d), BIT_REINDEX)
+    return index_run_script(spark, S.catalog_snapshot(spark, d), targets, S.THRESHOLD)
+
+
 @query
 def bloat_before_after(spark, d):
     before = bloat.bloat_search(bloat.bloat_report(S.catalog_snapshot(spark, d), ordered=False), S.THRESHOLD,
@@ -331,6 +374,29 @@ def slice_errors_current(spark, d):
     return current_state(spark, path, "slice_errors").drop("pk")
 
 
+@query
+def ledger_compacted(spark, d):
+    """The run ledger opened in one batch, compacted, and folded in the next batch, which was
+    written twice."""
+    path, fold = scratch_path(spark, "run-ledger"), stored(_reindex(spark, d, "skip_database")["ledger"], "fold")
+    opened = ledger.open_runs(fleet.fleet_targets(S.servers(spark, d), S.run_databases(spark, d), BIT_REINDEX), S.RUN_TS)
+    append_batch(opened, path, "run_ledger", "open", S.RUN_TS)
+    compact(spark, path, "run_ledger")
+    for _ in range(2):
+        append_batch(fold, path, "run_ledger", "fold", S.EVENT_NOW)
+    return compacted_state(spark, path, "run_ledger").drop("pk")
+
+
+@query
+def ledger_identity(spark, d):
+    """The slicer's error table with its identity column: three batches, the second of which
+    came twice."""
+    path, rows = scratch_path(spark, "slice-errors-identity"), ledger.error_rows(S.error_events(spark, d), "slicer")
+    for part in (0, 1, 1, 2):
+        got = append_identified(rows.where((F.dayofmonth("slice_now_ins") - 1) % 3 == part), path, str(part), "pk_id_slice_err")
+    return identified(spark, path, got.schema)
+
+
 @query
 def ledger_current_state(spark, d):
     """The run ledger, opened in one batch and folded in the next, which was written twice."""

@@ -91,6 +91,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if it is not there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder, if it is there, in its own file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
