@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from fleetwarden.llm.exact_dedup import exact_dedup
+from fleetwarden.llm.exact_dedup import exact_dedup, merge_round
 from fleetwarden.llm.line_dedup import dedup_lines
 from fleetwarden.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
@@ -34,6 +34,33 @@ def test_repeated_rows_keep_one(odd):
     assert len(got) == 2 and sum(r.kept for r in got) == 1
 
 
+@pytest.mark.parametrize("fan_in,rounds", [(2, 1), (2, 5), (4, 2), (8, 1)])
+def test_rounds_of_any_width(spark, fan_in, rounds):
+    rows = [(k, f"Text {k % 37}" if k % 3 else "hot") for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    groups = {}
+    for k, t in rows:
+        groups.setdefault(t.lower(), []).append(k)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup(df, fan_in=fan_in, rounds=rounds).collect()}
+    assert got == {k: (max(groups[t.lower()]), len(groups[t.lower()]), k == max(groups[t.lower()])) for k, t in rows}
+
+
+def test_runs_are_exchanged_by_round_and_merged_in_order(spark):
+    df = spark.createDataFrame([(f"{k % 40:04x}", k % 40 * 977, 5, k % 64, k, 1) for k in range(2000)], "digest string, check long, n_bytes int, run long, id long, n long")
+    level = df.selectExpr("digest", "check", "n_bytes", "run", "struct(id AS rank, -id AS row) AS best", "n")
+    before = 64
+    for k in range(2):
+        level = merge_round(level, k, 8)
+        plan = spark._jvm.PythonSQLUtils.explainString(level._jdf.queryExecution(), "simple")
+        assert "Exchange hashpartitioning(run" in plan and "Sort [run" in plan and "SortAggregate(key=[run" in plan
+        assert plan.count("Exchange") == k + 1          # the runs' own exchange and no other
+        rows = level.collect()
+        assert len({(r.run, r.digest) for r in rows}) == len(rows) and sum(r.n for r in rows) == 2000
+        assert max(sum(r.digest == d for r in rows) for d in {r.digest for r in rows}) <= before // 8
+        before //= 8
+    assert len(rows) == 40
+
+
 def test_lines_with_varying_fields_stay_once(odd):
     got = {r.doc_id: r for r in dedup_lines(odd).collect()}
     assert got[None].text == f"{LINE} 17\nno identifier"  # rows without identifier come first
