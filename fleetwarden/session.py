@@ -112,13 +112,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+def scratch_folders(spark: SparkSession) -> list[str]:
+    """The intermediate folders that this session has written so far."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, keep: tuple[str, ...] = (), but: list[str] | None = None) -> None:
     """Deletes the intermediate folders that this session wrote under the shared folder, but
-    for those whose names start with one of ``keep``; results that still read them must
-    have been written before."""
-    app = spark.sparkContext.applicationId
+    for those whose names start with one of ``keep`` and those in ``but``; results that
+    still read them must have been written before."""
+    app, spared = spark.sparkContext.applicationId, set(but or ())
     paths = _SCRATCH.pop(app, [])
-    _SCRATCH[app] = [p for p in paths if os.path.basename(p).startswith(keep)]
+    _SCRATCH[app] = [p for p in paths if os.path.basename(p).startswith(keep) or p in spared]
     for path in set(paths) - set(_SCRATCH[app]):
         delete_path(spark, path)
 
