@@ -18,6 +18,7 @@ from fleetwarden.llm.line_dedup import dedup_lines
 from fleetwarden.llm.mixing import take_mix
 from fleetwarden.llm.packing import pack_documents
 from fleetwarden.llm.simhash import drop_near_copies
+from fleetwarden.session import clear_scratch, scratch_folders
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +59,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage by stage, each written and read again. What a stage wrote on its way, and the
+    stage before it, is deleted once its own rows are written."""
     docs = table(spark, sf_dir, "documents")
+    begun = scratch_folders(spark)
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        clear_scratch(spark, keep=(f"{name}-",), but=begun)
     return docs

@@ -144,12 +144,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     the sample that they are not in. Lengths without a passage take the nearest one with
     passages; a table whose languages have one text each has no floor."""
     label = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~F.coalesce(held_out(id_col), F.lit(False)))
-             .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+             .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+             .withColumn("key", F.xxhash64("id", "lang", "text")))
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "key")
     # the limit per language is applied in each task before the shuffle; texts do not move
-    ids = label.select("id", "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
-    chosen = [r["id"] for r in ids.select("id").collect()]
-    sample = label.where(F.col("id").isin(chosen)).select("lang", "text") if chosen else label.limit(0).select("lang", "text")
+    rows_of = label.select("id", "lang", "key").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
+    chosen = [r["key"] for r in rows_of.select("key").collect()]
+    # a row that is repeated very often counts once: equal rows meet in their task first
+    sample = label.where(F.col("key").isin(chosen) if chosen else F.lit(False)).groupBy("key", "lang").agg(F.first("text").alias("text")).select("lang", "text")
     rows = sample.mapInArrow(_count_sample, "lang string, half int, words int, at binary, n binary").collect()
     return learned(rows, clusters, slack, least)
 

@@ -26,6 +26,8 @@ from .common import columns, fresh, written
 from .components import components
 
 SEED = 42
+#: Shingles whose votes are counted together.
+BLOCK = 1 << 15
 
 
 def fingerprint(text: str | None, shingle_words: int) -> bytes:
@@ -36,11 +38,12 @@ def fingerprint(text: str | None, shingle_words: int) -> bytes:
         return bytes(8)
     joined = b" ".join(words)
     ends = list(accumulate(len(w) + 1 for w in words))
-    k = min(shingle_words, len(words))
-    digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(joined[a: b - 1], SEED) for a, b in zip([0, *ends], ends[k - 1:])])
-    bits = np.unpackbits(np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8), axis=1)
-    return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).tobytes()
+    starts, k = [0, *ends], min(shingle_words, len(words))
+    digest, n, votes = xxhash.xxh64_digest, len(words) - k + 1, np.zeros(64, dtype=np.int64)
+    for at in range(0, n, BLOCK):
+        hashes = b"".join([digest(joined[a: b - 1], SEED) for a, b in zip(starts[at: at + BLOCK], ends[at + k - 1: at + k - 1 + BLOCK])])
+        votes += np.unpackbits(np.frombuffer(hashes, dtype=np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > n).tobytes()
 
 
 def fingerprints(shingle_words: int):
@@ -93,7 +96,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     reachable over links, its own included) and ``keeper`` (true for one row of each
     component: the smallest identifier, then the first row).
 
-    Null, empty and blank texts have fingerprint zero and are linked like any other.
+    A text of any length is read whole, its votes counted block by block. Null, empty and
+    blank texts have fingerprint zero and are linked like any other.
     Repeated rows share a fingerprint and so a component. Further columns are ignored; an
     empty table gives an empty result.
     """

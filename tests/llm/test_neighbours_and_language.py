@@ -1,6 +1,7 @@
 """Near-dedup, components, nearest neighbours and language identification."""
 
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ import xxhash
 from fleetwarden.llm.ann import nearest_neighbours
 from fleetwarden.llm.components import components
 from fleetwarden.llm.langid import floors, identify, keep_identified
-from fleetwarden.llm.simhash import close_links, drop_near_copies, simhash_groups
+from fleetwarden.llm.simhash import close_links, drop_near_copies, fingerprint, simhash_groups
 
 
 def slow_fingerprint(text):
@@ -169,3 +170,27 @@ def test_floor_of_lengths_without_passages_and_of_small_languages():
     assert got[0].tolist() == pytest.approx([0.2] * 2 + [0.5] * 9)
     assert got[1].tolist() == got[2].tolist() and 0 < got[1][0] <= 0.2 and got[1][10] == pytest.approx(0.5)
     assert floors({"a": {}}, 0.1).tolist() == [[0.0] * 11]
+
+
+def test_fingerprint_of_a_very_long_text():
+    words = [f"w{k * k % 1009}" for k in range(200_000)]
+    assert int.from_bytes(fingerprint(" ".join(words), 3), "big") == slow_fingerprint(" ".join(words[: 200_000]))
+    assert fingerprint("a b", 3) == slow_fingerprint("a b").to_bytes(8, "big") and fingerprint(None, 3) == bytes(8)
+
+
+def test_star_with_very_many_edges(spark):
+    edges = spark.range(1, 20_000).selectExpr("0 AS u", "id AS v").union(spark.range(1, 50).selectExpr("30000 + id AS u", "30001 + id AS v"))
+    got = {r.id: r.component for r in components(edges).collect()}
+    assert all(got[k] == 0 for k in range(20_000)) and all(got[k] == 30_001 for k in range(30_001, 30_051))
+
+
+def test_sample_of_a_repeated_identifier_is_bounded(spark):
+    from fleetwarden.llm.langid import fit
+    one = next(k for k in range(100, 200) if zlib.crc32(str(k).encode()) % 3 != 1)    # the model may learn from it
+    rows = [(one, f"word{k % 3000} alpha beta gamma", "xx") for k in range(30_000)] + [(one, "the same text", "yy")] * 20_000
+    rows += [(k, f"delta epsilon zeta {k}", "yy") for k in range(6, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = fit(df, per_language=20)
+    assert set(model.languages) == {"xx", "yy"}
+    got = {r.doc_id: r.lang_pred for r in identify(df.where("doc_id < 100"), per_language=20).collect()}
+    assert set(got.values()) == {"yy"}
