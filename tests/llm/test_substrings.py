@@ -136,3 +136,64 @@ def test_passage_of_phrases_that_stand_singly_in_earlier_documents(spark):
     for k in range(6):
         r = got[first + 6 + k]
         assert [tuple(map(int, s)) for s in r.spans or ()] == [(120, 200)] and r.first_docs == [first + k]
+
+
+def edited(rng, words, every, cut):
+    """``words`` with one of every ``every`` replaced, or left out where ``cut``."""
+    out, at = [], rng.randrange(every)
+    for k, w in enumerate(words):
+        if k % every != at:
+            out.append(w)
+        elif not (cut and rng.random() < 0.3):
+            out.append(f"edit{rng.randrange(10 ** 6)}")
+    return out
+
+
+def test_recall_of_edited_passages(spark):
+    """Every planted passage has 50 words or more on both sides and is 0.82 to 0.92 similar by
+    its longest common subsequence; nine in ten are found, in each class of edits as well."""
+    rng = random.Random(8)
+    words = lambda n: [f"{rng.randrange(10 ** 6):x}" for _ in range(n)]
+    texts, planted = [], {}
+    for every in (6, 7, 8, 9, 10, 12):
+        for n in (50, 55, 60, 80, 100):
+            for _ in range(8):
+                passage = words(n)
+                copy = edited(rng, passage, every, n > 55)
+                assert len(copy) >= 50 and common_words(passage, copy) >= 0.8 * max(len(passage), len(copy))
+                texts.append(words(80) + passage + words(60))
+                planted[len(texts)] = (every, n, 70, 70 + len(copy))
+                texts.append(words(70) + copy + words(90))
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: [tuple(map(int, s)) for s in r.spans or ()] for r in repeated_passages(df).collect()}
+    assert not any(got[k] for k in got if k not in planted)
+    caught = {k: any(a < end and start < b and min(b, end) - max(a, start) >= 0.8 * (end - start) for a, b in got[k])
+              for k, (_, _, start, end) in planted.items()}
+    for every in (6, 7, 8, 9, 10, 12):
+        of = [caught[k] for k, p in planted.items() if p[0] == every]
+        print(every, sum(of), len(of), {n: sum(caught[k] for k, p in planted.items() if p[:2] == (every, n)) for n in (50, 55, 60, 80, 100)})
+    assert sum(caught.values()) >= 0.9 * len(caught)
+    assert all(sum(caught[k] for k, p in planted.items() if p[0] == e) >= 0.8 * 40 for e in (7, 8, 9, 10, 12))
+    wide = [caught[k] for k, p in planted.items() if p[1] >= 80]
+    assert sum(wide) >= 0.95 * len(wide)
+
+
+def test_passages_that_repeat_a_phrase(spark):
+    rng = random.Random(9)
+    words = lambda n: [f"{rng.randrange(10 ** 6):x}" for _ in range(n)]
+    texts, planted = [], {}
+    for phrase in (1, 2, 3, 5, 7, 11, 20):
+        passage = words(phrase) * (100 // phrase)
+        other = list(passage)
+        other[len(other) // 2] = "edit"
+        texts += [words(40) + passage + words(30), words(25) + passage + words(50), words(10) + other + words(40)]
+        planted[len(texts) - 2] = (25, len(passage))
+        planted[len(texts) - 1] = (10, len(other))
+    whole = " ".join(words(4) * 5000)
+    texts += [whole.split(), whole.split()]
+    planted[len(texts) - 1] = (0, 20_000)
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: [tuple(map(int, s)) for s in r.spans or ()] for r in repeated_passages(df).collect()}
+    for k, (start, n) in planted.items():
+        assert sum(min(b, start + n) - max(a, start) for a, b in got[k] if a < start + n and start < b) >= 0.9 * n, (k, got[k])
+    assert not any(got[k] for k in got if k not in planted)
