@@ -293,6 +293,33 @@ def read_replies(replies: DataFrame) -> DataFrame:
             .withColumn("full_log_modf", F.to_timestamp("full_log_modf").cast("timestamp_ntz")))
 
 
+def departures(tasks: DataFrame) -> DataFrame:
+    """The argument object of each remote call, as VARIANT ``departure``."""
+    at = "yyyy-MM-dd HH:mm:ss"
+    return tasks.select(*TASK_KEY, F.to_variant_object(F.struct(
+        F.col("pgbg_path"), F.col("log_path").alias("log_file"), F.col("out_dir").alias("out_dir_slice"), F.col("compl_name").alias("out_file_slice"),
+        F.date_format("window_start", at).alias("begin_dattime"), F.date_format("window_end", at).alias("end_dattime"))).alias("departure"))
+
+
+def variant_text(v, key: str):
+    """A field as text, as JSONB's ``->>`` gives it: numbers and booleans in their digits and
+    names, objects and arrays as JSON, NULL for a null, an unknown key or no object."""
+    field = F.try_variant_get(v, f"$.{key}", "variant")
+    return F.coalesce(F.try_variant_get(v, f"$.{key}", "string"), F.when(~F.is_variant_null(field), F.to_json(field)))
+
+
+def read_variant_replies(replies: DataFrame) -> DataFrame:
+    """``read_replies`` for replies of any shape: fields may be missing, unknown or more than
+    the hub's, and numbers may come as text. Of a key given twice the last value counts. A
+    reply that is no JSON, or a number or time that is none, gives NULL."""
+    replies.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    r = replies.select(*TASK_KEY, "timer_seconds", F.try_parse_json("reply").alias("_v"))
+    text = lambda key: variant_text(F.col("_v"), key)
+    return r.select(*TASK_KEY, "timer_seconds", *[text(k).alias(k) for k in ("status", "status_text", "message", "sqlstate", "full_log_name")],
+                    *[text(k).try_cast("long").alias(k) for k in ("full_log_size", "slice_file_size")],
+                    F.try_to_timestamp(text("full_log_modf")).cast("timestamp_ntz").alias("full_log_modf"))
+
+
 def route(results: DataFrame) -> dict[str, DataFrame]:
     """Error replies -> slicer error rows; report_ready -> ledger updates; the rest
     (no reply, report_file_missing) -> neither, exposed as ``unrouted``. ``results`` may come

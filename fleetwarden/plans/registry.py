@@ -17,6 +17,7 @@ from fleetwarden.plans.views import index_run_script, register_functions
 from fleetwarden.session import ensure_utc, scratch_path, stored
 from fleetwarden.sources.compaction import append_batch, compact, compacted_state
 from fleetwarden.sources.identity import append_identified, identified
+from fleetwarden.sources.loglisting import LogListing
 from fleetwarden.sources.sinks import append_ledger, current_state
 from fleetwarden.sources.tables import read_table
 from fleetwarden.streaming import slices as stream_slices
@@ -345,6 +346,35 @@ def slice_reply_json(spark, d):
     return _slice(spark, d)["replies"].select(*slicing.TASK_KEY, "reply")
 
 
+@query
+def slice_departures(spark, d):
+    """The argument objects of the remote calls (VARIANT), as JSON text."""
+    return slicing.departures(_tasks(spark, d)).select(*slicing.TASK_KEY, F.to_json("departure").alias("departure"))
+
+
+@query
+def reply_variant(spark, d):
+    """Replies that carry more or fewer fields than the hub's, or numbers as text, routed."""
+    kind, reply = F.col("pk_id_pgini") % 4, F.col("reply")
+    shaped = (F.when(kind == 0, F.regexp_replace(reply, r'("full_log_size":)(\d+)', '$1"$2"'))
+              .when(kind == 1, F.regexp_replace(reply, r"^\{", '{"host":{"os":"linux","cpus":[1,2]},"status_text":"init",'))
+              .when(kind == 2, F.regexp_replace(reply, r'"full_log_name":"[^"]*",', ""))
+              .otherwise(reply))
+    read = slicing.read_variant_replies(_slice(spark, d)["replies"].withColumn("reply", shaped))
+    return slicing.route_label(read).join(read.select(*slicing.TASK_KEY, "full_log_name", "full_log_size", "full_log_modf", "slice_file_size", "sqlstate"),
+                                          slicing.TASK_KEY)
+
+
+@query
+def log_listing_source(spark, d):
+    """Files and bytes per server, by the listing source over written log folders."""
+    path = scratch_path(spark, "log-folders")
+    S.logs(spark, d).select("server_id", "line").repartition("server_id").write.partitionBy("server_id").text(path)
+    spark.dataSource.register(LogListing)
+    return (spark.read.format("log_listing").load(path).where(F.col("name").endswith(".txt")).groupBy("server_id")
+            .agg(F.count("*").alias("n_files"), F.sum("size").alias("bytes")))
+
+
 @query
 def slice_results_large(spark, d):
     """Replies over slices as large as the order lines make them; some exceed 2 GiB."""
