@@ -7,7 +7,12 @@ position in a hundred. A record is an anchor's suffix, with the bytes to its lef
 windows start in.
 
 1. Anchors are counted by a hash of the bytes that all windows of an anchor share. Records
-   whose hash occurs once can't repeat and never leave their task.
+   whose hash occurs once can't repeat and never leave their task. A hash that very many
+   records have (boilerplate shorter than a window, in ever different surroundings) is hot:
+   its records are split by how far from the anchor their windows start, in classes of
+   ``WIDTHS`` starts, whose windows share a longer stretch, and counted by the hash of that.
+   Classes of one start share the whole window, so that what is hot then does repeat, and
+   its equal records are one in each task.
 2. The other records are sorted in each task into runs by (hash, suffix). Records that are
    equal in a run are found out at once and go on as one. Runs are front-coded, cut by hash
    range and exchanged.
@@ -36,6 +41,8 @@ from .common import written
 SPAN, GRAM = 256, 8
 #: Texts are scanned in segments and groups of segments of up to so many bytes.
 SEGMENT = 1 << 20
+#: Window starts in a class of a hot hash's records, and in one of a class that is hot again.
+WIDTHS = (16, 1)
 #: Bytes of records that a task sorts into one run.
 RUN_BYTES = 24 << 20
 _RNG = np.random.default_rng(20)
@@ -130,11 +137,63 @@ def scanned(group: list, min_bytes: int):
     return raw, starts, first, last, anchor, h, np.searchsorted(starts, first, side="right") - 1
 
 
-def hashes(min_bytes: int):
+def member(keys: np.ndarray, seg: np.ndarray, group: list, of: list[np.ndarray]) -> np.ndarray:
+    """Whether each key is in the sorted keys ``of`` its row; ``seg``, in order, tells the
+    segment, and that the row."""
+    out = np.zeros(len(keys), dtype=bool)
+    bounds = np.searchsorted(seg, np.arange(len(group) + 1))
+    for s, g in enumerate(group):
+        want, part = of[g[0]], keys[bounds[s]: bounds[s + 1]]
+        if len(want) and len(part):
+            out[bounds[s]: bounds[s + 1]] = want[np.minimum(np.searchsorted(want, part), len(want) - 1)] == part
+    return out
+
+
+def classes(prints: Fingerprints, first, last, anchor, width: int, min_bytes: int):
+    """Records split by the distance of their window starts from the anchor: the record that
+    each is of, its first and last start, and the hash of what its windows share."""
+    low = (anchor - last) // width
+    n = (anchor - first) // width - low + 1
+    of = np.repeat(np.arange(len(first)), n)
+    c = low[of] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    near = anchor[of] - c * width
+    key = prints.of(near, min_bytes - width + 1) ^ (c.astype(np.uint64) * np.uint64(SPAN) + np.uint64(width)) * _BASE
+    key ^= key >> np.uint64(31)
+    return of, np.maximum(first[of], near - width + 1), np.minimum(last[of], near), key * _MIX
+
+
+def split_hot(raw: bytes, group: list, first, last, anchor, h, seg, hot: list[np.ndarray], min_bytes: int, levels: int):
+    """The records with those of hot keys split, level by level; and which are of the last level."""
+    level = np.zeros(len(h), dtype=np.int64)
+    if any(len(hot[g[0]]) for g in group):
+        prints = Fingerprints(np.frombuffer(raw, dtype=np.uint8))
+        for k, width in enumerate(WIDTHS[:levels], 1):
+            crowded = member(h, seg, group, hot) & (level == k - 1)
+            if not crowded.any():
+                break
+            at, rest = np.flatnonzero(crowded), np.flatnonzero(~crowded)
+            of, p, q, key = classes(prints, first[at], last[at], anchor[at], width, min_bytes)
+            parts = [(first, p), (last, q), (anchor, anchor[at][of]), (h, key), (seg, seg[at][of]), (level, np.full(len(of), k))]
+            first, last, anchor, h, seg, level = (np.concatenate((x[rest], new)) for x, new in parts)
+            order = np.lexsort((first, seg))
+            first, last, anchor, h, seg, level = (x[order] for x in (first, last, anchor, h, seg, level))
+    return first, last, anchor, h, seg, level
+
+
+def _keys(column) -> list[np.ndarray]:
+    return [np.sort(np.array(x.as_py() or [], dtype=np.int64).view(np.uint64)) for x in column]
+
+
+def hashes(min_bytes: int, level: int = 0):
+    """Keys (doc, row, h) of the records; of the given level of hot keys where it is not 0."""
     def batches(it):
         for batch in it:
+            hot = _keys(batch.column("hot")) if level else None
             for group in segments(batch, min_bytes):
-                *_, h, seg = scanned(group, min_bytes)
+                raw, _, first, last, anchor, h, seg = scanned(group, min_bytes)
+                if level:
+                    *_, h, seg, at_level = split_hot(raw, group, first, last, anchor, h, seg, hot, min_bytes, level)
+                    h, seg = h[at_level == level], seg[at_level == level]
                 at = pa.array(np.array([g[0] for g in group])[seg]) if len(h) else pa.array([], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc").take(at), batch.column("row").take(at),
                                                   pa.array(h.view(np.int64))], ["doc", "row", "h"])
@@ -255,16 +314,11 @@ def make_runs(min_bytes: int, ranges_log2: int):
         held, repeated, size = {}, {}, 0
         for batch in it:
             docs, rows = batch.column("doc").to_pylist(), batch.column("row").to_pylist()
-            wanted = [np.sort(np.array(x.as_py(), dtype=np.int64).view(np.uint64)) for x in batch.column("hs")]
+            wanted, hot = _keys(batch.column("hs")), _keys(batch.column("hot"))
             for group in segments(batch, min_bytes):
                 raw, starts, first, last, anchor, h, seg = scanned(group, min_bytes)
-                keep = np.zeros(len(h), dtype=bool)
-                bounds = np.searchsorted(seg, np.arange(len(group) + 1))
-                for s, g in enumerate(group):
-                    want, part = wanted[g[0]], h[bounds[s]: bounds[s + 1]]
-                    if len(want) and len(part):
-                        keep[bounds[s]: bounds[s + 1]] = want[np.minimum(np.searchsorted(want, part), len(want) - 1)] == part
-                k = np.flatnonzero(keep)
+                first, last, anchor, h, seg, _ = split_hot(raw, group, first, last, anchor, h, seg, hot, min_bytes, len(WIDTHS))
+                k = np.flatnonzero(member(h, seg, group, wanted))
                 for p, q, a, x, s in zip(first[k].tolist(), last[k].tolist(), anchor[k].tolist(), h[k].tolist(), seg[k].tolist()):
                     b, offset, _ = group[s]
                     at = p - int(starts[s]) + offset
@@ -376,8 +430,33 @@ def cut_texts(min_bytes: int):
     return batches
 
 
+def wanted_keys(texts: DataFrame, min_bytes: int, hot_records: int) -> DataFrame:
+    """Per text (doc, row): the keys ``hs`` of its records that may repeat, the ``hot`` keys
+    that led to some of them, and ``n``, the number of its records."""
+    seen = written(texts.where(F.octet_length("text") >= min_bytes).mapInArrow(hashes(min_bytes), "doc long, row long, h long"), "anchors")
+    often = written(seen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")
+    wanted, hot = seen.join(often.where(F.col("n") <= hot_records).select("h"), "h").select("doc", "row", "h", F.lit(False).alias("hot")), []
+    for level in range(1, len(WIDTHS) + 1):
+        crowded = seen.join(often.where(F.col("n") > hot_records).select("h"), "h").select("doc", "row", "h").distinct()
+        crowded = written(crowded, "hot-anchors")
+        if crowded.isEmpty():
+            break
+        hot.append(crowded)
+        so_far = hot[0] if len(hot) == 1 else hot[0].unionByName(hot[1])
+        of = written(so_far.groupBy("doc", "row").agg(F.collect_set("h").alias("hot")), "hot-rows")
+        seen = written(texts.join(of.hint("merge"), ["doc", "row"]).mapInArrow(hashes(min_bytes, level), "doc long, row long, h long"), "classes")
+        often = written(seen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeated-classes")
+        most = F.col("n") <= hot_records if level < len(WIDTHS) else F.lit(True)
+        wanted = wanted.unionByName(seen.join(often.where(most).select("h"), "h").select("doc", "row", "h", F.lit(False).alias("hot")))
+    for keys in hot:
+        wanted = wanted.unionByName(keys.select("doc", "row", "h", F.lit(True).alias("hot")))
+    key = F.when(F.col("hot"), F.col("h"))
+    return (wanted.groupBy("doc", "row").agg(F.collect_set(F.when(~F.col("hot"), F.col("h"))).alias("hs"), F.collect_set(key).alias("hot"),
+                                             F.count_if(~F.col("hot")).alias("n")).where("n > 0"))
+
+
 def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                     range_records: int = 12_000) -> DataFrame:
+                     range_records: int = 12_000, hot_records: int = 20_000) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256`` and ``spans`` (the removed runs, as [start, end) bytes of the text).
 
@@ -385,6 +464,9 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_i
     else too, in this or another row; overlaps count, and all strings are judged on the
     input. Null texts count as empty; texts shorter than ``min_bytes`` stay whole. Repeated
     rows, with or without the same identifier, are copies of each other like any others.
+    Very long texts are read in overlapping segments. Records of a hash that more than
+    ``hot_records`` records have are split, and those of a hash range, ``range_records`` on
+    average, meet in one task.
     Further columns are ignored; an empty table gives an empty result. ``min_bytes`` must
     exceed 264 (the anchors' span and gram).
     """
@@ -393,10 +475,7 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_i
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc")
     row = F.xxhash64(F.col(id_col), F.col(text_col)).alias("row")
     texts = docs.select(doc, row, F.col(text_col).cast("binary").alias("text"))
-    seen = written(texts.where(F.octet_length("text") >= min_bytes).mapInArrow(hashes(min_bytes), "doc long, row long, h long"), "anchors")
-    often = written(seen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
-    wanted = seen.join(often, "h").groupBy("doc", "row").agg(F.collect_set("h").alias("hs"), F.count("*").alias("n"))
-    wanted = written(wanted, "wanted")
+    wanted = written(wanted_keys(texts, min_bytes, hot_records), "wanted")
     total = wanted.agg(F.sum("n")).first()[0] or 0
     log2 = min(16, max(0, int(total // range_records).bit_length()))
     runs = written(texts.join(wanted.drop("n").hint("merge"), ["doc", "row"])

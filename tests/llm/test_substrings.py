@@ -55,6 +55,30 @@ def test_segments_of_long_texts(spark, monkeypatch):
     assert set(starts.values()) == {1} and len(starts) == sum(len(t) - 399 for _, t in raws)
 
 
+def hot_texts(rng, n):
+    """Boilerplate of 300, 394 and 450 bytes in ever different surroundings, some repeated."""
+    prose = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    plates = [prose(300), prose(394), prose(450)]
+    texts = [prose(150 + rng.randrange(60)) + plates[k % 3] + prose(150 + rng.randrange(60)) for k in range(n)]
+    return texts + [texts[3][40:], "x" + texts[4], plates[0] + texts[0][-100:]]
+
+
+def test_hot_anchors_against_brute_force(spark):
+    texts = hot_texts(random.Random(10), 150)
+    for hot in (1, 5, 40, 10_000):
+        check(spark, texts, hot_records=hot)
+
+
+def test_hot_anchors_are_split(spark):
+    """Records of one hash stay under the bound unless their windows do repeat; equal ones
+    are one record in each task."""
+    texts = [t for k, t in enumerate(hot_texts(random.Random(11), 600)[:600]) if k % 3 < 2]
+    df = spark.createDataFrame([(k, k, t.encode()) for k, t in enumerate(texts)], "doc long, row long, text binary").repartition(4)
+    most = lambda keys: max((r.n for r in keys.selectExpr("explode(hs) AS h").groupBy("h").agg(S.F.count("*").alias("n")).collect()), default=0)
+    assert most(S.wanted_keys(df, 400, 10_000)) >= 200
+    assert most(S.wanted_keys(df, 400, 20)) <= 20
+
+
 def test_merge_of_front_coded_runs():
     rng = random.Random(3)
     records = [(bytes(rng.choice(b"ab") for _ in range(rng.randrange(8, 40))), bytes(rng.choice(b"xy") for _ in range(rng.randrange(5))), 1, k, k, k) for k in range(400)]
