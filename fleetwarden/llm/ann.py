@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+#: Rows whose distances from all lists are worked out at a time.
+ROWS = 1024
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(``row``, ``id``, ``v``) of the vectors that take part: not null, not zero, without
     null or non-finite components, and of the most frequent dimension."""
@@ -78,7 +82,16 @@ class Index:
         return (self.centroids ** 2).sum(axis=1) - 2 * (v @ self.centroids.T)
 
     def nearest(self, v: np.ndarray, n: int) -> np.ndarray:
-        return np.argsort(self.gaps(v), axis=1, kind="stable")[:, :n]
+        """The ``n`` nearest lists of each row, nearest first; distances of ROWS rows at a time."""
+        out = [np.zeros((0, n), dtype=np.int64)]
+        for at in range(0, len(v), ROWS):
+            gaps = self.gaps(v[at: at + ROWS])
+            if n == 1:
+                out.append(gaps.argmin(axis=1)[:, None])
+                continue
+            near = np.argpartition(gaps, n - 1, axis=1)[:, :n] if n < gaps.shape[1] else np.tile(np.arange(n), (len(gaps), 1))
+            out.append(np.take_along_axis(near, np.argsort(np.take_along_axis(gaps, near, axis=1), axis=1, kind="stable"), axis=1))
+        return np.concatenate(out)
 
 
 def _matrix(column) -> np.ndarray:
@@ -91,7 +104,8 @@ def deal(index: Index):
         for batch in it:
             v = _matrix(batch.column(2)) if len(batch) else np.zeros((0, 1))
             own = index.nearest(index.extended(v), 1)[:, 0] if len(batch) else np.zeros(0, int)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int32())], ["row", "id", "v", "list"])
+            off = np.linalg.norm(v - index.centroids[own, :-1], axis=1) if len(batch) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int32()), pa.array(off)], ["row", "id", "v", "list", "off"])
     return batches
 
 
@@ -99,9 +113,13 @@ def probe(index: Index):
     def batches(it):
         for batch in it:
             if len(batch):
-                near = index.nearest(index.queries(_matrix(batch.column(2))), index.probes)
-                kinds = pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32).tolist(), kinds)], ["row", "id", "v", "lists"])
+                v = _matrix(batch.column(2))
+                near = index.nearest(index.queries(v), index.probes)
+                toward = np.stack([index.centroids[n, :-1] @ q for n, q in zip(near, v)])
+                ends = pa.array(np.arange(0, near.size + 1, near.shape[1]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.ListArray.from_arrays(ends, pa.array(near.ravel(), pa.int32())), pa.ListArray.from_arrays(ends, pa.array(toward.ravel())),
+                     pa.array(np.linalg.norm(v, axis=1))], ["row", "id", "v", "lists", "toward", "norm"])
     return batches
 
 
@@ -147,7 +165,7 @@ def scan(index: Index, k: int, block: int, epsilon: float):
 
 def nearest_neighbours(vectors: DataFrame, queries_where: str = "id % 20 = 0", k: int = 20, id_col: str = "vec_id",
                        vec_col: str = "embedding", sample_rows: int = 10_000, recall: float = 0.985, block: int = 16,
-                       epsilon: float = 3.5, chunk_rows: int = 1000, seed: int = 42) -> DataFrame:
+                       epsilon: float = 3.5, chunk_rows: int = 1000, query_rows: int = 4000, seed: int = 42) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the ``k`` nearest found of
     each query row, ties to the smaller identifier. ``queries_where`` selects the queries by
     ``id``; candidates are all rows but the query's own.
@@ -155,7 +173,9 @@ def nearest_neighbours(vectors: DataFrame, queries_where: str = "id % 20 = 0", k
     Vectors that are null, zero, hold null or non-finite components, have another dimension
     than most, or have no identifier take no part. Rows that repeat an identifier are
     queries and candidates each. A query with fewer candidates gets all that its probes
-    hold. Further columns are ignored; an empty table gives an empty result.
+    hold; equal vectors tie by identifier. A task holds ``chunk_rows`` candidates and
+    ``query_rows`` queries on average, whatever the size of a list. Further columns are
+    ignored; an empty table gives an empty result.
     ``sample_rows`` bounds what the driver sees, to fit the index only.
     """
     spark = vectors.sparkSession
@@ -164,27 +184,39 @@ def nearest_neighbours(vectors: DataFrame, queries_where: str = "id % 20 = 0", k
     n, largest = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
     if n < 2:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("id", "row")).limit(sample_rows).select("v").collect()])
+    sample = _matrix(rows.orderBy(F.xxhash64("id", "row")).limit(sample_rows).select("v").toArrow().column("v"))
     index = Index(sample, float(np.sqrt(largest)), max(1, min(int(np.sqrt(n)), 4096, len(sample) // 4 or 1)), k, recall, seed)
     kinds = "row long, id long, v array<double>, "
-    held = written(rows.select("row", "id", "v").mapInArrow(deal(index), kinds + "list int"), "listed")
-    chunks = written(held.groupBy("list").count().select("list", F.ceil(F.col("count") / chunk_rows).alias("chunks")), "list-sizes")
-    held = (held.join(chunks, "list").withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks"))).drop("chunks"))
+    held = written(rows.select("row", "id", "v").mapInArrow(deal(index), kinds + "list int, off double"), "listed")
+    lists = written(held.groupBy("list").agg(F.ceil(F.count("*") / chunk_rows).alias("chunks"), F.max("off").alias("radius")), "list-sizes")
+    held = held.join(lists, "list").withColumn("chunk", F.pmod(F.xxhash64("row"), F.col("chunks"))).drop("chunks", "radius", "off")
     held = written(held, "chunked")
-    asked = written(rows.where(queries_where).select("row", "id", "v").mapInArrow(probe(index), kinds + "lists array<int>"), "asked")
+    asked = written(rows.where(queries_where).select("row", "id", "v")
+                    .mapInArrow(probe(index), kinds + "lists array<int>, toward array<double>, norm double"), "asked")
 
     def search(queries: DataFrame) -> DataFrame:
-        spread = (queries.join(chunks, "list").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-                  .select("list", "chunk", "row", "id", "v", "bar"))
-        return (spread.groupBy("list", "chunk").cogroup(held.groupBy("list", "chunk"))
+        """Each query against the chunks of its list. A query does not visit a list where
+        even the member farthest out in its direction would stay below its bar. Queries of
+        a list are dealt into parts, each of which meets every chunk."""
+        reach = F.col("toward") + F.col("norm") * F.col("radius") * (1 + 1e-9) + 1e-9
+        visits = queries.join(lists, "list").where(reach >= F.col("bar"))
+        parts = visits.groupBy("list").agg(F.ceil(F.count("*") / query_rows).alias("parts"))
+        parts = written(parts, "query-parts")
+        dealt = visits.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("row", F.lit(1)), F.col("parts")))
+        spread = (dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+                  .select("list", "chunk", "part", "row", "id", "v", "bar"))
+        met = held.join(parts, "list").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        return (spread.groupBy("list", "chunk", "part").cogroup(met.select("list", "chunk", "part", "row", "id", "v").groupBy("list", "chunk", "part"))
                 .applyInPandas(scan(index, k, block, epsilon), out))
 
-    first = written(search(asked.select(F.get("lists", F.lit(0)).alias("list"), "row", "id", "v", F.lit(float("-inf")).alias("bar"))), "first-lists")
+    first = written(search(asked.select(F.get("lists", F.lit(0)).alias("list"), "row", "id", "v", F.get("toward", F.lit(0)).alias("toward"), "norm",
+                                        F.lit(float("-inf")).alias("bar"))), "first-lists")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     bars = written(first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
                    .select(F.col("query_row").alias("row"), F.col("score").alias("bar")), "bars")
-    others = (asked.join(bars, "row", "left").select(F.explode(F.slice("lists", 2, index.probes)).alias("list"), "row", "id", "v",
-                                                     F.coalesce("bar", F.lit(float("-inf"))).alias("bar")))
+    visit = F.explode(F.slice(F.arrays_zip("lists", "toward"), 2, index.probes)).alias("x")
+    others = (asked.join(bars, "row", "left").select(visit, "row", "id", "v", "norm", F.coalesce("bar", F.lit(float("-inf"))).alias("bar"))
+              .select("x.lists", "x.toward", "row", "id", "v", "norm", "bar").withColumnRenamed("lists", "list"))
     found = first.unionByName(search(others)) if index.probes > 1 else first
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

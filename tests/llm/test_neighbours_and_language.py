@@ -194,3 +194,18 @@ def test_sample_of_a_repeated_identifier_is_bounded(spark):
     assert set(model.languages) == {"xx", "yy"}
     got = {r.doc_id: r.lang_pred for r in identify(df.where("doc_id < 100"), per_language=20).collect()}
     assert set(got.values()) == {"yy"}
+
+
+def test_queries_are_dealt_and_far_lists_left_out(spark):
+    """Small parts and chunks change nothing, and clustered lists that cannot matter are not visited."""
+    rng = np.random.default_rng(5)
+    centres = 10 * np.eye(8)[:6]
+    v = centres[rng.integers(0, 6, 1500)] + rng.standard_normal((1500, 8)) * 0.1
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    key = lambda d: sorted(tuple(r) for r in d.select("query_id", "rank", "vec_id").collect())
+    small = key(nearest_neighbours(df, k=5, chunk_rows=20, query_rows=3))
+    assert small == key(nearest_neighbours(df, k=5))
+    scores = v[::20] @ v.T
+    scores[np.arange(75), np.arange(0, 1500, 20)] = -np.inf
+    want = {(20 * q, int(x)) for q, row in enumerate(np.argsort(-scores, axis=1)[:, :5]) for x in row}
+    assert len({(q, x) for q, _, x in small} & want) >= 0.95 * len(want)
