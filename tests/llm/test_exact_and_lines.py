@@ -108,3 +108,20 @@ def test_text_of_very_many_lines(spark):
     many = "\n".join(dull if k % 2 else f"line of its own {k:x}z{k}" for k in range(200_000))
     got = cut_lines(spark, [dull, many, "other"])
     assert got[0] == dull and got[1].count("\n") == 99_999 and dull not in got[1] and got[2] == "other"
+
+
+@pytest.mark.parametrize("module,run", [("exact_dedup", exact_dedup), ("line_dedup", dedup_lines)])
+def test_native_operators_run_no_python(spark, odd, monkeypatch, module, run):
+    import importlib
+    home, plans = importlib.import_module(f"fleetwarden.llm.{module}"), []
+    kept = home.written
+
+    def seen(df, name):
+        plans.append(spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple"))
+        return kept(df, name)
+    monkeypatch.setattr(home, "written", seen)
+    result = run(odd)
+    plans.append(spark._jvm.PythonSQLUtils.explainString(result._jdf.queryExecution(), "simple"))
+    assert len(plans) > 3
+    for plan in plans:
+        assert not any(x in plan for x in ("Python", "InPandas", "InArrow", "CartesianProduct", "NestedLoop")), plan
