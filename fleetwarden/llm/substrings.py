@@ -17,8 +17,8 @@ windows start in.
    equal in a run are found out at once and go on as one. Runs are front-coded, cut by hash
    range and exchanged.
 3. Each range is merged by a loser tree that knows how much of each head agrees with the
-   last winner and compares from there on. The merged order's common prefixes bound which
-   windows can repeat; the rest is settled by fingerprints of those windows.
+   last winner and compares from there on. The merged order's common prefixes, together
+   with those of the left contexts of neighbouring records, say which windows repeat.
 
 Window starts that repeat come back to their documents as intervals.
 """
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -342,57 +343,61 @@ def make_runs(min_bytes: int, ranges_log2: int):
     return batches
 
 
+def agreeing(records: list, min_bytes: int) -> list[list[tuple[int, int]]]:
+    """For each record of a merged run, how far left of the anchor its repeated windows
+    start: intervals [lo, hi] of bytes.
+
+    A window that starts d bytes left of the anchor repeats if another record agrees with
+    this one for ``min_bytes`` - d bytes from the anchor on and for d bytes before it. The
+    merge has told how far neighbours agree from the anchor on. Going from the longest of
+    these common prefixes to the shortest, groups of neighbours that agree so far are joined;
+    a group keeps its left contexts in order, so that the one a record agrees with longest to
+    the left is its neighbour there. The smaller group goes into the larger one, and only
+    neighbours of what is put in can change.
+    """
+    best, spans = [-1] * len(records), [[] for _ in records]
+    lists = [[(r[2], k)] for k, r in enumerate(records)]
+    low, high = list(range(len(records))), list(range(len(records)))  # of the group that ends, or begins, here
+    reach = [r[0] - 8 for r in records]  # the merged bytes begin with the hash
+
+    def meets(k: int, same: int, agreed: int) -> None:
+        if same > best[k]:
+            best[k], least = same, max(0, min_bytes - agreed)
+            if same >= least:
+                spans[k].append((least, same))
+
+    near = [k for k in range(1, len(records)) if reach[k] > min_bytes - SPAN]
+    for k in sorted(near, key=lambda k: -reach[k]):
+        first, last = low[k - 1], high[k]
+        one, other = lists[first], lists[k]
+        into, put = (one, other) if len(one) >= len(other) else (other, one)
+        for left, r in put:
+            at = bisect_left(into, (left, r))
+            for beside in into[max(0, at - 1): at + 1]:
+                same = common(left, beside[0], 0)
+                meets(r, same, reach[k])
+                meets(beside[1], same, reach[k])
+            into.insert(at, (left, r))
+        lists[first], lists[k] = into, []
+        low[last], high[first] = first, last
+    return spans
+
+
 def repeats(min_bytes: int):
-    """The window starts of one hash range that repeat, by document."""
+    """The window starts of one hash range that repeat, by document, as the merged order of
+    its runs tells them."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         records = merged([decoded(b) for b in group["run"]])
-        prefix = [r[0] for r in records] + [0]
-        texts, base, windows, place, prints, size = [], [], [], [], [], 0
-
-        def fingerprinted() -> None:
-            """Adds the fingerprints of the windows of the texts at hand, which then go."""
-            n = np.array(windows[len(windows) - len(base):])
-            starts = np.repeat(np.array(base), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            prints.append(Fingerprints(np.frombuffer(b"".join(texts), dtype=np.uint8)).of(starts, min_bytes))
-            texts.clear()
-            base.clear()
-
-        for k, (_, suffix, left, n, doc, row, first) in enumerate(records):
-            reach = max(prefix[k], prefix[k + 1]) - 8  # bytes from the anchor on that some neighbour shares
-            n = min(n, len(left) + reach - min_bytes + 1)
-            if reach >= min_bytes - SPAN + 1 and n > 0:
-                texts += [left[::-1], suffix[8:]]
-                base.append(size)
-                windows.append(n)
-                place.append((doc, row, first))
-                size += len(left) + len(suffix) - 8
-                if size >= SEGMENT:
-                    fingerprinted()
-                    size = 0
-        if base:
-            fingerprinted()
         found: dict = {}
-        if windows:
-            n = np.array(windows)
-            own = np.repeat(np.arange(len(n)), n)
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            f = np.concatenate(prints)
-            order = np.argsort(f, kind="stable")
-            g = f[order]
-            same = np.zeros(len(g) + 1, dtype=bool)
-            same[1:-1] = g[1:] == g[:-1]
-            hit = np.zeros(len(g), dtype=bool)
-            hit[order] = same[1:] | same[:-1]
-            hit &= np.array([p[2] >= 0 for p in place])[own]
-            k = np.flatnonzero(hit)
-            if len(k):
-                cut = np.concatenate(([True], (own[k][1:] != own[k][:-1]) | (k[1:] != k[:-1] + 1)))
-                a, b = k[cut], k[np.concatenate((cut[1:], [True]))]
-                for r, s, t in zip(own[a].tolist(), offset[a].tolist(), offset[b].tolist()):
-                    doc, row, first = place[r]
-                    spans = found.setdefault((doc, row), ([], []))
-                    spans[0].append(first + s)
-                    spans[1].append(first + t)
+        for (_, _, left, n, doc, row, first), spans in zip(records, agreeing(records, min_bytes)):
+            if first < 0:  # equal records of a task are one and have been reported there
+                continue
+            for lo, hi in spans:
+                a, b = max(0, len(left) - hi), min(n - 1, len(left) - lo)
+                if a <= b:
+                    starts, stops = found.setdefault((doc, row), ([], []))
+                    starts.append(first + a)
+                    stops.append(first + b)
         lists = list(found.values())  # as objects, also where there are none
         return pd.DataFrame({"doc": pd.Series([d for d, _ in found], dtype="int64"), "row": pd.Series([r for _, r in found], dtype="int64"),
                              "starts": pd.Series([s for s, _ in lists], dtype=object), "stops": pd.Series([t for _, t in lists], dtype=object)})

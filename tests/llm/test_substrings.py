@@ -55,6 +55,29 @@ def test_segments_of_long_texts(spark, monkeypatch):
     assert set(starts.values()) == {1} and len(starts) == sum(len(t) - 399 for _, t in raws)
 
 
+def test_merged_order_decides(monkeypatch):
+    """Windows by the merge alone, against all pairs of records; without the common
+    prefixes that the merge found, nothing repeats."""
+    rng = random.Random(12)
+    monkeypatch.setattr(S, "SPAN", 6)
+    part = lambda n: bytes(rng.choice(b"ab") for _ in range(n))
+    for _ in range(40):
+        shared = [part(20) for _ in range(3)]
+        records = sorted((b"hash0000" + rng.choice(shared)[: rng.randrange(5, 20)] + part(rng.randrange(4)),
+                          rng.choice(shared)[: rng.randrange(6)] + part(rng.randrange(3)), 1, k, k, 0) for k in range(25))
+        runs = [decoded(front_coded(records[k::3])) for k in range(3)]
+        got = merged(runs)
+        spans = S.agreeing(got, 12)
+        for i, (a, found) in enumerate(zip(got, spans)):
+            want = {d for d in range(len(a[2]) + 1) for j, b in enumerate(got)
+                    if i != j and common(a[2], b[2], 0) >= d and common(a[1], b[1], 0) - 8 >= max(12 - d, 12 - 6 + 1)}
+            have = {d for lo, hi in found for d in range(lo, hi + 1)}
+            may = {d for d in range(len(a[2]) + 1) for j, b in enumerate(got)
+                   if i != j and common(a[2], b[2], 0) >= d and common(a[1], b[1], 0) - 8 >= 12 - d}
+            assert want <= have <= may
+        assert not any(S.agreeing([(0, *r[1:]) for r in got], 12))
+
+
 def hot_texts(rng, n):
     """Boilerplate of 300, 394 and 450 bytes in ever different surroundings, some repeated."""
     prose = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
