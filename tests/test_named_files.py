@@ -106,3 +106,28 @@ def test_job_reads_raw_logs_and_names_its_batch_by_the_schedule(spark):
     ledger = {r.run_ts.hour: r for r in current_state(spark, f"{root}/out/slice_ledger", "slice_ledger").collect()}
     assert len(ledger) == 2 and ledger[1].log_name == "postgresql-Sat.log" and ledger[1].log_slice_size > 0
     assert jobs.schedule_time(T(2024, 1, 1)) == T(2024, 1, 1)
+
+
+def test_stream_job_and_compacted_ledgers(spark):
+    """Ledgers for compaction hold what the appended ones do; the stream job, over the same
+    lines in jsonlog files, cuts the same sizes from all lines."""
+    from fleetwarden.sources.compaction import compacted_state
+    from fleetwarden.streaming import committed
+    root, logs = tempfile.mkdtemp(prefix="fw-cjob-"), raw_logs("jsonlog")
+    servers, ini = fleet(spark)
+    for name, df in (("servers", servers), ("pg_ini", ini), ("databases", spark.createDataFrame([], "pk_id_db int"))):
+        df.write.parquet(f"{root}/hub/{name}")
+    runs_of(spark, T(2024, 3, 2, 0, 3), T(2024, 3, 2, 1, 2)).write.parquet(f"{root}/runs")
+    files = spark.createDataFrame([(1, "postgresql-Sat.log", 9, T(2024, 3, 2, 0, 1))], "server_id int, name string, size long, modification timestamp_ntz")
+    files.write.parquet(f"{root}/files")
+    common = ["--hub", f"{root}/hub", "--logs", logs, "--files", f"{root}/files", "--runs", f"{root}/runs"]
+    rows = lambda df: sorted((r.run_ts.hour, r.log_slice_size, r.log_name) for r in df.collect())
+    for store in ("appended", "compacted"):
+        jobs.main(["slice", *common, "--log-format", "jsonlog", "--read", "window", "--out", f"{root}/{store}", "--store", store])
+    want = rows(current_state(spark, f"{root}/appended/slice_ledger", "slice_ledger"))
+    assert rows(compacted_state(spark, f"{root}/compacted/slice_ledger", "slice_ledger")) == want and len(want) == 2
+    jobs.main(["compact", "--path", f"{root}/compacted/slice_ledger", "--ledger", "slice_ledger"])
+    state = compacted_state(spark, f"{root}/compacted/slice_ledger", "slice_ledger")
+    assert rows(state) == want and all("/base/" in f for f in state.inputFiles())
+    jobs.main(["slice-stream", *common, "--out", f"{root}/stream"])
+    assert rows(committed(spark, f"{root}/stream", "ledger", state.schema)) == want
