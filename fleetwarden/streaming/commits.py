@@ -9,7 +9,6 @@ record goes first when a batch is replayed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fleetwarden.session import delete_path, path_exists
 
