@@ -71,7 +71,7 @@ class Fingerprints:
         self.sums = np.zeros(len(a) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[a] * powers(_BASE, len(a)), out=self.sums[1:])
 
-    def of(self, start: np.ndarray, length: int) -> np.ndarray:
+    def of(self, start: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         h = (self.sums[start + length] - self.sums[start]) * powers(_INVERSE, len(self.sums))[start]
         h ^= h >> np.uint64(29)
         h *= _MIX
@@ -186,18 +186,20 @@ def _keys(column) -> list[np.ndarray]:
 
 
 def hashes(min_bytes: int, level: int = 0):
-    """Keys (doc, row, h) of the records; of the given level of hot keys where it is not 0."""
+    """Keys (doc, row, h) of the records, and a hash ``r`` of all bytes of each; of the given
+    level of hot keys where it is not 0."""
     def batches(it):
         for batch in it:
             hot = _keys(batch.column("hot")) if level else None
             for group in segments(batch, min_bytes):
                 raw, _, first, last, anchor, h, seg = scanned(group, min_bytes)
                 if level:
-                    *_, h, seg, at_level = split_hot(raw, group, first, last, anchor, h, seg, hot, min_bytes, level)
-                    h, seg = h[at_level == level], seg[at_level == level]
+                    *found, at_level = split_hot(raw, group, first, last, anchor, h, seg, hot, min_bytes, level)
+                    first, last, anchor, h, seg = (x[at_level == level] for x in found)
+                r = Fingerprints(np.frombuffer(raw, dtype=np.uint8)).of(first, last - first + min_bytes) ^ (anchor - first).astype(np.uint64) * _BASE
                 at = pa.array(np.array([g[0] for g in group])[seg]) if len(h) else pa.array([], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc").take(at), batch.column("row").take(at),
-                                                  pa.array(h.view(np.int64))], ["doc", "row", "h"])
+                                                  pa.array(h.view(np.int64)), pa.array(r.view(np.int64))], ["doc", "row", "h", "r"])
     return batches
 
 
@@ -435,11 +437,24 @@ def cut_texts(min_bytes: int):
     return batches
 
 
+def counted(seen: DataFrame, hot_records: int, name: str) -> DataFrame:
+    """The hashes ``h`` that repeat, with ``n``: how many records have them or, where those
+    are many, how many different ones. Equal records are one in each task, so that a passage
+    repeated as it is in very many documents is not hot."""
+    often = written(seen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), name)
+    many = often.where(F.col("n") > hot_records).select("h")
+    if many.isEmpty():
+        return often
+    unlike = seen.join(many, "h").select("h", "r").distinct().groupBy("h").agg(F.count("*").alias("unlike"))
+    unlike = written(unlike, f"{name}-unlike")
+    return often.join(unlike, "h", "left").select("h", F.coalesce("unlike", "n").alias("n"))
+
+
 def wanted_keys(texts: DataFrame, min_bytes: int, hot_records: int) -> DataFrame:
     """Per text (doc, row): the keys ``hs`` of its records that may repeat, the ``hot`` keys
     that led to some of them, and ``n``, the number of its records."""
-    seen = written(texts.where(F.octet_length("text") >= min_bytes).mapInArrow(hashes(min_bytes), "doc long, row long, h long"), "anchors")
-    often = written(seen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")
+    seen = written(texts.where(F.octet_length("text") >= min_bytes).mapInArrow(hashes(min_bytes), "doc long, row long, h long, r long"), "anchors")
+    often = counted(seen, hot_records, "repeated-anchors")
     wanted, hot = seen.join(often.where(F.col("n") <= hot_records).select("h"), "h").select("doc", "row", "h", F.lit(False).alias("hot")), []
     for level in range(1, len(WIDTHS) + 1):
         crowded = seen.join(often.where(F.col("n") > hot_records).select("h"), "h").select("doc", "row", "h").distinct()
@@ -449,8 +464,8 @@ def wanted_keys(texts: DataFrame, min_bytes: int, hot_records: int) -> DataFrame
         hot.append(crowded)
         so_far = hot[0] if len(hot) == 1 else hot[0].unionByName(hot[1])
         of = written(so_far.groupBy("doc", "row").agg(F.collect_set("h").alias("hot")), "hot-rows")
-        seen = written(texts.join(of.hint("merge"), ["doc", "row"]).mapInArrow(hashes(min_bytes, level), "doc long, row long, h long"), "classes")
-        often = written(seen.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeated-classes")
+        seen = written(texts.join(of.hint("merge"), ["doc", "row"]).mapInArrow(hashes(min_bytes, level), "doc long, row long, h long, r long"), "classes")
+        often = counted(seen, hot_records, "repeated-classes")
         most = F.col("n") <= hot_records if level < len(WIDTHS) else F.lit(True)
         wanted = wanted.unionByName(seen.join(often.where(most).select("h"), "h").select("doc", "row", "h", F.lit(False).alias("hot")))
     for keys in hot:
@@ -461,7 +476,7 @@ def wanted_keys(texts: DataFrame, min_bytes: int, hot_records: int) -> DataFrame
 
 
 def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                     range_records: int = 12_000, hot_records: int = 20_000) -> DataFrame:
+                     range_records: int = 12_000, hot_records: int = 100_000) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256`` and ``spans`` (the removed runs, as [start, end) bytes of the text).
 
@@ -470,8 +485,8 @@ def dedup_substrings(docs: DataFrame, min_bytes: int = 400, id_col: str = "doc_i
     input. Null texts count as empty; texts shorter than ``min_bytes`` stay whole. Repeated
     rows, with or without the same identifier, are copies of each other like any others.
     Very long texts are read in overlapping segments. Records of a hash that more than
-    ``hot_records`` records have are split, and those of a hash range, ``range_records`` on
-    average, meet in one task.
+    ``hot_records`` unlike records have (of at most 655 bytes for strings of 400: 65 MB) are
+    split, and those of a hash range, ``range_records`` on average, meet in one task.
     Further columns are ignored; an empty table gives an empty result. ``min_bytes`` must
     exceed 264 (the anchors' span and gram).
     """
