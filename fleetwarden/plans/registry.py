@@ -14,7 +14,7 @@ from fleetwarden.operators import bloat, catalog, fleet, grants, ledger, slicing
 from fleetwarden.plans import runs as R
 from fleetwarden.plans import standins as S
 from fleetwarden.plans.views import index_run_script, register_functions
-from fleetwarden.session import ensure_utc, scratch_path, stored
+from fleetwarden.session import ensure_utc, scratch_path, small_broadcasts, stored
 from fleetwarden.sources.compaction import append_batch, compact, compacted_state
 from fleetwarden.sources.identity import append_identified, identified
 from fleetwarden.sources.loglisting import LogListing
@@ -88,11 +88,12 @@ def _hub_ledgers(spark, d):
     """The hub's ledger tables after one index run and one slice run, written once per session."""
     key = (spark.sparkContext.applicationId, os.path.abspath(d))
     if key not in _LEDGERS:
-        run, cut = _reindex(spark, d, "skip_database"), _slice(spark, d)
-        rows = {"run_ledger": run["ledger"], "run_errors": run["errors"], "slice_ledger": cut["ledger"], "slice_errors": cut["errors"]}
-        paths = {name: scratch_path(spark, f"catalog-{name}") for name in rows}
-        for name, df in rows.items():
-            df.write.parquet(paths[name])
+        with small_broadcasts(spark):
+            run, cut = _reindex(spark, d, "skip_database"), _slice(spark, d, keep=True)
+            rows = {"run_ledger": run["ledger"], "run_errors": run["errors"], "slice_ledger": cut["ledger"], "slice_errors": cut["errors"]}
+            paths = {name: scratch_path(spark, f"catalog-{name}") for name in rows}
+            for name, df in rows.items():
+                df.write.parquet(paths[name])
         _LEDGERS[key] = paths
     return {name: spark.read.parquet(path) for name, path in _LEDGERS[key].items()}
 
@@ -104,7 +105,8 @@ def cascade_delete(spark, d):
     hub = _hub_ledgers(spark, d)
     res = fleet.cascade_delete(sv, db, doomed, ini=S.pg_ini(spark, d), runs=hub["run_ledger"], run_errors=hub["run_errors"],
                                slices=hub["slice_ledger"], slice_errors=hub["slice_errors"])
-    return fleet.cascade_summary(res)
+    with small_broadcasts(spark):
+        return stored(fleet.cascade_summary(res), "cascade-summary")
 
 
 @query
@@ -113,7 +115,8 @@ def cascade_graph(spark, d):
     tables = {"servers": S.servers(spark, d), "databases": S.databases(spark, d), "pg_ini": S.pg_ini(spark, d), **_hub_ledgers(spark, d)}
     doomed = fleet.with_flag(tables["servers"], "switch_serv", BIT_MAINTENANCE).select("pk_id_conn")
     constraints = spark.createDataFrame(fleet.FOREIGN_KEYS, fleet.CONSTRAINT)
-    return fleet.cascade_summary(fleet.cascade_graph(tables, constraints, "servers", doomed))
+    with small_broadcasts(spark):
+        return stored(fleet.cascade_summary(fleet.cascade_graph(tables, constraints, "servers", doomed)), "cascade-summary")
 
 
 # ------------------------------------------------------------------ catalog + bloat
@@ -191,9 +194,10 @@ def bloat_before_after(spark, d):
 
 # ------------------------------------------------------------------ ledgers
 def _reindex(spark, d, on_error):
-    return R.reindex_run(S.servers(spark, d), S.run_databases(spark, d), S.catalog_snapshot(spark, d),
-                         S.catalog_snapshot(spark, d, "after"), S.RUN_TS, S.THRESHOLD, on_error,
-                         connect_failed=S.connect_failed(spark, d), actions=S.actions(spark, d))
+    with small_broadcasts(spark):
+        return R.reindex_run(S.servers(spark, d), S.run_databases(spark, d), S.catalog_snapshot(spark, d),
+                             S.catalog_snapshot(spark, d, "after"), S.RUN_TS, S.THRESHOLD, on_error,
+                             connect_failed=S.connect_failed(spark, d), actions=S.actions(spark, d))
 
 
 @query
@@ -268,9 +272,9 @@ def _stored_tasks(spark, d):
     return tasks, slicing.time_bounds(tasks)
 
 
-def _slice(spark, d, outcomes=False):
+def _slice(spark, d, outcomes=False, keep=False):
     return R.slice_run(S.servers(spark, d), S.pg_ini(spark, d), S.slice_runs(spark, d), S.logs(spark, d),
-                       S.log_files(spark, d), S.HOST_DOMAIN, S.call_outcomes(spark, d) if outcomes else None)
+                       S.log_files(spark, d), S.HOST_DOMAIN, S.call_outcomes(spark, d) if outcomes else None, keep=keep)
 
 
 @query

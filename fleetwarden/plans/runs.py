@@ -76,7 +76,7 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
 
 def slice_run(servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files: DataFrame,
               strip_domain: str | None = None, call_outcomes: DataFrame | None = None,
-              scheme: str = "slicer", write=None, read: str = slicing.ALL_LINES) -> dict[str, DataFrame]:
+              scheme: str = "slicer", write=None, read: str = slicing.ALL_LINES, keep: bool = False) -> dict[str, DataFrame]:
     """Tasks -> slices -> listing -> replies -> routing -> folded slice ledger.
 
     The task list (servers x config rows x runs) feeds every step, so it is stored: joins
@@ -84,7 +84,8 @@ def slice_run(servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files:
     (see ``slicing.reached_tasks``) and ``scheme`` labels failures on the hub's side.
     ``write`` takes the slice rows and returns them as written; the logs are then read once,
     for the slices, and the ledger aggregates those. ``read`` says whether a slice is cut
-    from the file that its run names or from all of its server's lines.
+    from the file that its run names or from all of its server's lines. ``keep``: see
+    ``settle_tasks``.
     """
     tasks = slicing.slice_tasks(servers, ini, runs, BIT_LOG_REPORTS, strip_domain)
     called = stored(slicing.reached_tasks(tasks, call_outcomes), "tasks")
@@ -94,16 +95,18 @@ def slice_run(servers: DataFrame, ini: DataFrame, runs, logs: DataFrame, files:
     report = slicing.slice_report(logs, made, bounds, slices, read)
     listing = slicing.log_listing(files, tasks=made)
     return {"tasks": called.drop("stage", "err_message", "err_detail", "err_code", "seconds"), "report": report, "listing": listing,
-            **settle_tasks(called, report, listing, call_outcomes is not None, scheme)}
+            **settle_tasks(called, report, listing, call_outcomes is not None, scheme, keep)}
 
 
 def settle_tasks(called: DataFrame, report: DataFrame, listing: DataFrame, calls_can_fail: bool = False,
-                 scheme: str = "slicer") -> dict[str, DataFrame]:
+                 scheme: str = "slicer", keep: bool = False) -> dict[str, DataFrame]:
     """What follows from the report of the tasks ``called`` (see ``slicing.reached_tasks``):
-    results, JSON replies, their routing, error rows and the folded slice ledger."""
+    results, JSON replies, their routing, error rows and the folded slice ledger. ``keep``
+    stores the replies, for callers that take several of these: the logs are then cut once."""
     stage = F.coalesce(F.col("stage"), F.lit(""))
     results = slicing.slice_results(report, listing, called)
     replies = slicing.envelope_json(results)
+    replies = stored(replies, "replies") if keep else replies
     routed = slicing.route(slicing.read_replies(replies))
     opened = slicing.open_slices(called.filter(stage != slicing.DISCONNECT))
     updated = routed["updates"].join(called.filter(stage == slicing.UPDATE).select(*slicing.TASK_KEY), slicing.TASK_KEY, "left_anti")

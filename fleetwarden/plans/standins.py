@@ -12,7 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwarden.session import cut_lineage, scratch_path
+from fleetwarden.session import scratch_path, stored
 from fleetwarden.sources.catalog import Snapshot
 from fleetwarden.sources.sinks import write_logs_by_day
 from fleetwarden.sources.tables import read_table
@@ -159,15 +159,15 @@ def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", mater
     key = (spark.sparkContext.applicationId, os.path.abspath(d), variant)
     if key not in _WRITTEN:
         root = scratch_path(spark, f"catalog-{variant}")
-        _catalog_snapshot(spark, d, variant, checkpoint_base=True).write(root)
+        _catalog_snapshot(spark, d, variant, store_base=True).write(root)
         _WRITTEN[key] = Snapshot.read(spark, root)
     return _WRITTEN[key]
 
 
-def _catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", checkpoint_base: bool = False) -> Snapshot:
+def _catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", store_base: bool = False) -> Snapshot:
     ix = _index_rows(spark, d, variant)
-    if checkpoint_base:     # every catalog below derives from it: compute the part x lineitem base once
-        ix = cut_lineage(ix)
+    if store_base:      # every catalog below derives from it, each by a few columns: compute the part x lineitem base once
+        ix = stored(ix, f"catalog-base-{variant}")
     cols = _index_column_rows(ix)
     idx_rows = ix.select("db_id", F.col("indexrelid").alias("oid"), F.col("idxname").alias("relname"),
                          F.col("nsp_oid").alias("relnamespace"), F.lit("i").alias("relkind"),

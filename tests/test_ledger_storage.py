@@ -140,3 +140,21 @@ def test_sql_functions_and_script(spark):
     rows = index_run_script(spark, snap, targets, 60.0).collect()
     assert {r.db_id for r in rows} == {r.db_id for r in targets.collect()}
     assert sum(not r.nothing_to_do for r in rows) == few and all(r.bloat_ratio_percent > 60 for r in rows if not r.nothing_to_do)
+
+
+def test_fleet_runs_broadcast_small_sides_only_and_give_settings_back(spark):
+    from fleetwarden.session import BROADCAST_CONF, FLEET_BROADCAST, small_broadcasts
+    before = [spark.conf.get(k, None) for k in BROADCAST_CONF]
+    with small_broadcasts(spark):
+        assert [int(spark.conf.get(k)) for k in BROADCAST_CONF] == [FLEET_BROADCAST] * 2
+    assert [spark.conf.get(k, None) for k in BROADCAST_CONF] == before
+
+
+def test_kept_replies_are_cut_from_the_logs_once(spark):
+    from fleetwarden.plans import registry
+    cut = registry._slice(spark, "/root/testdata/sf0.001", keep=True)
+    for name in ("ledger", "errors"):
+        assert not any("events" in f for f in cut[name].inputFiles())
+    again = registry._slice(spark, "/root/testdata/sf0.001")
+    for name in ("ledger", "errors"):
+        assert sorted(map(str, cut[name].collect())) == sorted(map(str, again[name].collect()))
