@@ -17,7 +17,7 @@ from fleetwarden.plans.views import index_run_script, register_functions
 from fleetwarden.session import ensure_utc, scratch_path, small_broadcasts, stored
 from fleetwarden.sources.compaction import append_batch, compact, compacted_state
 from fleetwarden.sources.identity import append_identified, identified
-from fleetwarden.sources.loglisting import LogListing
+from fleetwarden.sources.loglisting import LogListing, write_log_folders
 from fleetwarden.sources.sinks import append_ledger, current_state
 from fleetwarden.sources.tables import read_table
 from fleetwarden.streaming import slices as stream_slices
@@ -373,7 +373,7 @@ def reply_variant(spark, d):
 def log_listing_source(spark, d):
     """Files and bytes per server, by the listing source over written log folders."""
     path = scratch_path(spark, "log-folders")
-    S.logs(spark, d).select("server_id", "line").repartition("server_id").write.partitionBy("server_id").text(path)
+    write_log_folders(S.logs(spark, d), path)
     spark.dataSource.register(LogListing)
     return (spark.read.format("log_listing").load(path).where(F.col("name").endswith(".txt")).groupBy("server_id")
             .agg(F.count("*").alias("n_files"), F.sum("size").alias("bytes")))

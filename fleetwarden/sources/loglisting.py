@@ -17,13 +17,56 @@ from __future__ import annotations
 import datetime as dt
 import os
 import time
+import uuid
 from collections.abc import Iterator
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "server_id int, name string, size long, modification timestamp_ntz"
+#: The folder of lines without a server, as Spark names it.
+NO_SERVER = "__HIVE_DEFAULT_PARTITION__"
 #: Folders that a task lists.
-FOLDERS = 64
+FOLDERS = 512
+
+
+def write_log_folders(logs: DataFrame, path: str) -> None:
+    """Log lines (``server_id, line``) as one text file a server, in the layout that the source
+    lists. Each task writes the files of its servers straight into the mounted folder: a
+    writer of Spark's opens a file for every folder by a temporary one, a checksum and two
+    renames, the last of them in the driver. A file appears whole; a task that runs again
+    replaces its files."""
+    root = _mounted(path)
+
+    def write(batches):
+        import pyarrow as pa
+        server, part, file = None, None, None
+
+        def close() -> None:
+            if file is not None:
+                file.close()
+                os.replace(part, os.path.join(os.path.dirname(part), "postgresql.txt"))
+
+        for batch in batches:
+            for sid, line in zip(batch.column("server_id").to_pylist(), batch.column("line").to_pylist()):
+                if file is None or sid != server:
+                    close()
+                    server, folder = sid, os.path.join(root, f"server_id={NO_SERVER if sid is None else sid}")
+                    os.makedirs(folder, exist_ok=True)
+                    part = os.path.join(folder, f"_{uuid.uuid4().hex}")
+                    file = open(part, "wb")
+                file.write((line or b"") + b"\n")
+        close()
+        yield pa.RecordBatch.from_pydict({"done": pa.array([True])})
+
+    os.makedirs(root, exist_ok=True)
+    (logs.select("server_id", F.col("line").cast("binary").alias("line")).repartition("server_id").sortWithinPartitions("server_id")
+     .mapInArrow(write, "done boolean").agg(F.count("done")).first())
+
+
+def _mounted(path: str) -> str:
+    return path.removeprefix("file://").removeprefix("file:")
 
 
 class Folders(InputPartition):
@@ -98,7 +141,7 @@ class LogListing(DataSource):
         return SCHEMA
 
     def _path(self) -> str:
-        return self.options["path"].removeprefix("file://").removeprefix("file:")
+        return _mounted(self.options["path"])
 
     def reader(self, schema) -> _Batch:
         return _Batch(self._path())

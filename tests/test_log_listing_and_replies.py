@@ -76,3 +76,15 @@ def test_replies_of_any_shape(spark):
     a, b = (sorted(map(str, f(plain).select("status", "status_text", "full_log_size", "full_log_modf", "full_log_name").collect()))
             for f in (slicing.read_replies, slicing.read_variant_replies))
     assert a == b
+
+
+def test_log_folders_hold_one_whole_file_a_server(spark, tmp_path):
+    from fleetwarden.sources.loglisting import write_log_folders
+    lines = spark.createDataFrame([(1, "a"), (2, "ü"), (1, None), (2, ""), (1, "b")], "server_id int, line string").repartition(3)
+    for _ in range(2):  # a task that runs again replaces its files
+        write_log_folders(lines, f"file://{tmp_path}/logs")
+    found = {str(p.relative_to(tmp_path / "logs")): sorted(p.read_bytes().split(b"\n")[:-1]) for p in (tmp_path / "logs").rglob("*") if p.is_file()}
+    assert found == {"server_id=1/postgresql.txt": [b"", b"a", b"b"], "server_id=2/postgresql.txt": [b"", "ü".encode()]}
+    write_log_folders(lines.limit(0), f"file://{tmp_path}/none")
+    spark.dataSource.register(LogListing)
+    assert spark.read.format("log_listing").load(f"file://{tmp_path}/none").count() == 0
