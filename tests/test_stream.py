@@ -62,3 +62,24 @@ def test_jsonlog_files_through_the_slice_stream(spark):
     got = sorted((r.server_id, r.window_start.hour, r.line_count) for r in spark.read.parquet(os.path.join(root, "out")).collect())
     # windows [00,02) and [02,04) are closed by the 05:00 line; [04,06) is still open
     assert got == [(1, 0, 2), (1, 2, 1), (2, 0, 2), (2, 2, 1)]
+
+
+def test_events_delivered_twice_take_a_few_batches_however_many_files(spark, tmp_path):
+    import os
+
+    from fleetwarden.plans.registry import QUERIES
+    from fleetwarden.session import scratch_folders
+    spark.range(64).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' AS ts", "id AS user_id", "'click' AS event_type",
+                               "1.0D AS value", "'{}' AS props").repartition(8).write.option("maxRecordsPerFile", 2).parquet(f"{tmp_path}/events.parquet")
+    given = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    for k in given:
+        spark.conf.set(k, "2000")
+    try:
+        rows = QUERIES["event_log_once"](spark, str(tmp_path))
+    finally:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+    assert sorted(r.id for r in rows.collect()) == list(range(64))
+    folder = {os.path.basename(p).rsplit("-", 1)[0]: p for p in scratch_folders(spark)}
+    assert len(os.listdir(folder["events-twice"].removeprefix("file:"))) > 40
+    assert len([b for b in os.listdir(folder["event-log-once"].removeprefix("file:") + "/marks") if b.startswith("batch=")]) <= 6
