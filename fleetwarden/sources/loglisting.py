@@ -27,8 +27,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 SCHEMA = "server_id int, name string, size long, modification timestamp_ntz"
 #: The folder of lines without a server, as Spark names it.
 NO_SERVER = "__HIVE_DEFAULT_PARTITION__"
-#: Folders that a task lists.
-FOLDERS = 512
+#: Folders that a task lists at least, and of a large fleet at most.
+FOLDERS, MOST_FOLDERS = 64, 512
 
 
 def write_log_folders(logs: DataFrame, path: str) -> None:
@@ -98,7 +98,8 @@ def _rows(part: Folders) -> Iterator[tuple]:
 
 def _dealt(path: str, *span: int) -> list[Folders]:
     found = _folders(path)
-    return [Folders(found[k: k + FOLDERS], *span) for k in range(0, len(found), FOLDERS)]
+    n = min(MOST_FOLDERS, max(FOLDERS, len(found) // FOLDERS))
+    return [Folders(found[k: k + n], *span) for k in range(0, len(found), n)]
 
 
 class _Batch(DataSourceReader):
