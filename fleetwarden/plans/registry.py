@@ -14,7 +14,7 @@ from fleetwarden.operators import bloat, catalog, fleet, grants, ledger, slicing
 from fleetwarden.plans import runs as R
 from fleetwarden.plans import standins as S
 from fleetwarden.plans.views import index_run_script, register_functions
-from fleetwarden.session import ensure_utc, scratch_path, small_broadcasts, stored
+from fleetwarden.session import ensure_utc, scratch_path, small_broadcasts, stored, together
 from fleetwarden.sources.compaction import append_batch, compact, compacted_state
 from fleetwarden.sources.identity import append_identified, identified
 from fleetwarden.sources.loglisting import LogListing, write_log_folders
@@ -89,11 +89,10 @@ def _hub_ledgers(spark, d):
     key = (spark.sparkContext.applicationId, os.path.abspath(d))
     if key not in _LEDGERS:
         with small_broadcasts(spark):
-            run, cut = _reindex(spark, d, "skip_database"), _slice(spark, d, keep=True)
+            run, cut = together(spark, lambda: _reindex_run(spark, d, "skip_database"), lambda: _slice(spark, d, keep=True))
             rows = {"run_ledger": run["ledger"], "run_errors": run["errors"], "slice_ledger": cut["ledger"], "slice_errors": cut["errors"]}
             paths = {name: scratch_path(spark, f"catalog-{name}") for name in rows}
-            for name, df in rows.items():
-                df.write.parquet(paths[name])
+            together(spark, *[lambda name=name, df=df: df.write.parquet(paths[name]) for name, df in rows.items()])
         _LEDGERS[key] = paths
     return {name: spark.read.parquet(path) for name, path in _LEDGERS[key].items()}
 
@@ -195,9 +194,13 @@ def bloat_before_after(spark, d):
 # ------------------------------------------------------------------ ledgers
 def _reindex(spark, d, on_error):
     with small_broadcasts(spark):
-        return R.reindex_run(S.servers(spark, d), S.run_databases(spark, d), S.catalog_snapshot(spark, d),
-                             S.catalog_snapshot(spark, d, "after"), S.RUN_TS, S.THRESHOLD, on_error,
-                             connect_failed=S.connect_failed(spark, d), actions=S.actions(spark, d))
+        return _reindex_run(spark, d, on_error)
+
+
+def _reindex_run(spark, d, on_error):
+    before, after = S.catalog_snapshots(spark, d)
+    return R.reindex_run(S.servers(spark, d), S.run_databases(spark, d), before, after, S.RUN_TS, S.THRESHOLD, on_error,
+                         connect_failed=S.connect_failed(spark, d), actions=S.actions(spark, d))
 
 
 @query

@@ -8,11 +8,12 @@ The DuckDB oracle builds the same stand-ins from the same rules (``plans/oracle.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwarden.session import scratch_path, stored
+from fleetwarden.session import scratch_path, stored, together
 from fleetwarden.sources.catalog import Snapshot
 from fleetwarden.sources.sinks import write_logs_by_day
 from fleetwarden.sources.tables import read_table
@@ -91,12 +92,36 @@ def pg_database(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- catalog snapshot
-def _index_rows(spark: SparkSession, d: str, variant: str) -> DataFrame:
+def _loaded_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Every part with the number of its line items and their pages."""
     li = _table(spark, d, "lineitem", ["l_partkey", "l_quantity"])
     load = li.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         (F.count(F.lit(1)) * 1000).cast("double").alias("_tuples"),
         F.floor(F.sum("l_quantity") / 6).cast("long").alias("_pages"))
-    p = _table(spark, d, "part", ["p_partkey", "p_name", "p_size"]).join(load, "p_partkey", "left")
+    return _table(spark, d, "part", ["p_partkey", "p_name", "p_size"]).join(load, "p_partkey", "left")
+
+
+_LOADED: dict[tuple, DataFrame] = {}
+
+
+def _stored_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The loaded parts, written once per session with the parts of a database together:
+    both variants' catalogs derive from them, row by row or by small distinct sets."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    with _LOCK:
+        if key not in _LOADED:
+            p = _loaded_parts(spark, d).withColumn("db_id", _db_id(spark, d))
+            _LOADED[key] = stored(p.hint("rebalance", "db_id").sortWithinPartitions("db_id"), "catalog-parts")
+    return _LOADED[key]
+
+
+def _db_id(spark: SparkSession, d: str) -> Column:
+    n_databases = _table(spark, d, "customer", ["c_custkey"]).select(F.count(F.lit(1))).scalar()
+    return F.floor(F.col("p_partkey") / 4).cast("long") % n_databases
+
+
+def _index_rows(spark: SparkSession, d: str, variant: str, parts: DataFrame | None = None) -> DataFrame:
+    p = _loaded_parts(spark, d).withColumn("db_id", _db_id(spark, d)) if parts is None else parts
     pk, sz = F.col("p_partkey"), F.col("p_size")
     tbl = F.floor(pk / 4).cast("long")
     p = p.withColumn("tbl", tbl)
@@ -111,9 +136,8 @@ def _index_rows(spark: SparkSession, d: str, variant: str) -> DataFrame:
     nsp_oid = F.when(t % 29 == 1, F.lit(11)).when(t % 3 == 0, F.lit(2200)).otherwise(F.lit(16384) + t % 3)
     nspname = (F.when(t % 29 == 1, F.lit("pg_catalog")).when(t % 3 == 0, F.lit("public"))
                .otherwise(F.concat(F.lit("schema_"), _s(t % 3))))
-    n_databases = _table(spark, d, "customer", ["c_custkey"]).select(F.count(F.lit(1))).scalar()
     return p.select(
-        (t % n_databases).alias("db_id"), pk.alias("indexrelid"), (F.lit(1000000000) + t).alias("indrelid"), t.alias("tbl"),
+        "db_id", pk.alias("indexrelid"), (F.lit(1000000000) + t).alias("indrelid"), t.alias("tbl"),
         nsp_oid.cast("long").alias("nsp_oid"), nspname.alias("nspname"),
         F.concat(F.lit("t_"), _s(t)).alias("tblname"),
         F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")), F.lit("_idx_"), _s(pk),
@@ -145,6 +169,10 @@ def _index_column_rows(ix: DataFrame) -> DataFrame:
 
 
 _WRITTEN: dict[tuple, Snapshot] = {}
+_LOCK = threading.Lock()
+
+#: Catalogs that take each of their rows from one part: in the order of the stored parts.
+ROW_BY_ROW = ("pg_index", "pg_attribute", "pg_stats")
 
 
 def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", materialize: bool = True) -> Snapshot:
@@ -159,15 +187,19 @@ def catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", mater
     key = (spark.sparkContext.applicationId, os.path.abspath(d), variant)
     if key not in _WRITTEN:
         root = scratch_path(spark, f"catalog-{variant}")
-        _catalog_snapshot(spark, d, variant, store_base=True).write(root)
+        _catalog_snapshot(spark, d, variant, _stored_parts(spark, d)).write(root, clustered=ROW_BY_ROW)
         _WRITTEN[key] = Snapshot.read(spark, root)
     return _WRITTEN[key]
 
 
-def _catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", store_base: bool = False) -> Snapshot:
-    ix = _index_rows(spark, d, variant)
-    if store_base:      # every catalog below derives from it, each by a few columns: compute the part x lineitem base once
-        ix = stored(ix, f"catalog-base-{variant}")
+def catalog_snapshots(spark: SparkSession, d: str) -> tuple[Snapshot, Snapshot]:
+    """The snapshots before and after the maintenance; neither needs the other."""
+    before, after = together(spark, *[lambda v=v: catalog_snapshot(spark, d, v) for v in ("before", "after")])
+    return before, after
+
+
+def _catalog_snapshot(spark: SparkSession, d: str, variant: str = "before", parts: DataFrame | None = None) -> Snapshot:
+    ix = _index_rows(spark, d, variant, parts)
     cols = _index_column_rows(ix)
     idx_rows = ix.select("db_id", F.col("indexrelid").alias("oid"), F.col("idxname").alias("relname"),
                          F.col("nsp_oid").alias("relnamespace"), F.lit("i").alias("relkind"),
@@ -218,12 +250,11 @@ def run_databases(spark: SparkSession, d: str) -> DataFrame:
 
 def actions(spark: SparkSession, d: str) -> DataFrame:
     """What the maintenance reports for every index of the snapshot."""
-    snap = catalog_snapshot(spark, d)
-    ix = (snap.pg_index.select("db_id", "indexrelid", "indrelid")
-          .join(snap.pg_class.select("db_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("index_name"),
-                                     F.col("relnamespace").alias("oid")), ["db_id", "indexrelid"])
-          .join(snap.pg_class.select("db_id", F.col("oid").alias("indrelid"), F.col("relname").alias("tbl")), ["db_id", "indrelid"])
-          .join(snap.pg_namespace, ["db_id", "oid"]))
+    # an index's table and schema follow from its key, so the index row names them; the catalogs'
+    # pairing of pg_index and pg_class rows remains (repeated keys), as do their key's nulls
+    rows = _index_rows(spark, d, "before", _stored_parts(spark, d))
+    ix = (rows.select("db_id", "indexrelid", "nspname", F.col("tblname").alias("tbl"))
+          .join(rows.select("db_id", "indexrelid", F.col("idxname").alias("index_name")), ["db_id", "indexrelid"]))
     table = F.when(F.col("nspname") == "public", F.col("tbl")).otherwise(F.concat_ws(".", "nspname", "tbl"))
     bad = F.col("indexrelid") % 97 == 4
     return ix.select("db_id", F.col("nspname").alias("schema_name"), table.alias("table_name"), "index_name", (~bad).alias("ok"),

@@ -22,7 +22,7 @@ from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetwarden.session import path_exists
+from fleetwarden.session import path_exists, together
 
 CATALOGS = ("pg_class", "pg_namespace", "pg_index", "pg_am", "pg_attribute", "pg_type", "pg_stats",
             "pg_proc", "pg_default_acl", "settings")
@@ -48,17 +48,21 @@ class Snapshot:
         paths = {name: f"{root}/{name}" for name in CATALOGS}
         return cls(**{name: spark.read.parquet(p) for name, p in paths.items() if path_exists(spark, p)})
 
-    def write(self, root: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
+    def write(self, root: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000,
+              clustered: tuple[str, ...] = ()) -> None:
         """Persist every present catalog as parquet, clustered by ``db_id``: rows of one
         database sit together (row-group statistics prune on ``db_id``) without one folder
         per database, which would mean one small file per database and writer task. File
-        counts follow the size: the rebalance merges small databases and splits a hot one."""
-        for f in fields(self):
-            df = getattr(self, f.name)
-            if df is None:
-                continue
-            (df.hint("rebalance", "db_id").sortWithinPartitions("db_id")
-             .write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(f"{root}/{f.name}"))
+        counts follow the size: the rebalance merges small databases and splits a hot one.
+        Catalogs named in ``clustered`` come that way and are written as they are, without a
+        shuffle. The catalogs are written at the same time."""
+        present = {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
+
+        def job(name: str, df: DataFrame):
+            rows = df if name in clustered else df.hint("rebalance", "db_id").sortWithinPartitions("db_id")
+            return lambda: rows.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(f"{root}/{name}")
+        if present:
+            together(next(iter(present.values())).sparkSession, *[job(name, df) for name, df in present.items()])
 
     def with_(self, **changes) -> "Snapshot":
         return replace(self, **changes)

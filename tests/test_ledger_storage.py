@@ -158,3 +158,39 @@ def test_kept_replies_are_cut_from_the_logs_once(spark):
     again = registry._slice(spark, "/root/testdata/sf0.001")
     for name in ("ledger", "errors"):
         assert sorted(map(str, cut[name].collect())) == sorted(map(str, again[name].collect()))
+
+
+def test_jobs_that_need_nothing_of_each_other_run_at_the_same_time(spark):
+    import threading
+
+    from fleetwarden.session import together
+    both = threading.Barrier(2, timeout=60)
+    assert together(spark, *[lambda k=k: (both.wait(), spark.range(k).count())[1] for k in (3, 5)]) == [3, 5]
+    assert together(spark) == []
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: 1 // 0, lambda: 1)
+
+
+def test_snapshots_and_actions_share_the_stored_parts(spark, tmp_path):
+    from pyspark.sql import functions as F
+    root, key = str(tmp_path), "p_partkey long, p_name string, p_size int"
+    parts = [(k, f"part {k}", k % 50) for k in range(300)] + [(7, "part 7", 7), (7, "other 7", 8), (None, "none", 1), (97, "part 97", 3)]
+    spark.createDataFrame(parts, key).write.parquet(f"{root}/part.parquet")
+    spark.createDataFrame([(k % 290, float(k % 9)) for k in range(900)], "l_partkey long, l_quantity double").write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame([(k, f"c {k}", "x") for k in range(20)], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{root}/customer.parquet")
+    before, after = S.catalog_snapshots(spark, root)
+    for variant, snap in (("before", before), ("after", after)):
+        fresh = S.catalog_snapshot(spark, root, variant, materialize=False)
+        for name in ("pg_class", "pg_namespace", "pg_index", "pg_am", "pg_attribute", "pg_type", "pg_stats", "settings"):
+            a, b = getattr(snap, name), getattr(fresh, name)
+            assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())), (variant, name)
+    # as many rows as the catalogs' own keys pair, from two reads of the parts and one join
+    cls = before.pg_class
+    paired = (before.pg_index.select("db_id", "indexrelid", "indrelid")
+              .join(cls.select("db_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("index_name"), F.col("relnamespace").alias("oid")), ["db_id", "indexrelid"])
+              .join(cls.select("db_id", F.col("oid").alias("indrelid"), F.col("relname").alias("tbl")), ["db_id", "indrelid"])
+              .join(before.pg_namespace, ["db_id", "oid"]))
+    acts = S.actions(spark, root)
+    names = lambda df, c: sorted(map(repr, df.select("db_id", F.col(c[0]).alias("n"), "index_name").collect()))
+    assert names(acts, ["schema_name"]) == names(paired, ["nspname"]) and acts.count() > len(parts)
+    assert all("catalog-parts" in f for f in acts.inputFiles())
