@@ -31,6 +31,8 @@ from .common import numbered, written
 CACHED_CHUNKS, CACHED_CHARS = 500_000, 40
 #: Texts are encoded together up to so many characters, unknown chunks in lines of LINE.
 SLICE, LINE = 2_000_000, 256
+#: ASCII punctuation but for the apostrophe, which can start a token with letters after it.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
@@ -46,8 +48,10 @@ class Words:
     The vocabulary drops white space, joins nothing across it and ignores case, so a
     text's ids are those of its blank-separated chunks. Special tokens are found in the text
     as it is, before case is ignored, and are chunks of their own. Each chunk that is not
-    remembered goes through the tokenizer, many at once; the offsets of the tokens tell whose
-    they are.
+    remembered is encoded without the punctuation at its end, which makes tokens of its own
+    after a letter or digit and is the same few strings again and again. What is left is one
+    word for the tokenizer's model if it is of lower-case ASCII letters alone; anything else
+    goes through the whole tokenizer, many at once; the offsets of the tokens tell whose they are.
     """
 
     def __init__(self, path: str):
@@ -56,6 +60,10 @@ class Words:
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         #: What all special tokens start with: a text without it needs no search for them.
         self.mark = os.path.commonprefix(special)
+        self.specials = frozenset(special)
+        #: Whether the vocabulary keeps lower-case words whole, as given, and parts them from punctuation.
+        self.whole = all(self.tok.encode(w + m, add_special_tokens=False).ids == self.word(w) + self.word(m)
+                         for w in ("a", "the", "word", "internationalised", "qzxjk") for m in ("", ".", ",$$$"))
         self.special = re.compile("(" + ("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)") + ")")
         self.known: dict[str, bytes] = {"": b""}
 
@@ -75,7 +83,27 @@ class Words:
             out += part.replace("\n", " ").split(" ")
         return out
 
+    def word(self, text: str) -> list[int]:
+        return [t.id for t in self.tok.model.tokenize(text)]
+
+    def stem(self, chunk: str) -> str:
+        """The chunk without the punctuation at its end, where that can be encoded apart."""
+        stem = chunk.rstrip(MARKS)
+        if not self.whole or chunk in self.specials or not stem or stem[-1] > "\u00ff" or not (stem[-1].isalpha() or "0" <= stem[-1] <= "9"):
+            return chunk
+        return stem
+
     def encode(self, chunks: list[str]) -> dict[str, bytes]:
+        stems = [self.stem(c) for c in chunks]
+        parts = {*stems, *(c[len(s):] for c, s in zip(chunks, stems))}
+        words = {p for p in parts if p.isascii() and p.isalpha() and p.islower()} if self.whole else set()
+        known = self.encode_lines(list(parts - words))
+        tokenize = self.tok.model.tokenize
+        for w in words:
+            known[w] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(w)])
+        return {c: known[s] + known[c[len(s):]] if len(s) < len(c) else known[s] for c, s in zip(chunks, stems)}
+
+    def encode_lines(self, chunks: list[str]) -> dict[str, bytes]:
         lines = [chunks[k: k + LINE] for k in range(0, len(chunks), LINE)]
         out: dict[str, bytes] = {}
         for line, found in zip(lines, self.tok.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)):
@@ -91,12 +119,12 @@ class Words:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         parts = [self.chunks(t) for t in texts]
-        missing: set[str] = set()
-        for part in parts:
-            missing.update(set(part).difference(self.known))
+        found = [list(map(self.known.get, part)) for part in parts]
+        missing = {c for part, ids in zip(parts, found) if None in ids for c, x in zip(part, ids) if x is None}
         fresh = self.encode(list(missing))
+        out = [b"".join([fresh[c] if x is None else x for c, x in zip(part, ids)] if None in ids else ids)
+               for part, ids in zip(parts, found)]
         self.known.update(fresh)
-        out = [b"".join(map(self.known.__getitem__, part)) for part in parts]
         full = len(self.known) > CACHED_CHUNKS
         for chunk in fresh:
             if full or len(chunk) > CACHED_CHARS:

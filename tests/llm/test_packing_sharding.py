@@ -162,3 +162,15 @@ def test_special_tokens_in_texts_have_the_ids_of_the_tokenizer(spark):
     got = {r.doc_id: r for r in pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [(got[k].length, got[k].ids_crc32) for k in range(len(texts))] == [
         (len(w) + 1, zlib.crc32(np.array([*w, 0], dtype="<u4").tobytes())) for w in want]
+
+
+def test_punctuation_at_the_end_of_chunks_is_encoded_apart(monkeypatch):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["word word. word,$$$ Word! 12. é. é. x’. dogs'. x's., 's 's. ab' ≠ .a. A.B.C. ª. ²³. … a… a_b_ -- ÿ! İ. ſ.",
+             "x<|endoftext|>. <|endoftext|>., <|ENDOFTEXT|>.", "中。 中. K. a1, 1a. ́. á."]
+    words, lines = Words(tokenizer_path()), []
+    whole = Words.encode_lines
+    monkeypatch.setattr(Words, "encode_lines", lambda self, chunks: lines.extend(chunks) or whole(self, chunks))
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "word" not in lines and "word." not in lines and lines.count(".") == 1
