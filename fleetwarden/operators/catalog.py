@@ -37,21 +37,22 @@ def eligible_indexes(snap: Snapshot) -> DataFrame:
 
     The namespace is the index's own. Filters sit on each catalog before its join, so they
     reach the parquet scans; ``pg_am`` and ``pg_namespace`` are tiny per database and are
-    broadcast by Spark's size check.
+    broadcast by Spark's size check, or else shuffled: they come after ``pg_class`` has met
+    the indexes, which may be those of a few databases.
     """
     idx, cls, nsp, am = snap.need("pg_index", "pg_class", "pg_namespace", "pg_am")
     btree = am.filter(F.col("amname") == BTREE).select("db_id", F.col("oid").alias("relam"))
     i = (idx.filter(F.col("indisvalid") & (F.col("indisprimary") == F.lit(False)))
          .select("db_id", "indexrelid", "indrelid", "indkey"))
     ic = (cls.select("db_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("idxname"),
-                     "relnamespace", "relam", "reltuples", "relpages", F.col("reloptions").alias("idx_options"))
-          .join(btree, ["db_id", "relam"], "left_semi"))
+                     "relnamespace", "relam", "reltuples", "relpages", F.col("reloptions").alias("idx_options")))
     tc = (cls.filter(F.col("relkind") == "r")
           .select("db_id", F.col("oid").alias("indrelid"), F.col("relname").alias("tblname"),
                   "total_bytes", "indexes_bytes", "toast_bytes"))
     ns = (nsp.filter(~F.col("nspname").isin(*EXCLUDED_SCHEMAS))
           .select("db_id", F.col("oid").alias("relnamespace"), "nspname"))
-    j = i.join(ic, ["db_id", "indexrelid"]).join(tc, ["db_id", "indrelid"]).join(ns, ["db_id", "relnamespace"])
+    j = (i.join(ic, ["db_id", "indexrelid"]).join(btree, ["db_id", "relam"], "left_semi")
+         .join(tc, ["db_id", "indrelid"]).join(ns, ["db_id", "relnamespace"]))
     ff = F.nullif(F.regexp_extract(F.array_join("idx_options", " "), FILLFACTOR_PATTERN, 1), F.lit(""))
     return j.select(
         "db_id", F.col("indrelid").alias("tblid"), "nspname", "tblname", "idxname",
@@ -92,9 +93,9 @@ def attribute_pairs(snap: Snapshot, fanout: str = "reference", eligible: DataFra
     weight = F.size(F.split("indkey", " ")) if fanout == "reference" else F.lit(1)
     ix = (eligible if eligible is not None else eligible_indexes(snap)).withColumn("key_weight", weight)
     a = (att.filter(F.col("attnum") > 0)
-         .join(typ.select("db_id", F.col("oid").alias("atttypid")), ["db_id", "atttypid"], "left_semi")
          .select("db_id", F.col("attrelid").alias("indexrelid"), "attnum", "attname", "atttypid", "index_def")
-         .join(ix, ["db_id", "indexrelid"]))
+         .join(ix, ["db_id", "indexrelid"])
+         .join(typ.select("db_id", F.col("oid").alias("atttypid")), ["db_id", "atttypid"], "left_semi"))
     forms = F.explode(F.array(
         F.struct(F.lit(1).alias("branch"), F.col("tblname").alias("stats_table"), F.col("index_def").alias("stats_attname")),
         F.struct(F.lit(2).alias("branch"), F.col("idxname").alias("stats_table"), F.col("attname").alias("stats_attname"))))

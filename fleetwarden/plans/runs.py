@@ -57,14 +57,15 @@ def reindex_run(servers: DataFrame, databases: DataFrame, before: Snapshot, afte
     """Targets -> ledger rows -> bloat search on the before snapshot -> re-lookup on the
     after snapshot -> folded ledger and error rows.
 
-    The worklist is computed once and stored: the outcomes and whoever performs the
-    maintenance read it, and the after snapshot is estimated only for databases on it. The
-    outcomes are stored for the abort point, the fold and the error rows.
+    The before snapshot is estimated only for the target databases. The worklist is computed
+    once and stored: the outcomes and whoever performs the maintenance read it, and the after
+    snapshot is estimated only for databases on it. The outcomes are stored for the abort
+    point, the fold and the error rows.
     """
     targets = fleet.fleet_targets(servers, databases, BIT_REINDEX)
     runs = ledger.open_runs(targets, run_ts)
-    search = bloat.bloat_search(bloat.bloat_report(before, ordered=False), threshold, ordered=False)
-    search = stored(search.join(targets.select("db_id"), "db_id", "left_semi"), "worklist")
+    covered = before.with_(pg_index=before.pg_index.join(targets.select("db_id"), "db_id", "left_semi"))
+    search = stored(bloat.bloat_search(bloat.bloat_report(covered, ordered=False), threshold, ordered=False), "worklist")
     looked_up = after.with_(pg_index=after.pg_index.join(search.select("db_id").distinct(), "db_id", "left_semi"))
     compared = bloat.compare_bloat(search, bloat.bloat_report(looked_up, ordered=False))
     outcomes = stored(index_outcomes(compared, targets, connect_failed, actions), "outcomes")

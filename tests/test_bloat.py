@@ -150,6 +150,25 @@ def test_search_and_compare(spark):
     assert cmp["t_c_idx"].bloat_after == pytest.approx(100 * (280 - 275) / 280)
 
 
+def test_an_index_run_estimates_its_target_databases_only(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from fleetwarden.plans import runs
+    one = snapshot(spark, [dict(BASE), dict(BASE, idx=11, tbl=111, table="u", name="small", pages=300)])
+    two = {k: df.unionByName(df.withColumn("db_id", F.lit(2).cast("long"))) for k, df in vars(one).items() if df is not None}
+    fleet_of_two = Snapshot(**two)
+    servers = spark.createDataFrame([(1, 5432, "h", 255)], "pk_id_conn int, conn_port int, conn_host string, switch_serv int")
+    databases = spark.createDataFrame([(1, 1, "Public", "a", 255), (2, 1, "Public", "b", 0)],
+                                      "pk_id_db int, fk_pk_id_conn int, db_scheme string, db_name string, switch_db int")
+    estimated, report_of = [], bloat.bloat_report
+    monkeypatch.setattr(bloat, "bloat_report", lambda snap, *a, **kw: estimated.append(
+        {r.db_id for r in snap.pg_index.collect()}) or report_of(snap, *a, **kw))
+    run = runs.reindex_run(servers, databases, fleet_of_two, fleet_of_two, "2024-01-15 01:00:00")
+    assert [(r.db_id, r.index_name) for r in run["worklist"].collect()] == [(1, "t_c_idx")]
+    assert [(r.fk_pk_id_db_j, r.det_index_name) for r in run["ledger"].collect()] == [(1, "t_c_idx")]
+    assert estimated == [{1}, {1}]
+
+
 def test_threshold_strict(spark):
     rep = spark.createDataFrame([(1, 24.99, "s", "t", "a"), (1, 24.990001, "s", "t", "b"), (1, None, "s", "t", "c")],
                                 "db_id long, bloat_ratio_percent double, schema_name string, table_name string, "
