@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import numbered, written
 
 #: At most so many chunks are remembered by a worker, none longer than CACHED_CHARS.
-CACHED_CHUNKS, CACHED_CHARS = 500_000, 40
+CACHED_CHUNKS, CACHED_CHARS = 1_000_000, 40
 #: Texts are encoded together up to so many characters, unknown chunks in lines of LINE.
 SLICE, LINE = 2_000_000, 256
 #: ASCII punctuation but for the apostrophe, which can start a token with letters after it.
@@ -42,6 +42,23 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class Memory(dict):
+    """Ids of chunks; of one that it lacks, what ``encode`` gives."""
+
+    def __init__(self, encode):
+        super().__init__({"": b""})
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes | None:
+        return self.encode(chunk)
+
+
+def byte_chars(text: str) -> str:
+    """The text's UTF-8 bytes as the characters that stand for them in byte-level vocabularies."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    return "".join(x for x, _ in ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(text))
+
+
 class Words:
     """Ids of texts as little-endian unsigned 32-bit bytes, with a memory of chunks.
 
@@ -49,14 +66,18 @@ class Words:
     text's ids are those of its blank-separated chunks. Special tokens are found in the text
     as it is, before case is ignored, and are chunks of their own. Each chunk that is not
     remembered is encoded without the punctuation at its end, which makes tokens of its own
-    after a letter or digit and is the same few strings again and again. What is left is one
-    word for the tokenizer's model if it is of lower-case ASCII letters alone; anything else
-    goes through the whole tokenizer, many at once; the offsets of the tokens tell whose they are.
+    after a letter or digit and is the same few strings again and again. What is left may be
+    remembered itself. If not, it is one word for the tokenizer's model if it is of lower-case
+    Latin-1 letters alone; anything else waits for the end of the slice and goes through the
+    whole tokenizer, many at once; the offsets of the tokens tell whose they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        if hasattr(self.model, "_resize_cache"):  # it is asked for words that are not remembered: none twice
+            self.model._resize_cache(0)
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         #: What all special tokens start with: a text without it needs no search for them.
         self.mark = os.path.commonprefix(special)
@@ -64,8 +85,15 @@ class Words:
         #: Whether the vocabulary keeps lower-case words whole, as given, and parts them from punctuation.
         self.whole = all(self.tok.encode(w + m, add_special_tokens=False).ids == self.word(w) + self.word(m)
                          for w in ("a", "the", "word", "internationalised", "qzxjk") for m in ("", ".", ",$$$"))
+        #: Lower-case letters beyond ASCII as the model takes their bytes, if it does so one by one.
+        self.letters = {ord(c): byte_chars(c) for c in map(chr, range(128, 256)) if c.isalpha() and c.islower()}
+        if any(self.tok.encode(x, add_special_tokens=False).ids != self.word(x) for c in map(chr, self.letters) for x in (c, f"a{c}e", f"{c}{c}")):
+            self.letters = {}
         self.special = re.compile("(" + ("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)") + ")")
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = Memory(self.encode)
+        #: Ids of this slice's chunks that are too long or too many to be remembered, and the chunks that wait.
+        self.passing: dict[str, bytes] = {}
+        self.waiting: dict[str, None] = {}
 
     def chunks(self, text: str) -> list[str]:
         out = []
@@ -84,24 +112,44 @@ class Words:
         return out
 
     def word(self, text: str) -> list[int]:
-        return [t.id for t in self.tok.model.tokenize(text)]
+        return [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.letters))]
+
+    def one_word(self, chunk: str) -> bool:
+        if not (self.whole and chunk.isalpha() and chunk.islower()):
+            return False
+        return chunk.isascii() or bool(self.letters) and max(chunk) <= "\u00ff"
 
     def stem(self, chunk: str) -> str:
         """The chunk without the punctuation at its end, where that can be encoded apart."""
         stem = chunk.rstrip(MARKS)
-        if not self.whole or chunk in self.specials or not stem or stem[-1] > "\u00ff" or not (stem[-1].isalpha() or "0" <= stem[-1] <= "9"):
+        if len(stem) == len(chunk) or not self.whole or chunk in self.specials or not stem or stem[-1] > "\u00ff" or not (stem[-1].isalpha() or "0" <= stem[-1] <= "9"):
             return chunk
         return stem
 
-    def encode(self, chunks: list[str]) -> dict[str, bytes]:
-        stems = [self.stem(c) for c in chunks]
-        parts = {*stems, *(c[len(s):] for c, s in zip(chunks, stems))}
-        words = {p for p in parts if p.isascii() and p.isalpha() and p.islower()} if self.whole else set()
-        known = self.encode_lines(list(parts - words))
-        tokenize = self.tok.model.tokenize
-        for w in words:
-            known[w] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(w)])
-        return {c: known[s] + known[c[len(s):]] if len(s) < len(c) else known[s] for c, s in zip(chunks, stems)}
+    def encode(self, chunk: str) -> bytes | None:
+        """Ids of a chunk that is not remembered; none if it waits for the whole tokenizer."""
+        if chunk in self.passing:
+            return self.passing[chunk]
+        stem = self.stem(chunk)
+        if len(stem) < len(chunk):
+            met = stem in self.known or stem in self.passing
+            ids, end = self.known[stem], self.known[chunk[len(stem):]]
+            if ids is None or end is None:
+                return None
+            ids += end
+            if not met:  # rare so far: the stem alone is worth remembering
+                return ids
+        elif self.one_word(chunk):
+            ids = b"".join([k.to_bytes(4, "little") for k in self.word(chunk)])
+        else:
+            self.waiting[chunk] = None
+            return None
+        self.remember(chunk, ids)
+        return ids
+
+    def remember(self, chunk: str, ids: bytes) -> None:
+        kept = len(chunk) <= CACHED_CHARS and len(self.known) < CACHED_CHUNKS
+        (self.known if kept else self.passing)[chunk] = ids
 
     def encode_lines(self, chunks: list[str]) -> dict[str, bytes]:
         lines = [chunks[k: k + LINE] for k in range(0, len(chunks), LINE)]
@@ -118,17 +166,18 @@ class Words:
         return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        parts = [self.chunks(t) for t in texts]
-        found = [list(map(self.known.get, part)) for part in parts]
-        missing = {c for part, ids in zip(parts, found) if None in ids for c, x in zip(part, ids) if x is None}
-        fresh = self.encode(list(missing))
-        out = [b"".join([fresh[c] if x is None else x for c, x in zip(part, ids)] if None in ids else ids)
-               for part, ids in zip(parts, found)]
-        self.known.update(fresh)
-        full = len(self.known) > CACHED_CHUNKS
-        for chunk in fresh:
-            if full or len(chunk) > CACHED_CHARS:
-                del self.known[chunk]
+        parts, out = [self.chunks(t) for t in texts], []
+        look = self.known.__getitem__
+        found = [list(map(look, part)) for part in parts]
+        for chunk, ids in self.encode_lines(list(self.waiting)).items():
+            self.remember(chunk, ids)
+        self.waiting.clear()
+        for part, ids in zip(parts, found):
+            try:
+                out.append(b"".join(ids))
+            except TypeError:  # a chunk of it had to wait
+                out.append(b"".join(map(look, part)))
+        self.passing.clear()
         return out
 
 

@@ -174,3 +174,19 @@ def test_punctuation_at_the_end_of_chunks_is_encoded_apart(monkeypatch):
     monkeypatch.setattr(Words, "encode_lines", lambda self, chunks: lines.extend(chunks) or whole(self, chunks))
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in words.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert "word" not in lines and "word." not in lines and lines.count(".") == 1
+
+
+def test_known_stems_and_latin_words_need_no_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    words, lines, modelled = Words(tokenizer_path()), [], []
+    whole, one = Words.encode_lines, Words.word
+    monkeypatch.setattr(Words, "encode_lines", lambda self, chunks: lines.extend(chunks) or whole(self, chunks))
+    monkeypatch.setattr(Words, "word", lambda self, text: modelled.append(text) or one(self, text))
+    texts = ["Zwölfgründe übernaïveté ßÿµªº", "zwölfgründe, übernaïveté!! zwölfgründe,", "zwölfgründe, ﬁn ça", "x" * 50 + " é́ Ωé " + "x" * 50 + "."]
+    for _ in range(2):
+        for text in texts:
+            got = np.frombuffer(words.ids([text])[0], dtype="<u4").tolist()
+            assert got == plain.encode(text, add_special_tokens=False).ids
+    assert not {"zwölfgründe", "übernaïveté", "ça"} & set(lines) and "ﬁn" in lines
+    assert modelled.count("zwölfgründe") == modelled.count("übernaïveté") == modelled.count("ça") == 1
